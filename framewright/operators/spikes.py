@@ -156,11 +156,11 @@ def flag_readings(
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema) + ", bad boolean, stuck boolean"
     shape += "".join(f", d{j} double, r{j} double" for j in range(LEVELS))
     seen = held.mapInPandas(_scan(around, ks, lower, upper, at_least), shape)
+    seen = seen.withColumn("value", F.coalesce("value", F.lit(float("nan"))))  # pandas doesn't tell NaN from null
 
     normal = ~F.col("bad") & ~F.col("stuck")
     robust = [F.percentile_approx(F.when(normal & ~F.isnan(f"d{j}"), F.abs(f"d{j}")), 0.5, 10000).alias(f"m{j}") for j in range(LEVELS)]
     scale = seen.groupBy(*ks).agg(*robust, F.percentile_approx(F.when(normal, F.col("value")), 0.5, 10000).alias("mid"))
-    on = lambda a, b: [a[k].eqNullSafe(b[k]) for k in ks]
 
     def with_stats(a: DataFrame, b: DataFrame) -> DataFrame:
         renamed = b.withColumnsRenamed({k: f"{k}_" for k in ks})
