@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from framewright.llm.hashing import gram_hashes, window_minima
 from framewright.operators.intervals import periods_and_gaps
-from framewright.session import cut
+from framewright.session import store
 
 SPAN, GRAM = 300, 200
 #: Occurrences of one phrase up to which they are compared pair by pair.
@@ -178,7 +178,7 @@ def _occurrences(docs: DataFrame, text: str, span: int, gram: int, compared: int
     """Every place of every phrase that two or more classes hold; ``many`` where it has more than ``compared`` places."""
     t = docs.filter(F.length(text) >= span).select(F.xxhash64(F.col(text)).alias("cid"), F.col(text).alias("t"))
     t = t.dropDuplicates(["cid"])
-    kept = t.mapInArrow(_nominate(gram, span, compared), "h bigint, cid bigint")
+    kept = store(t.mapInArrow(_nominate(gram, span, compared), "h bigint, cid bigint"))
     n = kept.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("lo"), F.max("cid").alias("hi")).filter("lo <> hi")
     two = n.filter("n = 2").select("h", F.explode(F.array("lo", "hi")).alias("cid"), F.lit(False).alias("many"))
     more = n.filter("n > 2").select(F.col("h").alias("k"), (F.col("n") > compared).alias("many"))
@@ -189,7 +189,7 @@ def _occurrences(docs: DataFrame, text: str, span: int, gram: int, compared: int
 
 def _links(docs: DataFrame, text: str, span: int = SPAN, gram: int = GRAM, compared: int = COMPARED, shard: int = SHARD_CHARS) -> tuple[DataFrame, DataFrame]:
     """Links of phrases compared pair by pair, and the windows of the others: w is equal where a window's text is."""
-    found = cut(_occurrences(docs, text, span, gram, compared, shard))
+    found = store(_occurrences(docs, text, span, gram, compared, shard))
     few = found.filter(~F.col("many")).select("h", "cid", "at", "until", "lead", "rest").repartition("h").sortWithinPartitions("h")
     few = few.mapInArrow(_compare(gram, span), _LINK)
     need = span - gram
