@@ -3,11 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from framewright.llm import leakage, spans, tokenize
+from framewright.functions.text import last_number
+from framewright.llm import leakage, runs, spans, tokenize
 from framewright.tables import table
 
 
+def _at_bats(spark: SparkSession, folder: str) -> DataFrame:
+    t = table(spark, folder, "batters").withColumn("frame_no", last_number(F.col("frame")))
+    return runs.collapse_runs(t, "file_name", "frame_no", "duration", "row_id", ["brand", "location"])
+
+
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _at_bats(spark, folder).filter("n >= 2").select("file_name", F.col("first").alias("first_frame"), F.col("last").alias("last_frame"))
+
+
+def p1_events(spark: SparkSession, folder: str) -> DataFrame:
+    return _at_bats(spark, folder).select("file_name", "brand", "location", F.col("first").alias("first_frame"), F.col("last").alias("last_frame"), F.col("n").alias("n_rows"), F.col("total").alias("duration"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenize.encode_corpus(table(spark, folder, "documents"), "doc_id", "text")
 
@@ -24,5 +39,5 @@ def p10_shared(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_chars(table(spark, folder, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_shared": p10_shared}
+QUERIES = {"p1_found": p1_found, "p1_events": p1_events, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_shared": p10_shared}
 SQL: dict[str, str] = {}
