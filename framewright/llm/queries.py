@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions.text import last_number
-from framewright.llm import encoding, leakage, runs, spans, tokenize
+from framewright.llm import canonical, encoding, leakage, runs, spans, tokenize
 from framewright.tables import table
 
 
@@ -23,6 +23,11 @@ def p1_events(spark: SparkSession, folder: str) -> DataFrame:
     return _at_bats(spark, folder).select("file_name", "brand", "location", F.col("first").alias("first_frame"), F.col("last").alias("last_frame"), F.col("n").alias("n_rows"), F.col("total").alias("duration"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    typed = table(spark, folder, "bbl")
+    return canonical.map_fields(typed, "row_id", ["brand", "location"], table(spark, folder, "reference_names")).select("row_id", "field", "ref_id")
+
+
 def p7_restored(spark: SparkSession, folder: str) -> DataFrame:
     return encoding.damaged_fields(table(spark, folder, "news_exposures"), "row_id", "channel", ["brand", "location"])
 
@@ -47,5 +52,5 @@ def p10_shared(spark: SparkSession, folder: str) -> DataFrame:
     return spans.shared_chars(table(spark, folder, "documents"), "doc_id", "text")
 
 
-QUERIES = {"p1_found": p1_found, "p1_events": p1_events, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_shared": p10_shared}
+QUERIES = {"p1_found": p1_found, "p1_events": p1_events, "p2_found": p2_found, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_shared": p10_shared}
 SQL: dict[str, str] = {}
