@@ -53,4 +53,10 @@ def p10_shared(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p1_events": p1_events, "p2_found": p2_found, "p7_found": p7_found, "p7_restored": p7_restored, "p8_ids": p8_ids, "p9_found": p9_found, "p10_found": p10_found, "p10_shared": p10_shared}
-SQL: dict[str, str] = {}
+
+_P10 = """
+WITH d AS (SELECT doc_id, text, unnest(range(1, length(text) - 298)) AS i FROM documents WHERE length(text) >= 300),
+w AS (SELECT DISTINCT doc_id, md5(substring(text, i, 300)) AS h FROM d)
+SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM w a JOIN w b ON a.h = b.h AND a.doc_id < b.doc_id"""
+
+SQL = {"p10_found": _P10}
