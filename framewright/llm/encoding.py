@@ -18,7 +18,6 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -192,7 +191,7 @@ def _slots(text: str) -> tuple[tuple[float, int, int, int, int], ...]:
     return tuple(out)
 
 
-def likelihood(text: str, counts: np.ndarray, value: str = "", own: float = 0.0) -> float:
+def likelihood(text: str, counts: dict[int, float], value: str = "", own: float = 0.0) -> float:
     """Log-likelihood of a text that ``value`` may have been; ``own`` occurrences of that are taken out of the counts.
 
     A trigram can't stand more often than the bigrams in it: the smallest count is the one least disturbed by others
@@ -201,7 +200,7 @@ def likelihood(text: str, counts: np.ndarray, value: str = "", own: float = 0.0)
     out = 0.0
     mine = {x for _, *slots in _slots(value) for x in slots} if own else ()
     for prior, *slots in _slots(text):
-        tri, bi, ctx, one = (max(float(x) - own, 0.0) if i in mine else float(x) for i, x in zip(slots, counts[slots], strict=True))
+        tri, bi, ctx, one = [max(counts.get(i, 0.0) - own, 0.0) if i in mine else counts.get(i, 0.0) for i in slots]
         bi = min(bi, one)
         p = (bi + prior) / (one + 1)
         out += math.log((min(tri, bi, ctx) + p) / (ctx + 1))
@@ -256,7 +255,7 @@ def expected(chain: str) -> float:
     return _FIRST_CLEAN if chain == CLEAN else (1 - _FIRST_CLEAN) / len(CHAINS)
 
 
-def _weigh(model: np.ndarray):
+def _weigh(model: dict[int, float]):
     """Posterior of each row's candidates: a list of (chain, text, p), the untouched value among them."""
     memo: dict[tuple, float] = {}
 
@@ -305,13 +304,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _batch(list(into.items()), ["slot", "w"], [pa.int32(), pa.float64()])
 
 
-def _model(texts: DataFrame) -> np.ndarray:
-    """Counts of (text, weight) rows: never more than SLOTS numbers come to the driver."""
-    got = texts.mapInArrow(_counts, "slot int, w double").groupBy("slot").agg(F.sum("w").alias("w")).collect()
-    out = np.zeros(SLOTS, np.float32)
-    for r in got:
-        out[r.slot] = r.w
-    return out
+def _model(fixed: DataFrame, texts: DataFrame) -> dict[int, float]:
+    """Counts of (text, weight) rows added to the fixed ones: never more than SLOTS numbers come to the driver."""
+    both = fixed.unionByName(texts.mapInArrow(_counts, "slot int, w double"))
+    return {r.slot: r.w for r in both.groupBy("slot").agg(F.sum("w").alias("w")).collect()}
 
 
 _POST = "source string, field string, value string, n bigint, post array<struct<chain:string,text:string,p:double>>"
@@ -323,6 +319,8 @@ def posterior(values: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     Only values with a character beyond ASCII can be damaged; others are evidence of how texts are written.
     """
     values = store(values)
+    # A value is little to read and much to weigh: few bytes must not end up in few tasks.
+    spread = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     plain = values.filter(~F.col("value").rlike("[^\\x00-\\x7f]"))
     odd = values.filter(F.col("value").rlike("[^\\x00-\\x7f]"))
     totals = odd.groupBy("value").agg(F.sum("n").alias("total"))
@@ -331,7 +329,7 @@ def posterior(values: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     # What counts as a value's own are all its typings.
     levels = store(totals.join(keyed.select("value", "level"), "value").groupBy("level").agg(F.sum("total").alias("seen")))
     totals = keyed.select("value", "level").join(levels, "level").select("value", F.col("seen").alias("total"))
-    undone = alone.mapInArrow(_candidates, "value string, chain string, text string, level string").join(levels, "level", "left")
+    undone = alone.repartition(spread, "value").mapInArrow(_candidates, "value string, chain string, text string, level string").join(levels, "level", "left")
     undone = undone.select("value", "chain", "text", F.lit(True).alias("undone"), "seen")
     forms = totals.filter("total > 1").select("value").mapInArrow(_damaged_forms, "key string, chain string, text string")
     forms = forms.join(totals.select(F.col("value").alias("text"), F.col("total").alias("seen")), "text")
@@ -343,16 +341,16 @@ def posterior(values: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     odd = store(odd.join(totals, "value").join(cands, "value", "left").select("source", "field", "value", "n", "total", "cands"))
 
     base = plain.groupBy("value").agg(F.sum("n").cast("double").alias("w")).select("value", "w")
-    fixed = _model(base)
-    model = fixed + _model(odd.select("value", F.col("n").cast("double")))
+    fixed = store(base.mapInArrow(_counts, "slot int, w double").groupBy("slot").agg(F.sum("w").alias("w")))
+    model = _model(fixed, odd.select("value", F.col("n").cast("double").alias("w")))
     shares = None
     for i in range(rounds):
         rows = odd.withColumn("shares", F.lit(None).cast("array<struct<chain:string,share:double>>")) if shares is None else odd.join(shares, ["source", "field"], "left")
-        post = store(rows.select("source", "field", "value", "n", "total", "cands", "shares").mapInArrow(_weigh(model), _POST))
+        post = store(rows.select("source", "field", "value", "n", "total", "cands", "shares").repartition(spread, "value").mapInArrow(_weigh(model), _POST))
         if i == rounds - 1:
             break
         each = post.select("source", "field", "n", F.explode("post").alias("x"))
-        model = fixed + _model(each.filter("x.text is not null").select("x.text", (F.col("n") * F.col("x.p")).alias("w")))
+        model = _model(fixed, each.filter("x.text is not null").select("x.text", (F.col("n") * F.col("x.p")).alias("w")))
         clean = plain.groupBy("source", "field").agg(F.sum("n").cast("double").alias("w")).withColumn("chain", F.lit(CLEAN))
         got = each.groupBy("source", "field", F.col("x.chain").alias("chain")).agg(F.sum(F.col("n") * F.col("x.p")).alias("w")).unionByName(clean.select("source", "field", "chain", "w"))
         got = store(got.groupBy("source", "field", "chain").agg(F.sum("w").alias("w")))
