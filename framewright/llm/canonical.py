@@ -201,7 +201,9 @@ def map_values(values: DataFrame, reference: DataFrame, like: float = LIKE, sent
     for r in ref.collect():
         names[r.kind].append((r.ref_id, r.name))
     once = values.select("kind", "value").filter("kind is not null and value is not null").distinct()
-    return once.mapInArrow(_match(dict(names), like), "kind string, value string, ref_id bigint")
+    # A value is little to read and much to compare: few bytes must not end up in one task.
+    spread = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return once.repartition(spread, "value").mapInArrow(_match(dict(names), like), "kind string, value string, ref_id bigint")
 
 
 def map_fields(df: DataFrame, row: str, fields: list[str], reference: DataFrame, **how) -> DataFrame:
