@@ -255,7 +255,7 @@ def expected(chain: str) -> float:
     return _FIRST_CLEAN if chain == CLEAN else (1 - _FIRST_CLEAN) / len(CHAINS)
 
 
-def _weigh(model: dict[int, float]):
+def _weigh(model: dict[int, float], whole: dict[str, float]):
     """Posterior of each row's candidates: a list of (chain, text, p), the untouched value among them."""
     memo: dict[tuple, float] = {}
 
@@ -273,11 +273,12 @@ def _weigh(model: dict[int, float]):
         for b in batches:
             out = []
             for value, total, cands, shares in zip(*(b.column(i).to_pylist() for i in (2, 4, 5, 6)), strict=True):
-                share = {s["chain"]: s["share"] for s in shares or []}
+                own_share = {s["chain"]: s["w"] for s in shares or []}
+                records = sum(own_share.values()) + SHARE_RECORDS
                 scored = []
                 lost = any(kind(c) == "control" for c in value)
                 for c in [{"chain": CLEAN, "text": value}, *(cands or [])]:
-                    prior = share.get(c["chain"]) or expected(c["chain"])
+                    prior = (own_share.get(c["chain"], 0.0) + SHARE_RECORDS * whole[c["chain"]]) / records
                     score = math.log(prior)
                     if c["chain"] != CLEAN:  # against the value as it stands, as far as its own occurrences prove it
                         nested = c["undone"] and c["chain"].startswith("utf_8")
@@ -307,7 +308,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _model(fixed: DataFrame, texts: DataFrame) -> dict[int, float]:
     """Counts of (text, weight) rows added to the fixed ones: never more than SLOTS numbers come to the driver."""
     both = fixed.unionByName(texts.mapInArrow(_counts, "slot int, w double"))
-    return {r.slot: r.w for r in both.groupBy("slot").agg(F.sum("w").alias("w")).collect()}
+    got = both.groupBy("slot").agg(F.sum("w").alias("w")).toArrow()
+    return dict(zip(got["slot"].to_pylist(), got["w"].to_pylist(), strict=True))
 
 
 _POST = "source string, field string, value string, n bigint, post array<struct<chain:string,text:string,p:double>>"
@@ -343,10 +345,10 @@ def posterior(values: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     base = plain.groupBy("value").agg(F.sum("n").cast("double").alias("w")).select("value", "w")
     fixed = store(base.mapInArrow(_counts, "slot int, w double").groupBy("slot").agg(F.sum("w").alias("w")))
     model = _model(fixed, odd.select("value", F.col("n").cast("double").alias("w")))
-    shares = None
+    shares, whole = None, {c: expected(c) for c in (CLEAN, LOST, *CHAINS)}
     for i in range(rounds):
-        rows = odd.withColumn("shares", F.lit(None).cast("array<struct<chain:string,share:double>>")) if shares is None else odd.join(shares, ["source", "field"], "left")
-        post = store(rows.select("source", "field", "value", "n", "total", "cands", "shares").repartition(spread, "value").mapInArrow(_weigh(model), _POST))
+        rows = odd.withColumn("shares", F.lit(None).cast("array<struct<chain:string,w:double>>")) if shares is None else odd.join(shares, ["source", "field"], "left")
+        post = store(rows.select("source", "field", "value", "n", "total", "cands", "shares").repartition(spread, "value").mapInArrow(_weigh(model, whole), _POST))
         if i == rounds - 1:
             break
         each = post.select("source", "field", "n", F.explode("post").alias("x"))
@@ -356,11 +358,8 @@ def posterior(values: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         got = store(got.groupBy("source", "field", "chain").agg(F.sum("w").alias("w")))
         every = {r.chain: r.w for r in got.groupBy("chain").agg(F.sum("w").alias("w")).collect()}
         n = sum(every.values())
-        names = [CLEAN, LOST, *CHAINS]
-        whole = {c: (every.get(c, 0.0) + SHARE_RECORDS * expected(c)) / (n + SHARE_RECORDS) for c in names}
-        per = got.groupBy("source", "field").agg(F.map_from_entries(F.collect_list(F.struct("chain", "w"))).alias("ws"), F.sum("w").alias("all"))
-        share = [F.struct(F.lit(c).alias("chain"), ((F.coalesce(F.col("ws")[c], F.lit(0.0)) + SHARE_RECORDS * whole[c]) / (F.col("all") + SHARE_RECORDS)).alias("share")) for c in names]
-        shares = store(per.select("source", "field", F.array(*share).alias("shares")))
+        whole = {c: (every.get(c, 0.0) + SHARE_RECORDS * expected(c)) / (n + SHARE_RECORDS) for c in (CLEAN, LOST, *CHAINS)}
+        shares = store(got.groupBy("source", "field").agg(F.collect_list(F.struct("chain", "w")).alias("shares")))
     best = F.array_max(F.transform("post", lambda x: F.struct(x["p"].alias("p"), x["chain"].alias("chain"), x["text"].alias("text"))))
     p_clean = F.aggregate("post", F.lit(0.0), lambda s, x: s + F.when(x["chain"] == CLEAN, x["p"]).otherwise(0.0))
     worst = F.array_max(F.transform(F.filter("post", lambda x: x["chain"] != CLEAN), lambda x: F.struct(x["p"].alias("p"), x["chain"].alias("chain"), x["text"].alias("text"))))
