@@ -187,7 +187,9 @@ def collapse_runs(df: DataFrame, entity: str, position: str, length: str, row: s
 
     w = Window.partitionBy("e", "part").orderBy("chunk", "ord")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    runs = runs.withColumn("block", F.sum(F.when(F.col("means") == F.lag("means").over(w), 0).otherwise(1)).over(upto))
+    # Among the border runs a chunk's last one isn't next to its leading ones where others stand between.
+    beside = (F.col("ord") == 0) | ((F.lag("chunk").over(w) == F.col("chunk")) & (F.lag("ord").over(w) == F.col("ord") - 1))
+    runs = runs.withColumn("block", F.sum(F.when((F.col("means") == F.lag("means").over(w)) & beside, 0).otherwise(1)).over(upto))
     inside = Window.partitionBy("e", "part", "block").orderBy("chunk", "ord")
     covered = F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     runs = runs.withColumn("covered", covered)
