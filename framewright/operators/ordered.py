@@ -65,3 +65,30 @@ def ordered_chunks(df: DataFrame, by: list[str], halo: int) -> tuple[DataFrame,
         around[p] = (around[p][0], carry)
         carry = (heads[p] + carry)[:halo]
     return held, around
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = sum(b.num_rows for b in batches)
+    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], names=["pid", "n"])
+
+
+def global_rank(df: DataFrame, by: list[str], name: str, start: int = 1) -> DataFrame:
+    """Column ``name``: each row's place in the order ``by`` over the whole table, in as many tasks as there are parts.
+
+    Rows that ``by`` doesn't tell apart are numbered in no particular order; nulls come first.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = cut(df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in by]).sortWithinPartitions(*by))
+    before, at = {}, start
+    for r in sorted(held.mapInArrow(_count, "pid int, n bigint").collect()):
+        before[r.pid] = at
+        at += r.n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = before.get(TaskContext.get().partitionId(), start)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(range(at, at + b.num_rows), pa.int64())], names=[*b.schema.names, name])
+            at += b.num_rows
+
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema)
+    return held.mapInArrow(run, f"{shape}, `{name}` bigint")

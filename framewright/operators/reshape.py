@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.numbers import padded
+from framewright.operators.ordered import global_rank
 
 
 def expand_duration(df: DataFrame, frame: str = "frame_no", duration: str = "duration", hits: str | None = "total_hits") -> DataFrame:
@@ -92,20 +93,10 @@ def fill_bins(df: DataFrame, by: list[str], order: list[str], size: str, quota:
 
 
 def take_exact(df: DataFrame, key: str, share: float, seed: int = 42) -> DataFrame:
-    """Column side, ``train`` for exactly floor(n * share) rows and ``val`` for the rest, by a hash of the key.
-
-    Rows are ranked within 256 hash buckets and the bucket that the limit falls in is cut, so no task sorts them all.
-    """
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    rows = df.withColumn("_h", h).withColumn("_b", F.pmod(F.shiftrightunsigned("_h", 8), F.lit(256)))
-    sizes = rows.groupBy("_b").count()
-    before = sizes.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    total = F.sum("count").over(Window.partitionBy())
-    before = before.withColumn("_total", total).drop("count").withColumnRenamed("_b", "_b2")
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key))
-    out = rows.join(F.broadcast(before), F.col("_b") == F.col("_b2")).withColumn("_r", rank + F.col("_before"))
-    side = F.when(F.col("_r") <= F.floor(F.col("_total") * share), "train").otherwise("val")
-    return out.withColumn("side", side).select(*df.columns, "side")
+    """Column side, ``train`` for exactly floor(n * share) rows and ``val`` for the rest, in the order of a hash."""
+    rows = global_rank(df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))), ["_h", key], "_r")
+    side = F.when(F.col("_r") <= F.floor(F.lit(df.count()) * F.lit(share)), "train").otherwise("val")
+    return rows.withColumn("side", side).select(*df.columns, "side")
 
 
 def explode_annotations(df: DataFrame, images: str = "images") -> DataFrame:

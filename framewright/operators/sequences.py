@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.numbers import half_up
+from framewright.operators.ordered import global_rank
 
 
 def _w(by: list[str], order: list[str]):
@@ -104,7 +105,7 @@ def similarity_runs(df: DataFrame, by: list[str], order: list[str], score: str,
 def first_seen_ids(df: DataFrame, key: str, row: str, start: int = 0) -> DataFrame:
     """Columns key, id: dense ids in the order in which keys first appear.  The keys, not the rows, are ranked."""
     seen = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(row).alias("_r"))
-    return seen.select(key, (F.row_number().over(Window.orderBy("_r")) - 1 + start).alias("id"))
+    return global_rank(seen, ["_r"], "id", start).select(key, "id")
 
 
 def majority_vote(df: DataFrame, by: list[str], value: str, row: str) -> DataFrame:

@@ -338,7 +338,7 @@ def q_running_hits(spark, folder):
     return numbered(spark, folder, "exposures").select("row_id", F.row_number().over(Window.partitionBy("file_name", "brand").orderBy(F.col("frame_no").asc_nulls_last(), "row_id")).alias("hit"))
 
 
-@query("SELECT brand, CAST(row_number() OVER (ORDER BY r) - 1 AS INTEGER) AS id FROM (SELECT brand, min(row_id) AS r FROM results_ledger WHERE brand IS NOT NULL GROUP BY brand)")
+@query("SELECT brand, row_number() OVER (ORDER BY r) - 1 AS id FROM (SELECT brand, min(row_id) AS r FROM results_ledger WHERE brand IS NOT NULL GROUP BY brand)")
 def q_first_seen_ids(spark, folder):
     return sequences.first_seen_ids(table(spark, folder, "results_ledger"), "brand", "row_id")
 
