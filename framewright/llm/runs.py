@@ -40,29 +40,43 @@ class _Open:
         return x
 
 
-def segment(events: list[tuple[int, int, dict[Meaning, int]]]) -> list[_Open]:
-    """The best segmentation of ordered events (position, length, possible meanings with their letters).
+class Segmenter:
+    """Takes ordered events one by one; it holds the segments, not the events."""
 
-    A segment's events share a meaning, and each starts no later than right after what the segment covers so far.
-    """
-    open_: list[_Open] = []
-    for first, length, possible in events:
+    def __init__(self) -> None:
+        self.open: list[_Open] = []
+
+    def add(self, first: int, length: int, possible: dict[Meaning, int]) -> None:
         end = first + length - 1
-        best = min(open_, key=lambda s: s.cost) if open_ else None
+        best = min(self.open, key=lambda s: s.cost) if self.open else None
         base = best.cost if best else 0
-        step = [s.extended(possible[s.means], end, length) for s in open_ if s.means in possible and first <= s.end + 1]
+        step = [s.extended(possible[s.means], end, length) for s in self.open if s.means in possible and first <= s.end + 1]
         step += [_Open(m, base + BOUNDARY + letters, first, end, length, best) for m, letters in possible.items()]
         step.sort(key=lambda s: (s.cost, -s.end, s.first))
-        open_ = []
+        kept: list[_Open] = []
         for s in step:
-            if not any(o.means == s.means and o.end >= s.end for o in open_):
-                open_.append(s)
-    out = []
-    s = min(open_, key=lambda s: s.cost) if open_ else None
-    while s is not None:
-        out.append(s)
-        s = s.prior
-    return out[::-1]
+            if not any(o.means == s.means and o.end >= s.end for o in kept):
+                kept.append(s)
+        self.open = kept
+
+    def segments(self) -> list[_Open]:
+        out = []
+        s = min(self.open, key=lambda s: s.cost) if self.open else None
+        while s is not None:
+            out.append(s)
+            s = s.prior
+        return out[::-1]
+
+
+def segment(events: list[tuple[int, int, dict[Meaning, int]]]) -> list[_Open]:
+    """The best segmentation of ordered events (position, length, possible meanings with their letters).
+
+    A segment's events share a meaning, and each starts no later than right after what the segment covers so far.
+    """
+    s = Segmenter()
+    for e in events:
+        s.add(*e)
+    return s.segments()
 
 
 def _lexicon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,10 +126,10 @@ def _segments(width: int):
     types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, events, out = None, [], []
+        now, held, out = None, Segmenter(), []
 
         def close() -> None:
-            runs = segment(events)
+            runs = held.segments()
             leading = 0
             while leading < len(runs) and runs[leading].means == runs[0].means:
                 leading += 1
@@ -147,12 +161,12 @@ def _segments(width: int):
             for i in range(b.num_rows):
                 at = (e[i], frame[i] // width)
                 if at != now:
-                    if events:
+                    if now is not None:
                         close()
-                    now, events = at, []
-                events.append((frame[i], length[i], possible([(rest[k][i], rest[k + 1][i]) for k in range(0, len(rest), 2)])))
+                    now, held = at, Segmenter()
+                held.add(frame[i], length[i], possible([(rest[k][i], rest[k + 1][i]) for k in range(0, len(rest), 2)]))
             yield batch()
-        if events:
+        if now is not None:
             close()
         yield batch()
 
