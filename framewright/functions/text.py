@@ -27,3 +27,10 @@ def last_number(c: Column) -> Column:
 def first_number(c: Column) -> Column:
     """The first run of ASCII digits as a long; null where there is none."""
     return F.regexp_extract(c, "([0-9]+)", 1).try_cast("bigint")
+
+
+def word_count(c: Column) -> Column:
+    """Words between blanks; ``n photo`` counts n; ``__`` can't be told and is null."""
+    photos = F.regexp_extract(c, "^([0-9]+) photos?$", 1).try_cast("int")
+    words = F.size(F.split(F.trim(F.regexp_replace(c, "\\s+", " ")), " "))
+    return F.when(c == "__", None).when(photos.isNotNull(), photos).when(F.trim(c) == "", 0).otherwise(words).cast("int")

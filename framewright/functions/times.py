@@ -44,3 +44,10 @@ def guessed_day(digits: Column) -> Column:
 def spoken(seconds: Column) -> Column:
     """Minutes and seconds in words."""
     return F.format_string("%d min %d sec", F.floor(seconds / 60), seconds % 60)
+
+
+def start_of_frame(c: Column) -> tuple[Column, Column]:
+    """Start time and second of a frame named ``..._HHMM_second``; null where it isn't so named."""
+    ok = c.rlike("_[0-9]{4}_[0-9]+$")
+    parts = F.split(c, "_")
+    return F.when(ok, F.element_at(parts, -2)), F.when(ok, F.element_at(parts, -1).try_cast("bigint"))

@@ -22,13 +22,14 @@ def token_sort(c: Column) -> Column:
 def contained_pairs(df: DataFrame, label: str) -> DataFrame:
     """Pairs of distinct labels one of whose sorted words hold the other's as a piece: columns first_label, second_label.
 
-    The shorter one's longest word is a piece of some word of the longer one, so pairs meet on that word's pieces:
-    an equi-join on the longest word against the pieces of the words of as many letters.
+    The shorter one's longest word is a piece of some word of the longer one, so they meet in an equi-join of that
+    word's first three letters with the pieces of up to three letters of the longer one.
     """
     base = df.filter(F.col(label).isNotNull()).select(F.col(label).alias("x")).distinct().withColumn("s", token_sort(F.col("x"))).filter("s <> ''")
     word = F.element_at(F.array_sort(F.transform(F.split("s", " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)
-    short = base.select("x", "s", word["w"].alias("k"))
-    pieces = F.array_distinct(F.flatten(F.transform(F.split("s", " "), lambda w: F.flatten(F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.transform(F.sequence(F.lit(1), F.length(w) - i + 1), lambda n: F.substring(w, i, n)))))))
+    short = base.select("x", "s", F.substring(word["w"], 1, 3).alias("k"))
+    starts = F.sequence(F.lit(1), F.length("s"))
+    pieces = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda n: F.substring(F.col("s"), i, n)))))
     long = base.select(F.col("x").alias("y"), F.col("s").alias("t"), F.explode(pieces).alias("k"))
     hit = short.join(long, "k").filter("x <> y and length(s) <= length(t) and contains(t, s)")
     return hit.select(F.least("x", "y").alias("first_label"), F.greatest("x", "y").alias("second_label")).distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.numbers import percent_change
+from framewright.operators.stretches import Ordering
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
@@ -47,6 +48,25 @@ def stripped_number(c: Column) -> Column:
     return F.coalesce(d.try_cast("bigint"), F.lit(0))
 
 
+def name_prefix(c: Column) -> Column:
+    """``prefix_000123`` of a picture's name; null where it isn't so named."""
+    p = F.regexp_extract(c, "^(.+_[0-9]+)\\.jpe?g$", 1)
+    return F.when(p != "", p)
+
+
+def add_runs(rows: DataFrame, runs: DataFrame, frame: str, name: str, amount: str, to: list[str]) -> DataFrame:
+    """Run sizes added to the rows of their first picture.
+
+    Where the first run's picture is named by a number alone, names and frames meet on their number, else on the whole
+    prefix.
+    """
+    first = runs.select(name).first()
+    numeric = bool(first and first[0] and first[0].rpartition(".")[0].isdigit())
+    key = stripped_number if numeric else name_prefix
+    a = rows.withColumn("_k", stripped_number(F.col(frame)) if numeric else F.col(frame))
+    return add_updates(a, runs.select(key(F.col(name)).alias("_k"), amount), "_k", amount, to).drop("_k")
+
+
 def history_diff(new: DataFrame, old: DataFrame, keys: list[str], value: str, percent: float = 25.0) -> DataFrame:
     """Keys whose value is more than ``percent`` off the old one; an old value of zero counts when the new one differs."""
     o = old.select(*keys, F.col(value).alias("old_value"))
@@ -76,21 +96,28 @@ def within_band(df: DataFrame, by: list[str], pos: str, reach: int) -> DataFrame
     return left.join(df.select(*by, F.col(pos).alias("pos_b")), [*by, "pos_b"])
 
 
-def next_pairs(df: DataFrame, by: list[str], order: list[str], col: str) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("next_value", F.lead(col).over(w)).filter("next_value is not null")
+def next_pairs(df: DataFrame, by: list[str], order: list[str], col: str, stretch: Column | None = None) -> DataFrame:
+    return Ordering(by, order, stretch).neighbour(df, {col: "next_value"}, behind=True).filter("next_value is not null")
 
 
 def semi(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(ids.select(key).distinct(), key, "left_semi")
 
 
+#: Names that a brand list may have to be sent along with every file.
+LISTED = 100_000
+
+
 def missing_per_file(listed: DataFrame, present: DataFrame, files: DataFrame, brand: str, file: str) -> DataFrame:
     """Each listed brand that a file lacks.
 
     What is present is subtracted from the listed brands file by file: the list is gathered once, as one array that
-    goes along with every file, so no pair of file and brand is made that isn't part of the result.
+    goes along with every file, so no pair of file and brand is made that isn't part of the result.  Its size is
+    measured first: a list of more than ``LISTED`` names is refused.
     """
+    n = listed.select(brand).distinct().count()
+    if n > LISTED:
+        raise ValueError(f"{n} listed names, more than {LISTED}")
     wanted = listed.agg(F.array_sort(F.collect_set(brand)).alias("_wanted"))
     have = present.groupBy(file).agg(F.collect_set(brand).alias("_have"))
     rows = files.select(file).distinct().join(have, file, "left").join(F.broadcast(wanted))

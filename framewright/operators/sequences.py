@@ -1,35 +1,31 @@
 """Order-dependent operators: every one takes what it runs within and what it is ordered by.
 
-Nothing here orders a whole table in one task: where a table has no natural parts, ``ordered.ordered_chunks`` splits it.
+Where a ``stretch`` is given (see ``stretches``), a group is spread over tasks however many rows it has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.functions.numbers import half_up
 from framewright.operators.ordered import global_rank
+from framewright.operators.stretches import Ordering
 
 
-def _w(by: list[str], order: list[str]):
-    return Window.partitionBy(*by).orderBy(*order)
+def run_index(df: DataFrame, by: list[str], order: list[str], values: list[str], stretch: Column | None = None) -> DataFrame:
+    """Columns run (1-based number of the run of equal values) and pos (1-based place in it).
 
-
-def opens_run(df_cols: list[str], w) -> Column:
-    """True where a value differs from the row before; a null always opens a new run."""
+    A null value always opens a new run.
+    """
+    o = Ordering(by, order, stretch)
+    before = {c: f"_p{i}" for i, c in enumerate(values)}
+    out = o.neighbour(df, before)
     same = F.lit(True)
-    for c in df_cols:
-        same = same & F.coalesce(F.col(c) == F.lag(c).over(w), F.lit(False))
-    return ~same
-
-
-def run_index(df: DataFrame, by: list[str], order: list[str], values: list[str]) -> DataFrame:
-    """Columns run (1-based number of the run of equal values) and pos (1-based place in it)."""
-    w = _w(by, order)
-    out = df.withColumn("_new", opens_run(values, w).cast("int"))
-    out = out.withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return out.withColumn("pos", F.row_number().over(_w([*by, "run"], order))).drop("_new")
+    for c, p in before.items():
+        same = same & F.coalesce(F.col(c) == F.col(p), F.lit(False))
+    out = o.running_sum(out.withColumn("_new", (~same).cast("int")).drop(*before.values()), F.col("_new"), "run")
+    return Ordering([*by, "run"], order, stretch).row_number(out, "pos").withColumn("pos", F.col("pos").cast("int")).drop("_new")
 
 
 def half_innings(run: Column, base: int = 1) -> Column:
@@ -39,20 +35,22 @@ def half_innings(run: Column, base: int = 1) -> Column:
     return F.when(run % 2 == 1, top).otherwise(F.concat(F.lit("Bottom "), below.cast("bigint").cast("string")))
 
 
-def forward_fill(df: DataFrame, by: list[str], order: list[str], cols: list[str]) -> DataFrame:
+def forward_fill(df: DataFrame, by: list[str], order: list[str], cols: list[str], stretch: Column | None = None) -> DataFrame:
     """Nulls take the last value before them; leading nulls stay."""
-    w = _w(by, order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in cols})
+    o = Ordering(by, order, stretch)
+    out = df
+    for i, c in enumerate(cols):
+        out = o.last_value(out, c, f"_l{i}")
+    return out.withColumns({c: F.col(f"_l{i}") for i, c in enumerate(cols)}).select(*df.columns)
 
 
 def leading_fill(df: DataFrame, by: list[str], order: list[str], cols: list[str]) -> DataFrame:
     """Leading nulls take the first value that comes; others stay."""
-    w = _w(by, order)
-    seen = {f"_s_{c}": F.count(c).over(w.rowsBetween(Window.unboundedPreceding, 0)) for c in cols}
-    first = df.groupBy(*by).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_f_{c}") for c in cols])
-    out = df.withColumns(seen).join(first.withColumnsRenamed({b: f"_b_{b}" for b in by}), _null_safe(by), "left")
-    out = out.withColumns({c: F.when(F.col(f"_s_{c}") == 0, F.col(f"_f_{c}")).otherwise(F.col(c)) for c in cols})
-    return out.select(*df.columns)
+    at = F.struct(*[F.col(c).alias(c) for c in order])
+    first = df.groupBy(*by).agg(*[F.min_by(F.struct(F.col(c).alias("v"), at.alias("at")), F.when(F.col(c).isNotNull(), at)).alias(f"_f_{c}") for c in cols])
+    out = df.join(first.withColumnsRenamed({b: f"_b_{b}" for b in by}), _null_safe(by), "left")
+    fill = {c: F.when(F.col(c).isNull() & (at < F.col(f"_f_{c}.at")), F.col(f"_f_{c}.v")).otherwise(F.col(c)) for c in cols}
+    return out.select(*[fill.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
 def _null_safe(by: list[str]) -> Column:
@@ -62,15 +60,16 @@ def _null_safe(by: list[str]) -> Column:
     return cond
 
 
-def adjacent_conflicts(df: DataFrame, by: list[str], order: list[str], same: str, differs: str) -> DataFrame:
+def adjacent_conflicts(df: DataFrame, by: list[str], order: list[str], same: str, differs: str, stretch: Column | None = None) -> DataFrame:
     """Rows whose next row has the same ``same`` but another ``differs`` (null differs from everything)."""
-    w = _w(by, order)
-    out = df.withColumn("next_value", F.lead(differs).over(w))
-    clash = (F.lead(same).over(w) == F.col(same)) & ~F.coalesce(F.col(differs) == F.lead(differs).over(w), F.lit(False))
-    return out.withColumn("_c", clash).filter("_c").drop("_c")
+    out = Ordering(by, order, stretch).neighbour(df, {same: "_next_same", differs: "next_value"}, behind=True)
+    clash = (F.col("_next_same") == F.col(same)) & ~F.coalesce(F.col(differs) == F.col("next_value"), F.lit(False))
+    return out.filter(clash).drop("_next_same")
 
 
-def merge_consecutive(df: DataFrame, keys: list[str], offset: str, hits: str, keep_first: list[str], keep_last: list[str], row: str, average: str = "odd", gap: int = 1) -> DataFrame:
+def merge_consecutive(
+    df: DataFrame, keys: list[str], offset: str, hits: str, keep_first: list[str], keep_last: list[str], row: str, average: str = "odd", gap: int = 1, stretch: Column | None = None
+) -> DataFrame:
     """Rows of one key whose offsets follow each other become one exposure.
 
     Of rows with one key and offset the last one (by ``row``) counts.  duration counts the offsets; hits are summed;
@@ -78,10 +77,11 @@ def merge_consecutive(df: DataFrame, keys: list[str], offset: str, hits: str, ke
     three digits where that isn't whole, else the last row's own hits; ``tenth`` is hits / duration to one digit.
     Rows with a null key or offset are left out.
     """
-    rows = df.dropna(subset=[*keys, offset]).withColumn("_n", F.row_number().over(Window.partitionBy(*keys, offset).orderBy(F.col(row).desc()))).filter("_n = 1").drop("_n")
-    w = _w(keys, [offset])
-    rows = rows.withColumn("_new", F.when(F.col(offset) - F.lag(offset).over(w) <= gap, 0).otherwise(1))
-    rows = rows.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rest = list(dict.fromkeys([hits, *keep_first, *keep_last]))
+    rows = df.dropna(subset=[*keys, offset]).groupBy(*keys, offset).agg(F.max_by(F.struct(*rest), row).alias("_x")).select(*keys, offset, "_x.*")
+    o = Ordering(keys, [offset], stretch)
+    rows = o.neighbour(rows, {offset: "_before"})
+    rows = o.running_sum(rows, F.when(F.col(offset) - F.col("_before") <= gap, 0).otherwise(1), "_island")
     aggs = [F.min(offset).alias("first_offset"), F.count(F.lit(1)).alias("duration"), F.sum(hits).cast("bigint").alias("hits"), F.max_by(hits, offset).alias("_own")]
     aggs += [F.min_by(c, offset).alias(c) for c in keep_first] + [F.max_by(c, offset).alias(c) for c in keep_last]
     out = rows.groupBy(*keys, "_island").agg(*aggs)
@@ -90,14 +90,14 @@ def merge_consecutive(df: DataFrame, keys: list[str], offset: str, hits: str, ke
     return out.withColumn("average_hits", avg).drop("_island", "_own")
 
 
-def similarity_runs(df: DataFrame, by: list[str], order: list[str], score: str, first: str, least: float) -> DataFrame:
+def similarity_runs(df: DataFrame, by: list[str], order: list[str], score: str, first: str, least: float, stretch: Column | None = None) -> DataFrame:
     """Runs of more than one row in which each row but the last scores ``least`` or more with the next one.
 
     ``score`` stands at the earlier row of each pair.  Columns ``by``, first_image, n_images.
     """
-    w = _w(by, order)
-    out = df.withColumn("_new", F.when(F.lag(score).over(w) >= least, 0).otherwise(1))
-    out = out.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    o = Ordering(by, order, stretch)
+    out = o.neighbour(df, {score: "_before"})
+    out = o.running_sum(out, F.when(F.col("_before") >= least, 0).otherwise(1), "_run")
     runs = out.groupBy(*by, "_run").agg(F.min_by(first, F.struct(*order)).alias("first_image"), F.count(F.lit(1)).alias("n_images"))
     return runs.filter("n_images > 1").drop("_run")
 
@@ -134,9 +134,9 @@ def duplicate_split(df: DataFrame, key: str) -> DataFrame:
     return df.join(n, F.col(key).eqNullSafe(F.col("_b"))).withColumn("is_duplicate", F.col("_n") > 1).select(*df.columns, "is_duplicate")
 
 
-def carry_over(df: DataFrame, by: list[str], order: list[str], col: str, to: str) -> DataFrame:
+def carry_over(df: DataFrame, by: list[str], order: list[str], col: str, to: str, stretch: Column | None = None) -> DataFrame:
     """The previous row's value beside each row."""
-    return df.withColumn(to, F.lag(col).over(_w(by, order)))
+    return Ordering(by, order, stretch).neighbour(df, {col: to})
 
 
 def greedy_groups(df: DataFrame, by: list[str], target: str, member: str, order: list[str]) -> DataFrame:

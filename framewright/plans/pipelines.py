@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from framewright.operators import aggregate, joins, reshape, sequences, setops
 from framewright.operators.ordered import global_rank
+from framewright.operators.stretches import frames
 
 
 def player_sheet(homeplate: DataFrame, batters: DataFrame, base: int = 1) -> DataFrame:
@@ -18,15 +19,15 @@ def player_sheet(homeplate: DataFrame, batters: DataFrame, base: int = 1) -> Dat
     dropped, and players of one frame made one by majority.
     """
     by, order = ["file"], ["frame_no", "row_id"]
-    runs = sequences.run_index(batters.filter("frame_no is not null"), by, order, ["brand"])
+    runs = sequences.run_index(batters.filter("frame_no is not null"), by, order, ["brand"], frames("frame_no"))
     who = runs.select("file", "frame_no", F.col("location").alias("player"), sequences.half_innings(F.col("run"), base).alias("inning"))
     both = setops.union_by_name(homeplate.withColumn("src", F.lit(0)), batters.withColumn("src", F.lit(1))).filter("frame_no is not null")
-    frames = joins.enrich(reshape.expand_duration(both, hits=None), who, ["file", "frame_no"])
+    rows = joins.enrich(reshape.expand_duration(both, hits=None), who, ["file", "frame_no"])
     order = ["frame_no", "src", "row_id"]
-    frames = sequences.forward_fill(frames, by, order, ["player", "inning"])
-    frames = sequences.leading_fill(frames, by, order, ["player", "inning"])
+    rows = sequences.forward_fill(rows, by, order, ["player", "inning"], frames("frame_no"))
+    rows = sequences.leading_fill(rows, by, order, ["player", "inning"])
     keys = ["file", "brand", "location", "screen_time", "screen_location", "screen_size_pct", "average_hits", "player", "inning"]
-    out = reshape.compact(frames.withColumn("total_hits", F.lit(1)), keys, ["duration", "total_hits"], "frame_no")
+    out = reshape.compact(rows.withColumn("total_hits", F.lit(1)), keys, ["duration", "total_hits"], "frame_no")
     out = out.filter(~F.col("location").rlike("[0-9]\\s*-\\s*"))
     out = out.withColumn("row_id", F.xxhash64(*keys))
     out = sequences.majority_vote(out, ["file", "frame_no"], "player", "row_id")
@@ -72,8 +73,7 @@ def reduced_frames(edges: DataFrame, by: list[str], order: list[str], least: flo
 def restored_durations(rows: DataFrame, runs: DataFrame, frame: str = "frame") -> DataFrame:
     """Durations of rows annotated on reduced frames, with the frames that their run stood for added back.
 
-    ``runs`` has first_image and n_images; names and frames meet on their number.  A row whose number no run has stays.
+    ``runs`` has first_image and n_images; see ``joins.add_runs`` for how names and frames meet.  A row that no run
+    meets stays.
     """
-    a = rows.withColumn("_k", joins.stripped_number(F.col(frame)))
-    u = runs.select(joins.stripped_number(F.col("first_image")).alias("_k"), "n_images")
-    return joins.add_updates(a, u, "_k", "n_images", ["duration", "total_hits"]).drop("_k")
+    return joins.add_runs(rows, runs, frame, "first_image", "n_images", ["duration", "total_hits"])

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from framewright.functions import numbers, times
 from framewright.functions.names import natural_key
-from framewright.functions.text import last_number, strip_all
-from framewright.operators import aggregate, reshape, sequences
+from framewright.functions.text import last_number, strip_all, word_count
+from framewright.operators import aggregate, columns, reshape, sequences
+from framewright.operators.stretches import Ordering, frames
 from framewright.queries.registry import Registry
 from framewright.tables import table
 
@@ -240,7 +241,7 @@ def _batters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _runs(spark: SparkSession, folder: str) -> DataFrame:
-    return sequences.run_index(_batters(spark, folder).select("row_id", "file_name", "brand", "frame_no"), ["file_name"], ["frame_no", "row_id"], ["brand"])
+    return sequences.run_index(_batters(spark, folder).select("row_id", "file_name", "brand", "frame_no"), ["file_name"], ["frame_no", "row_id"], ["brand"], frames("frame_no"))
 
 
 @query(_RUN + " SELECT row_id, run, CAST(row_number() OVER (PARTITION BY file_name, run ORDER BY frame_no, row_id) AS INTEGER) AS pos FROM z")
@@ -260,7 +261,7 @@ def q_half_innings_base7(spark, folder):
 
 @query(f"{_B} SELECT row_id, last_value(location IGNORE NULLS) OVER ({_ORD} ROWS UNBOUNDED PRECEDING) AS location FROM x WHERE frame_no IS NOT NULL")
 def q_forward_fill(spark, folder):
-    return sequences.forward_fill(_batters(spark, folder), ["file_name"], ["frame_no", "row_id"], ["location"]).select("row_id", "location")
+    return sequences.forward_fill(_batters(spark, folder), ["file_name"], ["frame_no", "row_id"], ["location"], frames("frame_no")).select("row_id", "location")
 
 
 @query(
@@ -276,7 +277,7 @@ def q_leading_fill(spark, folder):
 WHERE nf = frame_no AND coalesce(location <> next_value, true)"""
 )
 def q_adjacent_conflict(spark, folder):
-    return sequences.adjacent_conflicts(_batters(spark, folder), ["file_name"], ["frame_no", "row_id"], "frame_no", "location").select("row_id", "location", "next_value")
+    return sequences.adjacent_conflicts(_batters(spark, folder), ["file_name"], ["frame_no", "row_id"], "frame_no", "location", frames("frame_no")).select("row_id", "location", "next_value")
 
 
 def _merge_sql(source: str, keys: str, offset: str, first: str, last: str, average: str) -> str:
@@ -297,19 +298,19 @@ _TENTH = "floor(hits / CAST(duration AS DOUBLE) * 10 + 0.5) / 10.0"
 @query(_merge_sql("exposures", "file_name, brand, location", "TRY_CAST(regexp_extract(frame, '([0-9]+)[^0-9]*$', 1) AS BIGINT)", "screen_time screen_location", "screen_size_pct", _ODD))
 def q_consecutive_merge(spark, folder):
     t = numbered(spark, folder, "exposures")
-    return sequences.merge_consecutive(t, ["file_name", "brand", "location"], "frame_no", "total_hits", ["screen_time", "screen_location"], ["screen_size_pct"], "row_id")
+    return sequences.merge_consecutive(t, ["file_name", "brand", "location"], "frame_no", "total_hits", ["screen_time", "screen_location"], ["screen_size_pct"], "row_id", stretch=frames("frame_no"))
 
 
 @query(_merge_sql("news_exposures", "brand, location, air_date, channel", "frame", "screen_location", "screen_size_pct", _TENTH))
 def q_consecutive_merge_dated(spark, folder):
     t = table(spark, folder, "news_exposures")
-    return sequences.merge_consecutive(t, ["brand", "location", "air_date", "channel"], "frame", "total_hits", ["screen_location"], ["screen_size_pct"], "row_id", average="tenth")
+    return sequences.merge_consecutive(t, ["brand", "location", "air_date", "channel"], "frame", "total_hits", ["screen_location"], ["screen_size_pct"], "row_id", average="tenth", stretch=frames("frame"))
 
 
 @query(_merge_sql("bbl", "file_name, brand, location", "frame", "screen_time", "size_pct", _TENTH))
 def q_consecutive_merge_simple(spark, folder):
     t = table(spark, folder, "bbl")
-    return sequences.merge_consecutive(t, ["file_name", "brand", "location"], "frame", "total_hits", ["screen_time"], ["size_pct"], "row_id", average="tenth")
+    return sequences.merge_consecutive(t, ["file_name", "brand", "location"], "frame", "total_hits", ["screen_time"], ["size_pct"], "row_id", average="tenth", stretch=frames("frame"))
 
 
 @query(
@@ -322,20 +323,22 @@ SELECT file_name, first_value AS first_image, n AS n_images FROM (SELECT file_na
 )
 def q_similarity_runs(spark, folder):
     t = numbered(spark, folder, "exposures").filter("frame_no is not null").select("file_name", "frame_no", "row_id", "screen_size_pct")
-    w = Window.partitionBy("file_name").orderBy("frame_no", "row_id")
-    t = t.withColumn("score", 1 - F.least(F.abs(F.col("screen_size_pct") - F.lead("screen_size_pct").over(w)) / 15, F.lit(1.0)))
-    return sequences.similarity_runs(t, ["file_name"], ["frame_no", "row_id"], "score", "row_id", 0.98)
+    order = ["frame_no", "row_id"]
+    t = Ordering(["file_name"], order, frames("frame_no")).neighbour(t, {"screen_size_pct": "next_size"}, behind=True)
+    t = t.withColumn("score", 1 - F.least(F.abs(F.col("screen_size_pct") - F.col("next_size")) / 15, F.lit(1.0)))
+    return sequences.similarity_runs(t, ["file_name"], order, "score", "row_id", 0.98, frames("frame_no"))
 
 
-@query(f"{_X} SELECT row_id, CAST(row_number() OVER ({_ORD}) AS INTEGER) AS art_id FROM x")
+@query(f"{_X} SELECT row_id, CAST(row_number() OVER (PARTITION BY file_name ORDER BY frame_no NULLS FIRST, row_id) AS BIGINT) AS art_id FROM x")
 def q_row_ids(spark, folder):
-    t = numbered(spark, folder, "exposures")
-    return t.select("row_id", F.row_number().over(Window.partitionBy("file_name").orderBy(F.col("frame_no").asc_nulls_last(), "row_id")).alias("art_id"))
+    t = numbered(spark, folder, "exposures").select("row_id", "file_name", "frame_no")
+    return Ordering(["file_name"], ["frame_no", "row_id"], frames("frame_no")).row_number(t, "art_id").select("row_id", "art_id")
 
 
-@query(f"{_X} SELECT row_id, CAST(row_number() OVER (PARTITION BY file_name, brand ORDER BY frame_no, row_id) AS INTEGER) AS hit FROM x")
+@query(f"{_X} SELECT row_id, CAST(row_number() OVER (PARTITION BY file_name, brand ORDER BY frame_no NULLS FIRST, row_id) AS BIGINT) AS hit FROM x")
 def q_running_hits(spark, folder):
-    return numbered(spark, folder, "exposures").select("row_id", F.row_number().over(Window.partitionBy("file_name", "brand").orderBy(F.col("frame_no").asc_nulls_last(), "row_id")).alias("hit"))
+    t = numbered(spark, folder, "exposures").select("row_id", "file_name", "brand", "frame_no")
+    return Ordering(["file_name", "brand"], ["frame_no", "row_id"], frames("frame_no")).row_number(t, "hit").select("row_id", "hit")
 
 
 @query("SELECT brand, row_number() OVER (ORDER BY r) - 1 AS id FROM (SELECT brand, min(row_id) AS r FROM results_ledger WHERE brand IS NOT NULL GROUP BY brand)")
@@ -571,4 +574,22 @@ def q_type_ahead(spark, folder):
     return t.select("row_id", F.regexp_replace(F.lower(strip_all(F.col("brand"))), "^(.{0,3}).*$", "$1").alias("prefix"))
 
 
+@query(_X + " SELECT file_name, arg_min(frame_no, struct_pack(d := abs(frame_no - 1000), r := row_id)) AS closest FROM x WHERE frame_no IS NOT NULL GROUP BY file_name")
+def q_closest(spark, folder):
+    return columns.closest(numbered(spark, folder, "exposures"), ["file_name"], "frame_no", F.lit(1000), "row_id")
+
+
+@query("SELECT row_id, file_name, brand FROM results_ledger ORDER BY row_id LIMIT 10 OFFSET 20")
+def q_preview(spark, folder):
+    return columns.preview(table(spark, folder, "results_ledger").select("row_id", "file_name", "brand"), ["row_id"], 20)
+
+
+@query(
+    r"""SELECT doc_id, CAST(CASE WHEN trim(text) = '' THEN 0 ELSE len(string_split(trim(regexp_replace(text, '[\t\n\x0b\f\r ]+', ' ', 'g')), ' ')) END AS INTEGER) AS words
+FROM documents WHERE text IS NOT NULL"""
+)
+def q_word_count(spark, folder):
+    return table(spark, folder, "documents").filter("text is not null").select("doc_id", word_count(F.col("text")).alias("words"))
+
+
 QUERIES, SQL = query.queries, query.sql

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from framewright.functions.numbers import pearson
 from framewright.operators import fuzzy, joins, ontology, sequences, setops, vectors
+from framewright.operators.stretches import frames
 from framewright.queries.exposures import _NO, numbered
 from framewright.queries.registry import Registry
 from framewright.tables import table
@@ -148,10 +149,10 @@ def q_band_join(spark, folder):
     return joins.within_band(t, ["file_name"], "frame_no", 3).select("file_name", "pos_a", "pos_b")
 
 
-@query(f"SELECT * FROM (SELECT row_id, lead(row_id) OVER (PARTITION BY file_name ORDER BY {_NO.replace(' AS frame_no', '')}, row_id) AS next_value FROM batters) WHERE next_value IS NOT NULL")
+@query(f"SELECT * FROM (SELECT row_id, lead(row_id) OVER (PARTITION BY file_name ORDER BY {_NO.replace(' AS frame_no', '')} NULLS FIRST, row_id) AS next_value FROM batters) WHERE next_value IS NOT NULL")
 def q_next_pair(spark, folder):
-    t = numbered(spark, folder, "batters").withColumn("o", F.coalesce("frame_no", F.lit((1 << 63) - 1)))
-    return joins.next_pairs(t, ["file_name"], ["o", "row_id"], "row_id").select("row_id", "next_value")
+    t = numbered(spark, folder, "batters").select("row_id", "file_name", "frame_no")
+    return joins.next_pairs(t, ["file_name"], ["frame_no", "row_id"], "row_id", frames("frame_no")).select("row_id", "next_value")
 
 
 @query(
@@ -185,7 +186,7 @@ def q_kmeans_rank(spark, folder):
 @query()
 def q_cluster_pairs(spark, folder):
     t = table(spark, folder, "embeddings")
-    near = vectors.nearest(t, t, "vec_id", 10)
+    near = vectors.nearest(t, t.filter("vec_id % 20 = 0"), "vec_id", 10)
     label = t.select("vec_id", "label")
     return near.join(label, "vec_id").join(label.withColumnsRenamed({"vec_id": "query_id", "label": "own"}), "query_id").filter("own = label").select("query_id", "vec_id", "rank")
 
@@ -193,7 +194,7 @@ def q_cluster_pairs(spark, folder):
 @query()
 def q_greedy_groups(spark, folder):
     t = table(spark, folder, "embeddings")
-    near = vectors.nearest(t, t, "vec_id", 10).join(t.select(F.col("vec_id").alias("query_id"), "label"), "query_id")
+    near = vectors.nearest(t, t.filter("vec_id % 20 = 0"), "vec_id", 10).join(t.select(F.col("vec_id").alias("query_id"), "label"), "query_id")
     return sequences.greedy_groups(near, ["label"], "query_id", "vec_id", ["distance", "query_id", "vec_id"])
 
 

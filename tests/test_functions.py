@@ -112,3 +112,22 @@ def test_pictures():
     assert part.shape == (12, 15) and images.template_score(grey, part) > 0.999
     assert images.any_template(grey, [b[:12, :15, 0], part], 0.9) == 1 and images.any_template(grey, [b[:12, :15, 0]], 0.9) == -1
     assert images.decode({"height": -1, "width": 0, "nChannels": 0, "data": b""}) is None
+
+
+def test_columns(spark, rows):
+    from framewright.operators import columns, joins
+
+    df = spark.createDataFrame([("f", 3, 1), ("f", 7, 2), ("f", None, 3)], "f string, v int, r int")
+    assert columns.move_column(df, "r", 0).columns == ["r", "f", "v"] and columns.swap_columns(df, "f", "r").columns == ["r", "v", "f"]
+    assert rows(columns.closest(df, ["f"], "v", F.lit(5), "r")) == [("f", 3)]
+    assert [r.r for r in columns.preview(df, ["r"], -5, 2).collect()] == [1, 2]
+    boxes = spark.sql("SELECT array(named_struct('b', 1, 't', 2), named_struct('b', 1, 't', 3)) x")
+    assert tuple(boxes.select(columns.has_repeats(F.col("x"), ["b"]), columns.has_repeats(F.col("x"), ["b", "t"])).first()) == (True, False)
+    assert one(spark, "a  b\tc", text.word_count) == (3,) and one(spark, "12 photos", text.word_count) == (12,) and one(spark, "__", text.word_count) == (None,)
+    start, second = times.start_of_frame(F.col("x"))
+    assert tuple(spark.createDataFrame([("WV_a_1830_77",)], "x string").select(start, second).first()) == ("1830", 77)
+    ann = spark.createDataFrame([("g_0001", 1, 1), ("0007", 1, 1)], "frame string, d int, h int")
+    by_prefix = spark.createDataFrame([("g_0001.jpg", 4)], "first_image string, n int")
+    by_number = spark.createDataFrame([("7.jpg", 2)], "first_image string, n int")
+    assert rows(joins.add_runs(ann, by_prefix, "frame", "first_image", "n", ["d", "h"])) == [("0007", 1, 1), ("g_0001", 5, 5)]
+    assert rows(joins.add_runs(ann, by_number, "frame", "first_image", "n", ["d", "h"])) == [("0007", 3, 3), ("g_0001", 1, 1)]

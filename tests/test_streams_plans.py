@@ -75,9 +75,9 @@ def test_history(spark, rows):
 
 
 def test_reduce_and_restore(spark, rows):
-    edges = spark.createDataFrame([("v", i, f"im_{i:03d}.jpg", s) for i, s in enumerate([0.99, 0.99, 0.2, 0.1])], "v string, i int, target_image string, score double")
+    edges = spark.createDataFrame([("v", i, f"{i:03d}.jpg", s) for i, s in enumerate([0.99, 0.99, 0.2, 0.1])], "v string, i int, target_image string, score double")
     runs = pipelines.reduced_frames(edges, ["v"], ["i"])
-    assert rows(runs.select("first_image", "n_images")) == [("im_000.jpg", 3)]
+    assert rows(runs.select("first_image", "n_images")) == [("000.jpg", 3)]
     ann = spark.createDataFrame([("0000", 1, 1), ("0003", 1, 1)], "frame string, duration int, total_hits int")
     assert rows(pipelines.restored_durations(ann, runs).select("frame", F.col("duration"))) == [("0000", 4), ("0003", 1)]
 
