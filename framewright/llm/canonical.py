@@ -22,7 +22,7 @@ from framewright.llm.labels import plain
 
 #: Jaccard similarity from which a name is a candidate.  Two mistyped letters in seven leave 0.36.
 LIKE = 0.36
-#: Characters of names up to which the list goes to every task.
+#: Characters of names up to which the list goes to every task; a longer one is joined by a shuffle.
 SENT_CHARS = 4 << 20
 #: Letters of an abbreviated word at least.
 SHORT = 3
@@ -137,13 +137,19 @@ class Entries:
     def meant(self, text: str) -> int | None:
         """The entry that a typed value means, or None."""
         whole = words_of(text)
+        for w in (whole, bare(whole)):
+            got = self.exact.get("".join(w)) if w else None
+            if got is not None:
+                return got
+        best = self.best(text)
+        return None if best is None else best[-1]
+
+    def best(self, text: str) -> tuple[float, int, float, int] | None:
+        """(mistyped letters, 1 where words behind the name were left out, less similarity, entry) of the best one."""
+        whole = words_of(text)
         if not whole:
             return None
         forms = [whole] if bare(whole) == whole else [whole, bare(whole)]
-        for w in forms:
-            got = self.exact.get("".join(w))
-            if got is not None:
-                return got
         best: tuple | None = None
         for extra, w in enumerate(forms):
             compact = "".join(w)
@@ -155,8 +161,8 @@ class Entries:
                     d = mistyped(spelt(text), self.spelt[n], allowed(len(self.spelt[n])))
                     d = d if d <= allowed(len(self.spelt[n])) else None
                 if d is not None and (best is None or (d, extra, -like, ref) < best):
-                    best = (d, extra, -like, ref)
-        return None if best is None else best[-1]
+                    best = (float(d), extra, -like, ref)
+        return best
 
     @staticmethod
     def _distance(w: list[str], compact: str, name: list[str], full: str) -> float | None:
@@ -186,21 +192,84 @@ def _match(names: dict[str, list[tuple[int, str]]], like: float):
     return run
 
 
+_TOKENS = "kind string, key string, extra int, size int, tokens array<string>"
+
+
+def _tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(kind, key, text) to a row per form of the text with its tokens; the text itself stays behind."""
+    for b in batches:
+        rows = []
+        for k, key, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            whole = words_of(t)
+            forms = [whole] if bare(whole) == whole else [whole, bare(whole)]
+            for extra, w in enumerate(forms):
+                tokens = sorted(tokens_of("".join(w)))
+                if tokens:
+                    rows.append((k, key, extra, len(tokens), tokens))
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["kind", "key", "extra", "size", "tokens"])
+
+
+def _explain(like: float):
+    """(kind, value, ref_id, name) to how well the name explains the value; pairs it doesn't explain are dropped."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, got = [], []
+            for i, (_, value, ref, name) in enumerate(zip(*(c.to_pylist() for c in b.columns), strict=True)):
+                best = Entries([(ref, name)], like).best(value)
+                if best is not None:
+                    at.append(i)
+                    got.append(best)
+            k = pa.array(at, pa.int64())
+            cols = list(zip(*got, strict=True)) if got else [[]] * 4
+            types = [pa.float64(), pa.int32(), pa.float64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(k), b.column(1).take(k), *[pa.array(c, t) for c, t in zip(cols, types, strict=True)]], names=["kind", "value", "d", "extra", "unlike", "ref"])
+
+    return run
+
+
+def _joined(once: DataFrame, ref: DataFrame, like: float) -> DataFrame:
+    """The same mapping where the list is too long to be sent: prefixes meet in an equi-join on kind and token."""
+    keyed = once.select("kind", F.md5("value").alias("key"), "value")
+    listed = ref.select("kind", F.md5("name").alias("name_key"), "name", "ref_id")
+    typed = keyed.mapInArrow(_tokenised, _TOKENS)
+    names = listed.select("kind", "name_key", "name").distinct().mapInArrow(_tokenised, _TOKENS).filter("extra = 0")
+    rarity = names.select("kind", F.explode("tokens").alias("token")).groupBy("kind", "token").agg(F.count(F.lit(1)).alias("n"))
+
+    def prefixes(t: DataFrame) -> DataFrame:
+        one = t.select("kind", "key", "extra", "size", F.explode("tokens").alias("token")).join(rarity, ["kind", "token"], "left")
+        order = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")))
+        keep = (F.col("size") - F.ceil(F.lit(like) * F.col("size")) + 1).cast("int")
+        out = one.groupBy("kind", "key", "extra", "size").agg(order.alias("o"))
+        return out.select("kind", "key", "size", F.explode(F.slice("o", F.lit(1), keep)).alias("x")).select("kind", "key", "size", "x.token")
+
+    a = prefixes(typed)
+    b = prefixes(names).withColumnsRenamed({"key": "name_key", "size": "other"})
+    near = a.join(b, ["kind", "token"]).filter(F.least("size", "other") >= like * F.greatest("size", "other"))
+    near = near.select("kind", "key", "name_key").distinct().join(keyed, ["kind", "key"]).join(listed, ["kind", "name_key"])
+    scored = near.select("kind", "value", "ref_id", "name").mapInArrow(_explain(like), "kind string, value string, d double, extra int, unlike double, ref bigint")
+    best = scored.groupBy("kind", "value").agg(F.min(F.struct("d", "extra", "unlike", "ref")).alias("b"))
+    return once.join(best, ["kind", "value"], "left").select("kind", "value", F.coalesce("b.ref", F.lit(-1)).cast("bigint").alias("ref_id"))
+
+
 def map_values(values: DataFrame, reference: DataFrame, like: float = LIKE, sent_chars: int = SENT_CHARS) -> DataFrame:
     """(kind, value) to (kind, value, ref_id), once per distinct value; ref_id is -1 where no entry is meant.
 
-    ``reference`` has kind, ref_id, name and alt_names (joined by bars, may be null).  Its size is checked before it is
-    sent to the tasks; a list beyond ``sent_chars`` is refused.  Null values have no row; a value without any letter or
-    digit means no entry.  Of entries that fit equally well the one with the smaller ref_id is taken.
+    ``reference`` has kind, ref_id, name and alt_names (joined by bars, may be null).  Its size is measured: up to
+    ``sent_chars`` it is sent to the tasks, beyond that it is joined by a shuffle, with the same result.  Null values have
+    no row; a value without any letter or digit means no entry.  Of entries that fit equally well the one with the
+    smaller ref_id is taken.
     """
     ref = reference.select("kind", F.col("ref_id").cast("bigint").alias("ref_id"), F.explode(F.array_compact(F.concat(F.array("name"), F.coalesce(F.split("alt_names", "\\|"), F.array().cast("array<string>"))))).alias("name"))
+    once = values.select("kind", "value").filter("kind is not null and value is not null").distinct()
     chars = ref.agg(F.sum(F.length("name"))).first()[0] or 0
     if chars > sent_chars:
-        raise ValueError(f"the reference list has {chars} characters of names, more than {sent_chars}")
+        return _joined(once, ref, like)
     names: dict[str, list[tuple[int, str]]] = defaultdict(list)
     for r in ref.collect():
         names[r.kind].append((r.ref_id, r.name))
-    once = values.select("kind", "value").filter("kind is not null and value is not null").distinct()
     # A value is little to read and much to compare: few bytes must not end up in one task.
     spread = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return once.repartition(spread, "value").mapInArrow(_match(dict(names), like), "kind string, value string, ref_id bigint")

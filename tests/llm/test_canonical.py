@@ -50,5 +50,22 @@ def test_frame(spark):
     got = sorted((r.row_id, r.field, r.ref_id) for r in canonical.map_fields(df, "row_id", ["brand", "location"], ref).collect())
     assert got == [(1, "brand", 1), (1, "location", 2), (4, "brand", 1), (4, "location", -1), (5, "brand", 1), (5, "location", -1), (6, "brand", 1)]
     assert canonical.map_fields(df.limit(0), "row_id", ["brand", "location"], ref).collect() == []
-    with pytest.raises(ValueError, match="characters"):
-        canonical.map_values(df.selectExpr("'brand' kind", "brand value"), ref, sent_chars=3)
+    joined = sorted((r.row_id, r.field, r.ref_id) for r in canonical.map_fields(df, "row_id", ["brand", "location"], ref, sent_chars=3).collect())
+    assert joined == got
+
+
+def test_joined_list_agrees(spark):
+    random.seed(8)
+    words = ["".join(random.choice("abcdeo") for _ in range(random.randrange(3, 9))) for _ in range(60)]
+    names = [(i, "brand", " ".join(random.sample(words, random.choice([1, 2]))).title(), None) for i in range(80)]
+    ref = spark.createDataFrame(names, "ref_id long, kind string, name string, alt_names string")
+    typed = []
+    for _ in range(300):
+        t = list(random.choice(names)[2])
+        for _ in range(random.choice([0, 1, 2, 3])):
+            t[random.randrange(len(t))] = random.choice("abcdeo ")
+        typed.append(("brand", random.choice(["", " "]) + "".join(t) + random.choice(["", " Ltd", " 2"])))
+    df = spark.createDataFrame(typed, "kind string, value string")
+    sent = sorted(tuple(r) for r in canonical.map_values(df, ref).collect())
+    assert sorted(tuple(r) for r in canonical.map_values(df, ref, sent_chars=0).collect()) == sent
+    assert len({r[2] for r in sent}) > 40
