@@ -24,8 +24,9 @@ def run_index(df: DataFrame, by: list[str], order: list[str], values: list[str],
     same = F.lit(True)
     for c, p in before.items():
         same = same & F.coalesce(F.col(c) == F.col(p), F.lit(False))
-    out = o.running_sum(out.withColumn("_new", (~same).cast("int")).drop(*before.values()), F.col("_new"), "run")
-    return Ordering([*by, "run"], order, stretch).row_number(out, "pos").withColumn("pos", F.col("pos").cast("int")).drop("_new")
+    out = o.hold(out.withColumn("_new", (~same).cast("int")).drop(*before.values()))
+    out = o.hold(o.running_sum(out, F.col("_new"), "run").drop("_new"))
+    return Ordering([*by, "run"], order, stretch).row_number(out, "pos").withColumn("pos", F.col("pos").cast("int"))
 
 
 def half_innings(run: Column, base: int = 1) -> Column:
@@ -37,10 +38,7 @@ def half_innings(run: Column, base: int = 1) -> Column:
 
 def forward_fill(df: DataFrame, by: list[str], order: list[str], cols: list[str], stretch: Column | None = None) -> DataFrame:
     """Nulls take the last value before them; leading nulls stay."""
-    o = Ordering(by, order, stretch)
-    out = df
-    for i, c in enumerate(cols):
-        out = o.last_value(out, c, f"_l{i}")
+    out = Ordering(by, order, stretch).last_values(df, {c: f"_l{i}" for i, c in enumerate(cols)})
     return out.withColumns({c: F.col(f"_l{i}") for i, c in enumerate(cols)}).select(*df.columns)
 
 
@@ -80,7 +78,7 @@ def merge_consecutive(
     rest = list(dict.fromkeys([hits, *keep_first, *keep_last]))
     rows = df.dropna(subset=[*keys, offset]).groupBy(*keys, offset).agg(F.max_by(F.struct(*rest), row).alias("_x")).select(*keys, offset, "_x.*")
     o = Ordering(keys, [offset], stretch)
-    rows = o.neighbour(rows, {offset: "_before"})
+    rows = o.hold(o.neighbour(o.hold(rows), {offset: "_before"}))
     rows = o.running_sum(rows, F.when(F.col(offset) - F.col("_before") <= gap, 0).otherwise(1), "_island")
     aggs = [F.min(offset).alias("first_offset"), F.count(F.lit(1)).alias("duration"), F.sum(hits).cast("bigint").alias("hits"), F.max_by(hits, offset).alias("_own")]
     aggs += [F.min_by(c, offset).alias(c) for c in keep_first] + [F.max_by(c, offset).alias(c) for c in keep_last]
@@ -96,7 +94,7 @@ def similarity_runs(df: DataFrame, by: list[str], order: list[str], score: str,
     ``score`` stands at the earlier row of each pair.  Columns ``by``, first_image, n_images.
     """
     o = Ordering(by, order, stretch)
-    out = o.neighbour(df, {score: "_before"})
+    out = o.hold(o.neighbour(df, {score: "_before"}))
     out = o.running_sum(out, F.when(F.col("_before") >= least, 0).otherwise(1), "_run")
     runs = out.groupBy(*by, "_run").agg(F.min_by(first, F.struct(*order)).alias("first_image"), F.count(F.lit(1)).alias("n_images"))
     return runs.filter("n_images > 1").drop("_run")

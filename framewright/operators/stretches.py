@@ -3,6 +3,9 @@
 An ``Ordering`` may name a stretch: an expression of the order's first column that never falls (a bucket of frames).  Each
 stretch is then a window of its own, and what has to come from the stretches before it, or after it, is taken from one
 row per stretch.  A group of any size is so spread over as many tasks as it has stretches.
+
+With a stretch every step reads its rows twice, once for the summaries.  Steps that follow one another therefore go
+through ``hold``, which writes the rows down, so that the work before is done once however many steps there are.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framewright.session import store
+
 #: Frames in a stretch where queries cut by frame.
 WIDTH = 1 << 14
 
@@ -54,15 +59,26 @@ class Ordering:
     def row_number(self, df: DataFrame, name: str) -> DataFrame:
         return self.running_sum(df, F.lit(1), name)
 
-    def last_value(self, df: DataFrame, column: str, name: str) -> DataFrame:
-        """The last value up to each row that isn't null."""
+    def last_values(self, df: DataFrame, columns: dict[str, str]) -> DataFrame:
+        """The last values up to each row that aren't null, under the given names."""
         d = self._marked(df)
-        local = F.last(column, ignorenulls=True).over(self.window().rowsBetween(Window.unboundedPreceding, 0))
+        upto = self.window().rowsBetween(Window.unboundedPreceding, 0)
+        local = {c: F.last(c, ignorenulls=True).over(upto) for c in columns}
         if self.stretch is None:
-            return d.withColumn(name, local)
-        latest = F.max_by(column, F.when(F.col(column).isNotNull(), F.struct(*self.order)))
-        before = lambda w: F.last("_sum", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        return self._carried(d, latest, before).withColumn(name, F.coalesce(local, F.col("_carry"))).drop("_carry", "_st")
+            return d.withColumns({name: local[c] for c, name in columns.items()})
+        fields = {c: f"f{i}" for i, c in enumerate(columns)}
+        latest = F.struct(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*self.order))).alias(f) for c, f in fields.items()])
+
+        def before(w):
+            past = w.rowsBetween(Window.unboundedPreceding, -1)
+            return F.struct(*[F.last(f"_sum.{f}", ignorenulls=True).over(past).alias(f) for f in fields.values()])
+
+        d = self._carried(d, latest, before)
+        return d.withColumns({name: F.coalesce(local[c], F.col(f"_carry.{fields[c]}")) for c, name in columns.items()}).drop("_carry", "_st")
+
+    def hold(self, df: DataFrame) -> DataFrame:
+        """``df`` written down where it is to be read for its rows and for its stretches' summaries."""
+        return df if self.stretch is None else store(df)
 
     def neighbour(self, df: DataFrame, columns: dict[str, str], behind: bool = False) -> DataFrame:
         """The columns of the row before (or behind) each row under the given names; null at the end of a group."""

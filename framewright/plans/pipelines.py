@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from framewright.operators import aggregate, joins, reshape, sequences, setops
 from framewright.operators.ordered import global_rank
 from framewright.operators.stretches import frames
+from framewright.session import store
 
 
 def player_sheet(homeplate: DataFrame, batters: DataFrame, base: int = 1) -> DataFrame:
@@ -22,14 +23,14 @@ def player_sheet(homeplate: DataFrame, batters: DataFrame, base: int = 1) -> Dat
     runs = sequences.run_index(batters.filter("frame_no is not null"), by, order, ["brand"], frames("frame_no"))
     who = runs.select("file", "frame_no", F.col("location").alias("player"), sequences.half_innings(F.col("run"), base).alias("inning"))
     both = setops.union_by_name(homeplate.withColumn("src", F.lit(0)), batters.withColumn("src", F.lit(1))).filter("frame_no is not null")
-    rows = joins.enrich(reshape.expand_duration(both, hits=None), who, ["file", "frame_no"])
+    rows = store(joins.enrich(reshape.expand_duration(both, hits=None), who, ["file", "frame_no"]))
     order = ["frame_no", "src", "row_id"]
-    rows = sequences.forward_fill(rows, by, order, ["player", "inning"], frames("frame_no"))
+    rows = store(sequences.forward_fill(rows, by, order, ["player", "inning"], frames("frame_no")))
     rows = sequences.leading_fill(rows, by, order, ["player", "inning"])
     keys = ["file", "brand", "location", "screen_time", "screen_location", "screen_size_pct", "average_hits", "player", "inning"]
     out = reshape.compact(rows.withColumn("total_hits", F.lit(1)), keys, ["duration", "total_hits"], "frame_no")
     out = out.filter(~F.col("location").rlike("[0-9]\\s*-\\s*"))
-    out = out.withColumn("row_id", F.xxhash64(*keys))
+    out = store(out.withColumn("row_id", F.xxhash64(*keys)))
     out = sequences.majority_vote(out, ["file", "frame_no"], "player", "row_id")
     return sequences.majority_vote(out, ["file", "frame_no"], "inning", "row_id").drop("row_id")
 

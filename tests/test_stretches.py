@@ -29,7 +29,7 @@ def test_against_loops(data, df, stretch):
     o = Ordering(["g"], ["f", "r"], None if stretch is None else frames("f", stretch))
     sums = {r.r: r.s for r in o.running_sum(df, F.col("n"), "s").collect()}
     places = {r.r: r.p for r in o.row_number(df, "p").collect()}
-    last = {r.r: r.l for r in o.last_value(df, "v", "l").collect()}
+    last = {r.r: r.l for r in o.last_values(df, {"v": "l", "n": "m"}).collect()}
     before = {r.r: (r.b, r.c) for r in o.neighbour(df, {"r": "b", "v": "c"}).collect()}
     behind = {r.r: r.b for r in o.neighbour(df, {"r": "b"}, behind=True).collect()}
     for rows in groups(data):
