@@ -12,22 +12,18 @@ from pyspark.sql import functions as F
 from framewright.functions.numbers import dot
 
 
-def unit(df: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Vectors as doubles of length 1; a zero vector stays zero."""
-    n = F.sqrt(dot(F.col(vector), F.col(vector)))
-    return df.withColumn(vector, F.transform(vector, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0))))
-
-
 def centrality(df: DataFrame, cluster: str, vector: str = "embedding") -> DataFrame:
     """Column centrality: each row's summed cosine with all rows of its cluster, itself included.
 
-    The sum of cosines with all members is the cosine with their summed unit vectors: no pairs are made.
+    The sum of cosines with all members is the cosine with their summed unit vectors: no pairs are made.  A zero vector
+    has a cosine of 0 with everything.
     """
-    u = unit(df, vector)
-    parts = u.select(cluster, F.posexplode(vector).alias("i", "v")).groupBy(cluster, "i").agg(F.sum("v").alias("v"))
+    u = df.withColumn("_n", F.sqrt(dot(F.col(vector), F.col(vector))))
+    share = F.when(F.col("_n") > 0, F.col("v").cast("double") / F.col("_n")).otherwise(0.0)
+    parts = u.select(cluster, "_n", F.posexplode(vector).alias("i", "v")).groupBy(cluster, "i").agg(F.sum(share).alias("v"))
     total = parts.groupBy(cluster).agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("s")).select(F.col(cluster).alias("_c"), F.transform("s", lambda x: x["v"]).alias("_s"))
     out = u.join(total, F.col(cluster).eqNullSafe(F.col("_c")))
-    return out.withColumn("centrality", dot(F.col(vector), F.col("_s"))).drop("_c", "_s", vector)
+    return out.withColumn("centrality", F.when(F.col("_n") > 0, dot(F.col(vector), F.col("_s")) / F.col("_n")).otherwise(0.0)).drop("_c", "_s", "_n", vector)
 
 
 def kmeans(df: DataFrame, k: int = 5, vector: str = "embedding", seed: int = 42) -> DataFrame:
