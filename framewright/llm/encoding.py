@@ -35,9 +35,10 @@ CLEAN, LOST = "clean", "lost"
 SLOTS = 1 << 20
 #: Rounds of expectation maximisation.
 ROUNDS = 3
-#: What a value's own occurrences can't prove of itself, in occurrences, against a candidate that stands more often;
-#: against one that well-formed UTF-8 of another reading gave, which clean text doesn't hold, none of them prove anything.
-OWN = 8
+#: What a value's own occurrences can't prove of itself, in occurrences, against a candidate that stands more often.
+#: Against one that stands ``RARER`` times as often, and against one that well-formed UTF-8 of another reading gave, which
+#: clean text doesn't hold, none of them prove anything: whatever a slip's share is, it grows with the corpus.
+OWN, RARER = 8, 20
 #: Records of a source and field, or of the corpus, that weigh as much as what is expected of them.
 SHARE_RECORDS = 50
 _FIRST_CLEAN = 0.9
@@ -282,7 +283,8 @@ def _weigh(model: dict[int, float], whole: dict[str, float]):
                     score = math.log(prior)
                     if c["chain"] != CLEAN:  # against the value as it stands, as far as its own occurrences prove it
                         nested = c["undone"] and c["chain"].startswith("utf_8")
-                        own = total if nested else min(total, OWN) if (c["seen"] or 0) > total else 0
+                        seen = c["seen"] or 0
+                        own = total if nested or seen >= RARER * total else min(total, OWN) if seen > total else 0
                         score += fit(c["text"], value, own) - fit(value, value, own)
                     scored.append((score, c))
                 if lost:  # a control or replacement character was never written: it isn't the text as it was
