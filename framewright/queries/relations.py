@@ -136,7 +136,9 @@ def q_misspellings(spark, folder):
 
 @query()
 def q_fuzzy_top2(spark, folder):
-    return fuzzy.likely_misspellings(table(spark, folder, "reference_names").filter("kind = 'brand'"), "name", 10.0)
+    t = table(spark, folder, "exposures")
+    parts = [fuzzy.likely_misspellings(t, c, apart).withColumn("field", F.lit(c)) for c, apart in (("brand", 10.0), ("location", 5.0))]
+    return parts[0].unionByName(parts[1])
 
 
 @query(

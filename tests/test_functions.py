@@ -1,3 +1,7 @@
+import random
+import re
+from difflib import SequenceMatcher
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -59,6 +63,27 @@ def test_fuzzy(spark, rows):
     assert fuzzy.contained_pairs(df.limit(0), "b").collect() == []
 
 
+def test_misspellings_against_brute_force(spark):
+    one = spark.createDataFrame([("Roboudre",), ("Roboudrex",), ("Quagmyll",), ("ab",), ("abx",)], "b string")
+    assert {(r.label, r.second) for r in fuzzy.likely_misspellings(one, "b", 10.0).collect()} == {("Roboudre", "Roboudrex"), ("Roboudrex", "Roboudre")}
+    rng = random.Random(5)
+    made = {"".join(rng.choice("abcé ") for _ in range(rng.randrange(1, 25))) for _ in range(60)}
+    for x in sorted(made):
+        for _ in range(3):
+            i = rng.randrange(len(x))
+            made.add(x[:i] + rng.choice(["", "z", "q7", "b_"]) + x[i + rng.randrange(2) :])
+    df = spark.createDataFrame([(x,) for x in sorted(made)] + [(None,), ("",), ("12",)], "b string")
+    labels = sorted({re.sub(" {2,}", " ", re.sub("[0-9_]+", "", x)).strip(" ") for x in made} - {""})
+    for apart in (10.0, 30.0):
+        want = set()
+        for x in labels:
+            score, y = min((-round(SequenceMatcher(None, y, x, autojunk=False).ratio() * 100, 3), y) for y in labels if y != x)
+            if 0 < 100 + score < apart:
+                want.add((x, y, -score))
+        for block in (16, 2048):
+            assert {(r.label, r.second, r.second_score) for r in fuzzy.likely_misspellings(df, "b", apart, block).collect()} == want and want
+
+
 RULES = "Spartans\n\tTunnel <= tunnel^side|tunnel\n\tGate <= gat.s\n\t$$$ game <= match\n\t*** x <= no^tunnel\nHosts\n\tNever <= side"
 
 
