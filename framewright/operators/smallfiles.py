@@ -1,8 +1,9 @@
 """Consolidating very many small sorted pieces into few well-sized files.
 
 Every piece becomes sorted runs, cut at key-range borders.  All runs of one key range meet in one task, which merges
-them k ways off a heap, drops what repeats, and starts a new output file whenever the current one has its bytes.  A key
-range is a stretch of frames of one video, so a video of any size is spread over as many tasks as it has ranges.
+them k ways off a heap, drops what repeats, and starts a new roll whenever the current one has its bytes.  A key range is a
+stretch of frames of one video, so a video of any size is spread over as many tasks as it has ranges.  Files are then
+packed from neighbouring ranges, over the borders of videos, up to their bytes; only a range above them is cut.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright import schemas
+from framewright.session import cut, store
 
 #: Frames per key range.
 RANGE = 1 << 14
@@ -26,6 +29,9 @@ TARGET_BYTES = 128 << 20
 
 _LAST_DIGITS = re.compile(r"([0-9]+)[^0-9]*\Z")
 _MAX = (1 << 63) - 1
+#: Columns of a written file, and rows of one of its row groups.
+_KEPT = ["video", "frame_no", "brand", "location", "duration"]
+_GROUP = 1 << 17
 Record = tuple[int, str, str, int]  # frame, brand, location, duration; -1 for a frame or duration that isn't there
 
 
@@ -144,53 +150,128 @@ def consolidate(pieces: DataFrame, video: str = "video", content: str = "content
     return runs.repartition("video", "part").sortWithinPartitions("video", "part").mapInArrow(_merge(target), _OUT)
 
 
+def _size() -> Column:
+    return F.lit(16) + F.octet_length("brand") + F.octet_length("location")
+
+
 def output_files(records: DataFrame) -> DataFrame:
-    """The range metadata of the output files: first and last frame, records and bytes of each."""
-    size = F.lit(16) + F.octet_length("brand") + F.octet_length("location")
+    """First and last frame, records and bytes of each key range and roll, before ranges are packed into files."""
     return records.groupBy("video", "part", "roll").agg(
         F.min("frame_no").alias("first_frame"),
         F.max("frame_no").alias("last_frame"),
         F.count(F.lit(1)).alias("records"),
-        F.sum(size).alias("n_bytes"),
+        F.sum(_size()).alias("n_bytes"),
+    )
+
+
+def _range_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = sum(sum(b.column(b.schema.get_field_index("n_bytes")).to_pylist()) for b in batches)
+    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([n], pa.int64())], names=["pid", "n"])
+
+
+def _packs(before: dict[int, int], target: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = before.get(TaskContext.get().partitionId(), 0)
+        for b in batches:
+            packs, large = [], []
+            for n in b.column(2).to_pylist():
+                packs.append(at // target)
+                large.append(n > target)
+                at += n
+            cols = [b.column(0), b.column(1), pa.array(packs, pa.int64()), pa.array(large, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(cols, names=["_video", "_part", "pack", "large"])
+
+    return run
+
+
+def pack_ranges(records: DataFrame, target: int = TARGET_BYTES) -> DataFrame:
+    """The consolidated records with their output file: columns pack, large and roll.
+
+    Key ranges are laid end to end in key order, whatever their video, and each belongs to the stretch of ``target``
+    bytes that it starts in.  A range above ``target`` bytes is ``large``: its rolls are files of their own.  Other
+    files are below twice ``target``, their keys don't overlap, and there are no more of them than stretches.  What
+    reaches the driver is one number per partition.
+    """
+    n = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = records.groupBy("video", "part").agg(F.sum(_size()).alias("n_bytes"))
+    # A null frame's part comes first in its video, a null video before all others.
+    ranges = cut(sizes.repartitionByRange(n, F.col("video").asc_nulls_first(), "part").sortWithinPartitions(F.col("video").asc_nulls_first(), "part"))
+    before, at = {}, 0
+    for r in sorted(ranges.mapInArrow(_range_sizes, "pid int, n bigint").collect()):
+        before[r.pid] = at
+        at += r.n
+    packs = ranges.mapInArrow(_packs(before, target), "_video string, _part bigint, pack bigint, large boolean")
+    return records.join(packs, F.col("video").eqNullSafe(F.col("_video")) & (F.col("part") == F.col("_part"))).withColumn("roll", F.when(F.col("large"), F.col("roll")).otherwise(0)).drop("_video", "_part")
+
+
+def packed_files(packed: DataFrame) -> DataFrame:
+    """The range metadata of the files of ``pack_ranges``: first and last key, records and bytes of each."""
+    ends = packed.groupBy("pack", "large", "roll", "video").agg(F.countDistinct("part").alias("parts"), F.min("frame_no").alias("a"), F.max("frame_no").alias("b"), F.count(F.lit(1)).alias("records"), F.sum(_size()).alias("n_bytes"))
+    whole = ends.groupBy("pack", "large", "roll").agg(
+        F.min(F.struct("video", "a")).alias("first"),
+        F.max(F.struct("video", "b")).alias("last"),
+        F.sum("parts").alias("ranges"),
+        F.sum("records").alias("records"),
+        F.sum("n_bytes").alias("n_bytes"),
     )
+    return whole.select("pack", "large", "roll", F.col("first.video").alias("first_video"), F.col("last.video").alias("last_video"), F.col("first.a").alias("first_frame"), F.col("last.b").alias("last_frame"), "ranges", "records", "n_bytes")
 
 
 def write_consolidated(pieces: DataFrame, path: str, width: int = RANGE, target: int = TARGET_BYTES) -> DataFrame:
     """Writes the files under ``path`` (a folder all executors share) and returns one row per file.
 
-    A file's name follows from its key range, and it is put in place by one rename: a task that runs twice leaves one
-    file.  Files are about ``target`` bytes before compression, except the last of each range.
+    Neighbouring key ranges share a file, see ``pack_ranges``.  A file's name follows from its place and first key, and
+    it is put in place by one rename: a task that runs twice leaves one file.  first_frame is of first_video, last_frame
+    of last_video.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.makedirs(path, exist_ok=True)
-        tables: dict[tuple, list[pa.RecordBatch]] = {}
         rows: list[tuple] = []
+        now, held, out, tmp, name, first, ends, n = None, [], None, "", "", None, {}, 0
+
+        def spill() -> None:
+            if held:
+                out.write_table(pa.Table.from_batches(held))
+                held.clear()
 
-        def close(at: tuple) -> None:
-            t = pa.Table.from_batches(tables.pop(at))
-            name = f"{path}/{re.sub(r'[^A-Za-z0-9_-]', '_', str(at[0]))}-{at[1]:08d}-{at[2]:05d}.parquet"
-            tmp = f"{name}.{os.getpid()}.tmp"
-            pq.write_table(t, tmp)
+        def close() -> None:
+            spill()
+            out.close()
             os.replace(tmp, name)
-            frames = [x for x in t["frame_no"].to_pylist() if x is not None]
-            rows.append((name, at[0], min(frames, default=None), max(frames, default=None), t.num_rows, os.path.getsize(name)))
+            rows.append((name, first, last, ends[first][0], ends[last][1], n, os.path.getsize(name)))
 
+        last = None
         for b in batches:
-            marks = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+            marks = list(zip(*(b.column(i).to_pylist() for i in range(5)), strict=True))
             s = 0
             for i in range(1, len(marks) + 1):
-                if i == len(marks) or marks[i] != marks[s]:
-                    for at in [x for x in tables if x != marks[s]]:
-                        close(at)
-                    tables.setdefault(marks[s], []).append(b.slice(s, i - s))
-                    s = i
-        for at in list(tables):
-            close(at)
-        names = ["path", "video", "first_frame", "last_frame", "records", "n_bytes"]
-        types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+                if i < len(marks) and marks[i] == marks[s]:
+                    continue
+                *at, video, part = marks[s]
+                if at != now:
+                    if now is not None:
+                        close()
+                    now, first, ends, n = at, video, {}, 0
+                    name = f"{path}/{at[0]:010d}-{int(at[1])}-{at[2]:05d}-{re.sub(r'[^A-Za-z0-9_-]', '_', str(video))}-{part:08d}.parquet"
+                    tmp = f"{name}.{os.getpid()}.tmp"
+                    out = pq.ParquetWriter(tmp, pa.schema([b.schema.field(c) for c in _KEPT]))
+                piece = b.slice(s, i - s).select(_KEPT)
+                held.append(piece)
+                if sum(x.num_rows for x in held) >= _GROUP:
+                    spill()
+                frames = [x for x in piece["frame_no"].to_pylist() if x is not None]
+                a, z = ends.get(video, (None, None))
+                ends = {k: v for k, v in ends.items() if k == first} | {video: (min([*frames, *[x for x in (a,) if x is not None]], default=None), max([*frames, *[x for x in (z,) if x is not None]], default=None))}
+                last, n, s = video, n + i - s, i
+        if now is not None:
+            close()
+        names = ["path", "first_video", "last_video", "first_frame", "last_frame", "records", "n_bytes"]
+        types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
-    shape = "path string, video string, first_frame bigint, last_frame bigint, records bigint, n_bytes bigint"
-    return consolidate(pieces, width=width, target=target).mapInArrow(write, shape)
+    shape = "path string, first_video string, last_video string, first_frame bigint, last_frame bigint, records bigint, n_bytes bigint"
+    packed = pack_ranges(store(consolidate(pieces, width=width, target=target)), target)
+    order = ["pack", "large", "roll", "video", "part", "frame_no", "brand", "location"]
+    return packed.select(*order, "duration").repartition("pack", "large", "roll").sortWithinPartitions(*order).mapInArrow(write, shape)

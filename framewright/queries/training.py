@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from framewright.functions.text import last_number, strip_all
 from framewright.operators import badrows, smallfiles, spikes
 from framewright.operators.intervals import periods_and_gaps
+from framewright.session import store
 from framewright.tables import table
 
 UPPER = 23.026
@@ -48,7 +49,12 @@ def p6_files(spark: SparkSession, folder: str) -> DataFrame:
     return smallfiles.output_files(smallfiles.consolidate(table(spark, folder, "shard_files")))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p6_files": p6_files}
+def p6_packed(spark: SparkSession, folder: str) -> DataFrame:
+    records = store(smallfiles.consolidate(table(spark, folder, "shard_files")))
+    return smallfiles.packed_files(smallfiles.pack_ranges(records))
+
+
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p6_files": p6_files, "p6_packed": p6_packed}
 
 #: White space of any kind at both ends, for DuckDB's regular expressions.
 _ENDS = r"^[\s\p{Z}\x{85}\x{1c}-\x{1f}]+|[\s\p{Z}\x{85}\x{1c}-\x{1f}]+$"

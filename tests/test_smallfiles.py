@@ -41,6 +41,23 @@ def test_files(spark, tmp_path, rows):
     assert rows(meta.select("first_frame", "last_frame", "records")) == sorted(((r.first_frame, r.last_frame, r.records) for r in made), key=lambda r: tuple((False, str(v)) for v in r))
 
 
+def test_files_span_videos(spark, tmp_path, rows):
+    contents = [(v, "\n".join(f"Brand\tPlace\t1\t{i}" for i in range(s, s + 20))) for v in [None, *(f"v{i:03d}" for i in range(60))] for s in (0, 20, 1 << 14)]
+    contents += [("v030", "\n".join(f"Brand\tPlace\t1\t{i}" for i in range(20_000, 20_400))), ("v031", "A\tL\t1\tnone")]
+    want = sorted({(v or "", -1 if r[0] < 0 else r[0], r[1], r[2]) for v, c in contents for r in smallfiles.parse_piece(c)})
+    target = 8000
+    made = sorted(smallfiles.write_consolidated(pieces(spark, contents), str(tmp_path), target=target).collect(), key=lambda r: r.path)
+    sizes = sum(16 + len((b + loc).encode()) for _, _, b, loc in want)
+    assert len(made) == len(list(tmp_path.iterdir())) <= sizes // target + 4 < 60
+    files = [[(r["video"] or "", -1 if r["frame_no"] is None else r["frame_no"], r["brand"], r["location"]) for r in pq.read_table(m.path).to_pylist()] for m in made]
+    assert [r for f in files for r in f] == want
+    assert [(f[0][0], f[-1][0], len(f)) for f in files] == [(m.first_video or "", m.last_video or "", m.records) for m in made]
+    meta = smallfiles.packed_files(smallfiles.pack_ranges(smallfiles.consolidate(pieces(spark, contents), target=target), target))
+    cols = ["first_video", "last_video", "first_frame", "last_frame", "records"]
+    assert rows(meta.select(*cols)) == sorted((tuple(m[c] for c in cols) for m in made), key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert max(r.n_bytes for r in meta.collect()) < 2 * target
+
+
 def test_runs():
     recs = smallfiles.parse_piece("B\tL\t1\t3\nB\tL\t1\t4\nA\tL\t1\t1")
     assert [len(r) for r in smallfiles.sorted_runs(recs)] == [2, 1]
