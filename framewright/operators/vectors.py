@@ -85,3 +85,46 @@ def nearest(df: DataFrame, queries: DataFrame, key: str, k: int, vector: str = "
     out = pairs.repartition(n).mapInArrow(_best(k), "query_id bigint, key bigint, distance double").filter("distance < double('infinity')")
     w = Window.partitionBy("query_id").orderBy("distance", "key")
     return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).withColumnRenamed("key", key)
+
+
+def _alike(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in range(b.num_rows):
+                sides = []
+                for col in (3, 4):
+                    keys, vecs = b.column(col)[r].values.flatten()
+                    v = vecs.flatten().to_numpy(zero_copy_only=False).reshape(len(keys), -1)
+                    n = np.sqrt((v**2).sum(1))
+                    sides.append((keys.to_numpy(zero_copy_only=False), v / np.where(n > 0, n, 1)[:, None]))
+                (p, u), (q, v) = sides
+                score = u @ v.T
+                hit = score > least
+                if b.column(1)[r] == b.column(2)[r]:  # a block with itself
+                    hit &= p[:, None] < q[None, :]
+                i, j = np.nonzero(hit)
+                cols = [np.minimum(p[i], q[j]), np.maximum(p[i], q[j]), score[i, j]]
+                cluster = pa.array([b.column(0)[r].as_py()] * len(i), b.schema.field(0).type)
+                yield pa.RecordBatch.from_arrays([cluster, *(pa.array(c) for c in cols)], names=["cluster", "first_id", "second_id", "similarity"])
+
+    return run
+
+
+def alike_in_clusters(df: DataFrame, cluster: str, key: str, least: float, vector: str = "embedding", block: int = 1024) -> DataFrame:
+    """All pairs of rows of one cluster whose cosine is above ``least``: the cluster, first_id, second_id, similarity.
+
+    Exact: a cluster is spread over blocks of about ``block`` rows, and each block meets itself and each other block of
+    its cluster in a task of their own.  Rows with a null cluster, key or vector are left out; keys are unique; a zero
+    vector has a cosine of 0 with everything.
+    """
+    rows = df.select(F.col(cluster).alias("cluster"), F.col(key).cast("bigint").alias("key"), F.col(vector).cast("array<double>").alias("v")).dropna()
+    parts = rows.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n"))
+    placed = rows.join(parts, "cluster").withColumn("at", F.pmod(F.xxhash64("key"), "n").cast("int"))
+    blocks = placed.groupBy("cluster", "n", "at").agg(F.collect_list(F.struct("key", "v")).alias("rows"))
+    left = blocks.select("cluster", F.col("at").alias("i"), F.explode(F.sequence("at", F.col("n") - 1)).alias("j"), F.col("rows").alias("x"))
+    right = blocks.select("cluster", F.explode(F.sequence(F.lit(0), "at")).alias("i"), F.col("at").alias("j"), F.col("rows").alias("y"))
+    pairs = left.join(right, ["cluster", "i", "j"]).select("cluster", "i", "j", "x", "y")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = rows.schema["cluster"].dataType.simpleString()
+    out = pairs.repartition(n, "cluster", "i", "j").mapInArrow(_alike(least), f"cluster {kind}, first_id bigint, second_id bigint, similarity double")
+    return out.withColumnRenamed("cluster", cluster)

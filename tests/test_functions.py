@@ -116,6 +116,20 @@ def test_nearest_against_brute_force(spark):
         assert [i for _, i in sorted(got[q])] == np.lexsort((np.arange(300), d))[:5].tolist()
 
 
+def test_pairs_within_clusters_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    x, label = rng.normal(size=(200, 6)), rng.choice(["a", "b"], 200, p=[0.85, 0.15])
+    x[7] = 0
+    data = [(i * 7, str(c), [float(v) for v in r]) for i, (r, c) in enumerate(zip(x, label, strict=True))]
+    df = spark.createDataFrame([*data, (9001, None, data[0][2]), (9002, None, data[0][2]), (9003, "a", None)], "id long, label string, embedding array<double>")
+    u = x / np.where((n := np.sqrt((x**2).sum(1))) > 0, n, 1)[:, None]
+    want = {(str(label[i]), i * 7, j * 7) for i in range(200) for j in range(i + 1, 200) if label[i] == label[j] and u[i] @ u[j] > 0.6}
+    for block in (16, 1024):
+        got = vectors.alike_in_clusters(df, "label", "id", 0.6, block=block).collect()
+        assert len(got) == len(want) > 500 and {tuple(r)[:3] for r in got} == want
+    assert vectors.alike_in_clusters(df.limit(0), "label", "id", 0.6).collect() == []
+
+
 def test_centrality(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(40, 4))
