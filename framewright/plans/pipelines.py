@@ -58,11 +58,16 @@ def exposures_of(annotations: DataFrame) -> DataFrame:
 
 
 def checked_against_history(exposures: DataFrame, ledger: DataFrame, percent: float = 25.0) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(new ledger rows, combinations off by more than ``percent``, combinations never seen) of files not in the ledger."""
+    """(new ledger rows, combinations off by more than ``percent``, combinations never seen) of files not in the ledger.
+
+    ``ledger`` is the whole ledger: a file with any row in it isn't new, and history is the mean of all its values that
+    can be a logarithm of ``normalised_exposure`` (finite, below 24).
+    """
+    v = F.col("avg_total_duration")
     fresh = exposures.join(ledger.select("file_name").distinct(), "file_name", "left_anti")
     rows = aggregate.normalised_exposure(fresh, "file_name", ["brand", "location"], "frame_no", "duration", "row_id")
     mean = lambda t: t.groupBy("brand", "location").agg(F.round(F.avg("avg_total_duration"), 3).alias("value"))
-    new, old = mean(rows), mean(ledger)
+    new, old = mean(rows), mean(ledger.filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < 24)))
     return rows, joins.history_diff(new, old, ["brand", "location"], "value", percent), joins.new_keys(new, old, ["brand", "location"])
 
 

@@ -74,6 +74,18 @@ def test_history(spark, rows):
     assert rows(fresh.select("brand")) == [("b",)]
 
 
+def test_history_is_the_whole_ledger(spark, rows, tmp_path):
+    from framewright.queries.pipelines import QUERIES
+
+    e = "row_id long, file_name string, frame string, brand string, location string, duration int"
+    spark.createDataFrame([(1, "new", "0", "a", "l", 50), (2, "new", "50", "b", "l", 50), (3, "late", "0", "a", "l", 9), (4, "odd", "0", "a", "l", 9)], e).write.parquet(f"{tmp_path}/exposures.parquet")
+    held = [("early", "a", "l", 2.0, "2011-01-01"), ("late", "a", "l", 4.0, "2011-03-01"), ("odd", "a", "l", float("nan"), "2011-03-01")]
+    t = spark.createDataFrame(held, "file_name string, brand string, location string, avg_total_duration double, d string")
+    t.withColumn("processed_at", t.d.cast("timestamp_ntz")).drop("d").write.parquet(f"{tmp_path}/results_ledger.parquet")
+    got = QUERIES["q_history_check_whole"](spark, str(tmp_path))
+    assert rows(got.select("brand", "location", "new_value", "old_value")) == [("a", "l", 0.693, 3.0)]
+
+
 def test_reduce_and_restore(spark, rows):
     edges = spark.createDataFrame([("v", i, f"{i:03d}.jpg", s) for i, s in enumerate([0.99, 0.99, 0.2, 0.1])], "v string, i int, target_image string, score double")
     runs = pipelines.reduced_frames(edges, ["v"], ["i"])
