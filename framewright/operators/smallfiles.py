@@ -8,6 +8,7 @@ packed from neighbouring ranges, over the borders of videos, up to their bytes;
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import os
 import re
@@ -217,6 +218,11 @@ def packed_files(packed: DataFrame) -> DataFrame:
     return whole.select("pack", "large", "roll", F.col("first.video").alias("first_video"), F.col("last.video").alias("last_video"), F.col("first.a").alias("first_frame"), F.col("last.b").alias("last_frame"), "ranges", "records", "n_bytes")
 
 
+def _digest(video: str | None) -> str:
+    """For file names: of the video as it is written, and another one where there is none."""
+    return hashlib.sha256(b"" if video is None else b"=" + video.encode()).hexdigest()[:32]
+
+
 def write_consolidated(pieces: DataFrame, path: str, width: int = RANGE, target: int = TARGET_BYTES) -> DataFrame:
     """Writes the files under ``path`` (a folder all executors share) and returns one row per file.
 
@@ -253,7 +259,7 @@ def write_consolidated(pieces: DataFrame, path: str, width: int = RANGE, target:
                     if now is not None:
                         close()
                     now, first, ends, n = at, video, {}, 0
-                    name = f"{path}/{at[0]:010d}-{int(at[1])}-{at[2]:05d}-{re.sub(r'[^A-Za-z0-9_-]', '_', str(video))}-{part:08d}.parquet"
+                    name = f"{path}/{at[0]:010d}-{int(at[1])}-{at[2]:05d}-{_digest(video)}-{part:08d}.parquet"
                     tmp = f"{name}.{os.getpid()}.tmp"
                     out = pq.ParquetWriter(tmp, pa.schema([b.schema.field(c) for c in _KEPT]))
                 piece = b.slice(s, i - s).select(_KEPT)

@@ -58,6 +58,16 @@ def test_files_span_videos(spark, tmp_path, rows):
     assert max(r.n_bytes for r in meta.collect()) < 2 * target
 
 
+def test_names_of_videos_that_look_alike(spark, tmp_path):
+    videos = ["a b", "a_b", "a/b", "éé", "üü", None, "None", ""]
+    contents = [(v, "\n".join(f"B{i}\tPlace\t1\t{f}" for f in range(5))) for i, v in enumerate(videos)]
+    for i, c in enumerate(contents):  # one by one: each is the first of its folder's files
+        made = smallfiles.write_consolidated(pieces(spark, [c]), str(tmp_path)).collect()
+        assert len(made) == 1 and len(list(tmp_path.iterdir())) == i + 1
+    got = {(r["video"], r["brand"], r["frame_no"]) for f in tmp_path.iterdir() for r in pq.read_table(f).to_pylist()}
+    assert got == {(v, f"B{i}", f) for i, v in enumerate(videos) for f in range(5)}
+
+
 def test_runs():
     recs = smallfiles.parse_piece("B\tL\t1\t3\nB\tL\t1\t4\nA\tL\t1\t1")
     assert [len(r) for r in smallfiles.sorted_runs(recs)] == [2, 1]
