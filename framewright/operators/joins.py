@@ -143,3 +143,17 @@ def keep_boxes(df: DataFrame, pairs: list[tuple[str, str]], boxes: str = "annota
     keep = F.array(*[F.struct(F.lit(b).alias("brand"), F.lit(t).alias("tpoint")) for b, t in pairs])
     out = df.withColumn(boxes, F.filter(boxes, lambda x: F.array_contains(keep, F.struct(x["brand"].alias("brand"), x["tpoint"].alias("tpoint")))))
     return out.filter(F.size(boxes) > 0)
+
+
+def contained_in(bases: DataFrame, names: DataFrame, base: str, name: str) -> DataFrame:
+    """Distinct pairs of a base and a name that holds it anywhere: columns base, name.
+
+    Exact: a base is contained in a name where it equals one of the name's pieces of its own length, so pieces of the
+    lengths that bases have meet the bases in an equi-join.  Nulls meet nothing; an empty base is in every name.
+    """
+    short = bases.select(base).dropna().distinct()
+    long = names.select(name).dropna().distinct()
+    sizes = short.select(F.length(base).alias("_n")).distinct()
+    cut = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(name) - F.col("_n") + 1), lambda i: F.substring(F.col(name), i, F.col("_n"))))
+    pieces = long.join(sizes, F.length(name) >= F.col("_n")).select(name, F.explode(cut).alias("_piece"))
+    return short.join(pieces, F.col(base) == F.col("_piece")).select(base, name)

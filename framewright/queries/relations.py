@@ -278,11 +278,9 @@ def q_zip_join(spark, folder):
 SELECT e.file_name, b.file_name AS other FROM (SELECT DISTINCT file_name FROM exposures) e JOIN (SELECT DISTINCT file_name FROM batters) b ON contains(b.file_name, e.file_name)"""
 )
 def q_contains_join(spark, folder):
-    # A name that holds another holds it behind its prefix, so containment is equality with what follows that.
-    e = table(spark, folder, "exposures").select("file_name").distinct()
-    b = table(spark, folder, "batters").select(F.col("file_name").alias("other")).distinct()
-    b = b.withColumn("file_name", F.regexp_extract("other", "^batters_(.*)$", 1))
-    return e.join(b, "file_name").select("file_name", "other")
+    e = table(spark, folder, "exposures").select("file_name")
+    b = table(spark, folder, "batters").select(F.col("file_name").alias("other"))
+    return joins.contained_in(e, b, "file_name", "other")
 
 
 @query(

@@ -132,6 +132,14 @@ def test_joins(spark, rows):
     assert rows(joins.within_band(band, ["p"], "i", 3).select("pos_a", "pos_b")) == [(1, 2), (2, 1), (2, 5), (5, 2)]
 
 
+def test_contained_names(spark, rows):
+    bases = ["game_1", "game_10", "x", "é.b", "", None, "batters_game_10.csv_and_more"]
+    names = ["batters_game_10.csv", "final_x-2.csv", "xx", "éé.bat", "", None, "batters_game_1"]
+    one = lambda c, v: spark.createDataFrame([(x,) for x in [*v, v[0]]], f"{c} string")
+    got = rows(joins.contained_in(one("base", bases), one("name", names), "base", "name"))
+    assert got == sorted((b, n) for b in bases for n in names if b is not None and n is not None and b in n)
+
+
 def test_sets(spark, rows):
     a = spark.createDataFrame([("r",), ("r",), ("s",), ("t",), (None,)], "x string")
     assert rows(setops.only_once_in(a, spark.createDataFrame([("t",)], "x string"))) == [("s",), (None,)]
