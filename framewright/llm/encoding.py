@@ -35,10 +35,6 @@ CLEAN, LOST = "clean", "lost"
 SLOTS = 1 << 20
 #: Rounds of expectation maximisation.
 ROUNDS = 3
-#: What a value's own occurrences can't prove of itself, in occurrences, against a candidate that stands more often.
-#: Against one that stands ``RARER`` times as often, and against one that well-formed UTF-8 of another reading gave, which
-#: clean text doesn't hold, none of them prove anything: whatever a slip's share is, it grows with the corpus.
-OWN, RARER = 8, 20
 #: Records of a source and field, or of the corpus, that weigh as much as what is expected of them.
 SHARE_RECORDS = 50
 _FIRST_CLEAN = 0.9
@@ -192,22 +188,31 @@ def _slots(text: str) -> tuple[tuple[float, int, int, int, int], ...]:
     return tuple(out)
 
 
-def likelihood(text: str, counts: dict[int, float], value: str = "", own: float = 0.0) -> float:
-    """Log-likelihood of a text that ``value`` may have been; ``own`` occurrences of that are taken out of the counts.
+def likelihood(text: str, counts: dict[int, float], *without: tuple[str, float]) -> float:
+    """Log-likelihood of a text, the occurrences of the texts in ``without`` taken out of the counts.
 
     A trigram can't stand more often than the bigrams in it: the smallest count is the one least disturbed by others
     in its slot.
     """
     out = 0.0
-    mine = {x for _, *slots in _slots(value) for x in slots} if own else ()
+    out_of: dict[int, float] = defaultdict(float)
+    for other, n in without:
+        for x in {x for _, *slots in _slots(other) for x in slots}:
+            out_of[x] += n
     for prior, *slots in _slots(text):
-        tri, bi, ctx, one = [max(counts.get(i, 0.0) - own, 0.0) if i in mine else counts.get(i, 0.0) for i in slots]
+        tri, bi, ctx, one = [max(counts.get(i, 0.0) - out_of[i], 0.0) if i in out_of else counts.get(i, 0.0) for i in slots]
         bi = min(bi, one)
         p = (bi + prior) / (one + 1)
         out += math.log((min(tri, bi, ctx) + p) / (ctx + 1))
     return out
 
 
+def _signs(text: str) -> bool:
+    """Whether a character stands in the text that words don't hold there: a symbol, or a letter of another script."""
+    t = f"^{level(text)}$"
+    return any(follows(kind(a), kind(c)) <= 1e-5 for a, c in zip(t, t[1:], strict=False))
+
+
 def tally(text: str, weight: float, into: dict[int, float]) -> None:
     for _, *slots in _slots(text):
         for s in slots:
@@ -260,14 +265,36 @@ def _weigh(model: dict[int, float], whole: dict[str, float]):
     """Posterior of each row's candidates: a list of (chain, text, p), the untouched value among them."""
     memo: dict[tuple, float] = {}
 
-    def fit(text: str, value: str, own: float) -> float:
-        got = memo.get((text, value, own))
+    def fit(text: str, *without: tuple[str, float]) -> float:
+        got = memo.get((text, without))
         if got is None:
             if len(memo) > 100_000:
                 memo.clear()
-            got = memo[text, value, own] = likelihood(text, model, value, own)
+            got = memo[text, without] = likelihood(text, model, *without)
         return got
 
+    def gain(value: str, total: float, c: dict) -> float:
+        """How much likelier the candidate is than the value as it stands.
+
+        A value's own occurrences can't prove it against a candidate that stands too: a slip's occurrences grow with
+        the corpus just as the clean text's do.  Only which of both stands more often counts, never by how many.
+        """
+        seen, text = c["seen"] or 0, c["text"]
+        if c["undone"] and c["chain"].startswith("utf_8"):  # clean text doesn't hold well-formed UTF-8
+            return fit(text, (value, total)) - fit(value, (value, total))
+        if not seen:
+            return fit(text) - fit(value)
+        if not c["undone"]:
+            return fit(text, (value, total)) - fit(value, (value, total))
+        signs = [_signs(t) for t in (value, text)]
+        if signs[0] != signs[1] and signs[0] == (seen <= total):
+            # One of both holds signs that words don't: the other texts decide, whichever of both is the more frequent.
+            both = (value, total), (text, seen)
+            alone = fit(text, *both) - fit(value, *both)
+            return alone if signs[0] else min(alone, 0.0)
+        own = ((value, total),) if seen > total else ()
+        return fit(text, *own) - fit(value, *own)
+
     own_kind = pa.list_(pa.struct([("chain", pa.string()), ("text", pa.string()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,11 +308,8 @@ def _weigh(model: dict[int, float], whole: dict[str, float]):
                 for c in [{"chain": CLEAN, "text": value}, *(cands or [])]:
                     prior = (own_share.get(c["chain"], 0.0) + SHARE_RECORDS * whole[c["chain"]]) / records
                     score = math.log(prior)
-                    if c["chain"] != CLEAN:  # against the value as it stands, as far as its own occurrences prove it
-                        nested = c["undone"] and c["chain"].startswith("utf_8")
-                        seen = c["seen"] or 0
-                        own = total if nested or seen >= RARER * total else min(total, OWN) if seen > total else 0
-                        score += fit(c["text"], value, own) - fit(value, value, own)
+                    if c["chain"] != CLEAN:
+                        score += gain(value, total, c)
                     scored.append((score, c))
                 if lost:  # a control or replacement character was never written: it isn't the text as it was
                     scored = scored[1:] or [(0.0, {"chain": LOST, "text": None})]
