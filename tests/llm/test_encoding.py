@@ -51,21 +51,3 @@ def test_finds_and_restores(spark, table):
 def test_empty(spark, table):
     df = spark.createDataFrame(table[0], "row_id long, channel string, brand string, location string, value string").limit(0)
     assert encoding.damaged_fields(df, "row_id", "channel", ["brand", "location"]).collect() == []
-
-
-def test_shares_decide_at_every_size(spark):
-    rng = random.Random(3)
-    odd = ["é", "ø", "å", "ü", "ñ", "ê", "ô", "æ"]
-    part = lambda: rng.choice("bdgklmnprst") + rng.choice("aeiou") + rng.choice("klmnrst")
-    names = [f"{part()}{rng.choice(odd)}{part()} {part()}".title() for _ in range(24)]
-    for times in (1, 100):
-        rows = [(s, "brand", f"{part()}{part()}".title(), 20 * times) for s in ("tenth", "most") for _ in range(20)]
-        want = set()
-        for i, name in enumerate(names):
-            source, bad, good = ("tenth", 2, 18) if i % 2 else ("most", 12, 8)
-            got = encoding.damage(name, "cp1252>cp437")
-            rows += [(source, "brand", name, good * times), (source, "brand", got, bad * times)]
-            want.add(got)
-        df = spark.createDataFrame(rows, "source string, field string, value string, n long")
-        found = {r.value for r in encoding.posterior(df).filter("p_clean < 0.5").collect()}
-        assert found == want, times
