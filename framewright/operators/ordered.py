@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,18 +19,40 @@ from pyspark.sql import functions as F
 from framewright.session import cut
 
 
-def _edges(halo: int):
+def changed(batch: pa.RecordBatch | pa.Table, by: list[str]) -> np.ndarray:
+    """True where a row differs from the one before it in one of the columns; nulls, and NaNs, are equal."""
+    n = batch.num_rows
+    out = np.ones(n, bool)
+    if n < 2:
+        return out
+    out[1:] = False
+    for c in by:
+        col = batch.column(c)
+        col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+        if pa.types.is_struct(col.type):
+            out[1:] |= changed(pa.RecordBatch.from_arrays([f for f in col.flatten()], names=[str(i) for i in range(col.type.num_fields)]), [str(i) for i in range(col.type.num_fields)])[1:]
+            continue
+        a, b = col.slice(0, n - 1), col.slice(1)
+        same = pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False) | (a.is_null(nan_is_null=True).to_numpy(zero_copy_only=False) & b.is_null(nan_is_null=True).to_numpy(zero_copy_only=False))
+        out[1:] |= ~same
+    return out
+
+
+def _edges(by: list[str], halo: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = tail = schema = None
         for b in batches:
             if not b.num_rows:
                 continue
-            schema = b.schema
-            t = pa.Table.from_batches([b])
+            t = pa.Table.from_batches([b]).select(by)
+            t = t.filter(pa.array(changed(t, by)))
+            schema = t.schema
             if head is None or head.num_rows < halo:
-                head = pa.concat_tables([x for x in (head, t.slice(0, halo)) if x is not None]).slice(0, halo)
+                head = t if head is None else pa.concat_tables([head, t.slice(0, halo + 1)])
+                head = head.filter(pa.array(changed(head, by))).slice(0, halo)
             t = t.slice(max(0, t.num_rows - halo))
             tail = t if tail is None else pa.concat_tables([tail, t])
+            tail = tail.filter(pa.array(changed(tail, by)))
             tail = tail.slice(max(0, tail.num_rows - halo))
         if head is not None:
             pid = TaskContext.get().partitionId()
@@ -42,15 +66,15 @@ def _edges(halo: int):
 
 
 def ordered_chunks(df: DataFrame, by: list[str], halo: int) -> tuple[DataFrame, dict[int, tuple[list[dict], list[dict]]]]:
-    """``df`` in range partitions sorted by ``by``, and per partition id the rows before and behind it.
+    """``df`` in range partitions sorted by ``by``, and per partition id the columns ``by`` of what is before and behind.
 
-    The rows before a partition are the last ``halo`` rows of all earlier partitions, those behind it the first
-    ``halo`` of all later ones.
+    Before a partition are the last ``halo`` different rows of all earlier partitions, behind it the first ``halo`` of
+    all later ones.  Rows that agree in ``by`` are one, and always in one partition.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = cut(df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in by]).sortWithinPartitions(*by))
-    shape = "_pid int, _side int, _at int, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema)
-    rows = [r.asDict() for r in held.mapInArrow(_edges(halo), shape).collect()]
+    shape = "_pid int, _side int, _at int, " + ", ".join(f"`{c}` {held.schema[c].dataType.simpleString()}" for c in by)
+    rows = [r.asDict() for r in held.mapInArrow(_edges(by, halo), shape).collect()]
     rows.sort(key=lambda r: (r["_pid"], r["_side"], r["_at"]))
     pids = sorted({r["_pid"] for r in rows})
     heads = {p: [r for r in rows if r["_pid"] == p and r["_side"] == 0] for p in pids}

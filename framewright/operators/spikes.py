@@ -1,8 +1,9 @@
 """Spikes, stuck and impossible readings per source.
 
 Each source's readings in time order go through an undecimated Haar wavelet.  Runs whose finest detail is zero are
-stuck; details far beyond the source's own robust scale mark the readings that may be spikes.  Level and spread are then
-the mean and the standard deviation of the readings left, and a spike lies more than ``spread`` of those away.
+stuck; details beyond the source's own robust scale mark the readings that may be spikes.  Level and spread are the mean
+and the standard deviation of what is left without far-off details, and of the marked readings those are spikes that lie
+more than ``spread`` of them away.
 """
 
 from __future__ import annotations
@@ -10,122 +11,121 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framewright.operators.ordered import ordered_chunks
+from framewright.operators.ordered import changed, ordered_chunks
+from framewright.session import store
 
 #: Levels of the wavelet; the widest filter spans 2 ** LEVELS readings.
 LEVELS = 3
 #: Robust standard deviations of a detail, and of a reading, beyond which a reading doesn't count as normal.
 DETAIL_SIGMAS, LEVEL_SIGMAS = 4.0, 5.0
+#: Robust standard deviations of a detail from which a reading in its reach may be a spike: a spike of six stands out by
+#: as much even where its neighbours lean its way by four.
+MAY_BE = 1.0
 #: A normal distribution's median absolute value, in standard deviations.
 _MAD = 0.674489750196
 
 
-def haar_details(x: np.ndarray, levels: int = LEVELS) -> np.ndarray:
-    """Undecimated Haar details, one row per level, each scaled so that white noise keeps its spread.
-
-    ``out[j, i]`` compares the 2**j values from i on with the 2**j before i; where fewer stand on a side it is NaN.
-    """
+def _details(x: np.ndarray, source: np.ndarray, levels: int) -> np.ndarray:
+    """Undecimated Haar details of neighbouring sources' readings, one row per level; none goes over a source's ends."""
     n = len(x)
     out = np.full((levels, n), np.nan)
-    sums = np.concatenate([[0.0], np.cumsum(x)])
+    first, behind = np.searchsorted(source, source, "left"), np.searchsorted(source, source, "right")
+    at = np.arange(n)
     for j in range(levels):
         w = 1 << j
-        if n < 2 * w:
-            break
-        i = np.arange(w, n - w + 1)
-        out[j, i] = ((sums[i + w] - sums[i]) - (sums[i] - sums[i - w])) / np.sqrt(2 * w)
-    out[0, 1:] = np.diff(x) / np.sqrt(2) if n > 1 else out[0, 1:]  # exact zeros where two readings are equal
+        i = np.flatnonzero((at - w >= first) & (at + w <= behind))
+        out[j, i] = sum(x[i + k] - x[i - 1 - k] for k in range(w)) / np.sqrt(2 * w)
     return out
 
 
-def stuck_runs(x: np.ndarray, at_least: int) -> np.ndarray:
-    """True in each run of ``at_least`` or more equal values: there the finest details are all zero."""
-    n = len(x)
-    if n == 0:
-        return np.zeros(0, bool)
-    begin = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+def haar_details(x: np.ndarray, levels: int = LEVELS) -> np.ndarray:
+    """Undecimated Haar details, one row per level, each scaled so that white noise keeps its spread.
+
+    ``out[j, i]`` compares the 2**j values from i on with the 2**j before i; where fewer stand on a side it is NaN.
+    """
+    return _details(x, np.zeros(len(x), np.int64), levels)
+
+
+def stuck_runs(finest: np.ndarray, at_least: int) -> np.ndarray:
+    """True where ``at_least`` or more readings in a row are equal: between them the finest details are all zero."""
+    n = len(finest)
+    begin = np.flatnonzero(~(finest == 0))
     size = np.diff(np.append(begin, n))
     return np.repeat(size >= at_least, size)
 
 
-def _touched(detail: np.ndarray, limit: np.ndarray) -> np.ndarray:
-    """Readings within reach of a detail beyond its level's limit: the finest that covers a spike is next to it."""
-    n = detail.shape[1]
-    hit = np.zeros(n, bool)
-    for j in range(detail.shape[0]):
-        for i in np.flatnonzero(np.abs(np.nan_to_num(detail[j])) > limit[j]):
-            hit[max(0, i - (1 << j)) : i + (1 << j)] = True
-    return hit
+def _judged(x: np.ndarray, source: np.ndarray, lower: float, upper: float, at_least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of different readings in order: impossible, stuck, details per level, and the largest detail that reaches each."""
+    with np.errstate(invalid="ignore"):
+        bad = ~((x >= lower) & (x <= upper))
+        stuck = stuck_runs(_details(x, source, 1)[0], at_least) & ~bad
+    fine = np.flatnonzero(~bad)
+    detail, reach = np.full((LEVELS, len(x)), np.nan), np.zeros((LEVELS, len(x)))
+    detail[:, fine] = _details(x[fine], source[fine], LEVELS)
+    for j in range(LEVELS):
+        w, d = 1 << j, np.abs(np.nan_to_num(detail[j, fine]))
+        padded = np.pad(d, (w - 1, w))
+        if len(d):
+            reach[j, fine] = np.max([padded[k : k + len(d)] for k in range(2 * w)], axis=0)
+    return bad, stuck, detail, reach
 
 
 def _scan(around: dict, keys: list[str], lower: float, upper: float, at_least: int):
-    def segment(g: pd.DataFrame, left: list[float], right: list[float]) -> pd.DataFrame:
-        x = np.concatenate([left, g["value"].to_numpy(float), right]).astype(float)
-        own = slice(len(left), len(left) + len(g))
-        with np.errstate(invalid="ignore"):
-            bad = ~((x >= lower) & (x <= upper))
-        stuck = stuck_runs(x, at_least) & ~bad
-        fine = np.flatnonzero(~bad)
-        detail = np.full((LEVELS, len(x)), np.nan)
-        detail[:, fine] = haar_details(x[fine])
-        out = g.copy()
-        out["bad"], out["stuck"] = bad[own], stuck[own]
+    same_reading = [*keys, "at", "value"]
+    halo = max(at_least, 1 << (LEVELS + 1))
+
+    def piece(t: pa.Table, left: list[float], right: list[float]) -> pa.RecordBatch:
+        """``left`` are readings of the first source before the rows, ``right`` of the last source behind them."""
+        once = changed(t, same_reading)
+        at = np.flatnonzero(once)
+        source = np.cumsum(changed(t, keys))[at]
+        x = np.concatenate([left, t["value"].to_numpy()[at], right]).astype(float)
+        source = np.concatenate([[source[0]] * len(left), source, [source[-1]] * len(right)])
+        own = slice(len(left), len(x) - len(right))
+        of = np.cumsum(once) - 1
+        bad, stuck, detail, reach = _judged(x, source, lower, upper, at_least)
+        cols = [pa.array(once), pa.array(bad[own][of]), pa.array(stuck[own][of])]
         for j in range(LEVELS):
-            out[f"d{j}"] = detail[j, own]
-            # the largest detail of this level that has the reading in its reach
-            reach = np.zeros(len(x))
-            d = np.abs(np.nan_to_num(detail[j, fine]))
-            w = 1 << j
-            padded = np.pad(d, (w - 1, w))
-            reach[fine] = np.max([padded[k : k + len(d)] for k in range(2 * w)], axis=0) if len(d) else 0
-            out[f"r{j}"] = reach[own]
-        return out
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            d = np.abs(detail[j, own][of])
+            cols += [pa.array(d, mask=np.isnan(d)), pa.array(reach[j, own][of])]
+        names = ["once", "bad", "stuck", *(f"{c}{j}" for j in range(LEVELS) for c in "dr")]
+        return pa.RecordBatch.from_arrays([*(c.combine_chunks() for c in t.columns), *cols], names=[*t.column_names, *names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, behind = around.get(TaskContext.get().partitionId(), ([], []))
-        halo = max(at_least, 1 << (LEVELS + 1))
-        same = lambda r, key: tuple(r[k] for k in keys) == key
 
-        def key_of(g: pd.DataFrame) -> tuple:
-            return tuple(None if pd.isna(v) else v for v in g[keys].iloc[0])
+        def of_source(rows: list[dict], t: pa.Table, i: int) -> list[float]:
+            key = tuple(t[k][i].as_py() for k in keys)
+            return [r["value"] for r in rows if tuple(r[k] for k in keys) == key]
 
         # A source may go over many batches: only what its neighbours can still reach is kept of it.
-        pending: pd.DataFrame | None = None
-        left: list[float] = []
-        first = True
-
-        def begin(key: tuple) -> list[float]:
-            return [r["value"] for r in before if same(r, key)] if first else []
-
+        pending: pa.Table | None = None
+        left: list[float] | None = None
         for b in batches:
-            if b.empty:
+            if not b.num_rows:
                 continue
-            rows = b if pending is None else pd.concat([pending, b], ignore_index=True)
-            marks = rows[keys].fillna("\0null").ne(rows[keys].fillna("\0null").shift()).any(axis=1).to_numpy()
-            starts = np.flatnonzero(marks)
-            for s, e in zip(starts, [*starts[1:], len(rows)], strict=True):
-                g = rows.iloc[s:e]
-                if pending is None or s > 0:
-                    left, key = begin(key_of(g)), key_of(g)
-                if e < len(rows):
-                    yield segment(g, left, [])
-                    first, pending = False, None
-                    continue
-                done = len(g) - halo
-                if done > halo:
-                    x = g["value"].tolist()
-                    yield segment(g.iloc[:done], left, x[done:])
-                    left = (left + x[:done])[-halo:]
-                    g = g.iloc[done:]
-                pending = g
+            t = pa.Table.from_batches([b])
+            t = t if pending is None else pa.concat_tables([pending, t])
+            if left is None:
+                left = of_source(before, t, 0)
+            s = int(np.flatnonzero(changed(t, keys))[-1])
+            if s:
+                yield piece(t.slice(0, s), left, [])
+                left, t = [], t.slice(s)
+            new = np.flatnonzero(changed(t, same_reading))
+            done = len(new) - halo
+            if done > halo:
+                x = t["value"].to_numpy()[new]
+                yield piece(t.slice(0, int(new[done])), left, x[done:].tolist())
+                left, t = [*left, *x[:done].tolist()][-halo:], t.slice(int(new[done]))
+            pending = t
         if pending is not None:
-            key = key_of(pending)
-            yield segment(pending, left, [r["value"] for r in behind if same(r, key)])
+            yield piece(pending, left, of_source(behind, pending, pending.num_rows - 1))
 
     return run
 
@@ -148,41 +148,29 @@ def flag_readings(
     stand first.  Readings at one time are ordered by value.  A source too short or too constant to show a spread has
     no spikes, but any reading that differs from an otherwise constant source is one.
     """
-    rows = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(time).alias("at"), F.col(value).cast("double").alias("value"), F.col(row).alias("_row")).filter("value is not null")
     ks = [f"k{i}" for i in range(len(keys))]
-    readings = rows.groupBy(*ks, "at", "value").agg(F.count(F.lit(1)).alias("n")).drop("n")
-    halo = max(at_least, 1 << (LEVELS + 1))
-    held, around = ordered_chunks(readings, [*ks, "at", "value"], halo)
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema) + ", bad boolean, stuck boolean"
+    rows = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.col(time).alias("at"), F.col(value).cast("double").alias("value"), F.col(row).alias("_row")).filter("value is not null")
+    held, around = ordered_chunks(rows, [*ks, "at", "value"], max(at_least, 1 << (LEVELS + 1)))
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema) + ", once boolean, bad boolean, stuck boolean"
     shape += "".join(f", d{j} double, r{j} double" for j in range(LEVELS))
-    seen = held.mapInPandas(_scan(around, ks, lower, upper, at_least), shape)
-    seen = seen.withColumn("value", F.coalesce("value", F.lit(float("nan"))))  # pandas doesn't tell NaN from null
-
-    normal = ~F.col("bad") & ~F.col("stuck")
-    robust = [F.percentile_approx(F.when(normal & ~F.isnan(f"d{j}"), F.abs(f"d{j}")), 0.5, 10000).alias(f"m{j}") for j in range(LEVELS)]
-    scale = seen.groupBy(*ks).agg(*robust, F.percentile_approx(F.when(normal, F.col("value")), 0.5, 10000).alias("mid"))
-
-    def with_stats(a: DataFrame, b: DataFrame) -> DataFrame:
-        renamed = b.withColumnsRenamed({k: f"{k}_" for k in ks})
-        cond = F.lit(True)
-        for k in ks:
-            cond = cond & F.col(k).eqNullSafe(F.col(f"{k}_"))
-        return a.join(renamed, cond, "left").drop(*[f"{k}_" for k in ks])
-
-    seen = with_stats(seen, scale)
-    far = F.lit(False)
-    for j in range(LEVELS):
-        far = far | F.coalesce(F.col(f"r{j}") > DETAIL_SIGMAS / _MAD * F.col(f"m{j}"), F.lit(False))
+    # Written down: it is read for the scale, for level and spread, and for the kinds.  Structs are equal where their
+    # nulls stand in the same places.
+    seen = store(held.mapInArrow(_scan(around, ks, lower, upper, at_least), shape).select(F.struct(*ks).alias("src"), "value", "_row", "once", "bad", "stuck", *(f"{c}{j}" for j in range(LEVELS) for c in "dr")))
+
+    fine = seen.filter("not bad and not stuck")
+    robust = [F.percentile_approx(f"d{j}", 0.5, 10000).alias(f"m{j}") for j in range(LEVELS)]
+    scale = fine.filter("once").groupBy("src").agg(*robust, F.percentile_approx("value", 0.5, 10000).alias("mid"))
+
+    def beyond(sigmas: float):
+        return [F.coalesce(F.col(f"r{j}") > sigmas / _MAD * F.col(f"m{j}"), F.lit(False)) for j in range(LEVELS)]
+
     # White noise keeps its spread in every detail: the finest one's scale is the readings' own.
     far_off = F.coalesce(F.abs(F.col("value") - F.col("mid")) > LEVEL_SIGMAS / _MAD * F.col("m0"), F.lit(False))
-    seen = seen.withColumn("odd", (far & F.coalesce(F.col("m0") > 0, F.lit(False))) | far_off)
-    stats = seen.filter(normal & ~F.col("odd")).groupBy(*ks).agg(F.avg("value").alias("level"), F.stddev_pop("value").alias("sd"))
-    seen = with_stats(seen, stats)
-    spike = F.coalesce(F.abs(F.col("value") - F.col("level")) > spread * F.col("sd") + 1e-9, F.lit(False))
-    kind = F.when(F.col("bad"), "impossible").when(F.col("stuck"), "stuck").when(spike, "spike")
-    faulty = seen.withColumn("kind", kind).filter("kind is not null").select(*ks, "at", "value", "kind")
-    faulty = faulty.withColumnsRenamed({c: f"f_{c}" for c in [*ks, "at", "value"]})
-    cond = F.col("at").eqNullSafe(F.col("f_at")) & (F.col("value") == F.col("f_value"))
-    for k in ks:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"f_{k}"))
-    return rows.join(faulty, cond).select(F.col("_row").alias(row), "kind")
+    odd = (F.array_contains(F.array(*beyond(DETAIL_SIGMAS)), True) & F.coalesce(F.col("m0") > 0, F.lit(False))) | far_off
+    normal = fine.filter("once").join(scale, "src").filter(~odd)
+    stats = scale.join(normal.groupBy("src").agg(F.avg("value").alias("level"), F.stddev_pop("value").alias("sd")), "src", "left")
+    may_be = F.array_contains(F.array(*beyond(MAY_BE)), True) | far_off
+    off = F.coalesce(F.abs(F.col("value") - F.col("level")) > spread * F.col("sd") + 1e-9, F.lit(False))
+    spikes = fine.join(stats, "src").filter(may_be & off).select("_row", F.lit("spike").alias("kind"))
+    others = seen.filter("bad or stuck").select("_row", F.when(F.col("bad"), "impossible").otherwise("stuck").alias("kind"))
+    return others.unionByName(spikes).select(F.col("_row").alias(row), "kind")

@@ -66,4 +66,29 @@ def test_small_and_null_sources(spark):
 def test_haar():
     d = haar_details(np.array([1.0, 1, 1, 5, 1, 1, 1, 1]))
     assert d[0, 1] == 0 and abs(d[0, 3]) > 2 and abs(d[0, 4]) > 2
-    assert stuck_runs(np.array([1.0, 2, 2, 2, 3]), 3).tolist() == [False, True, True, True, False]
+    finest = haar_details(np.array([1.0, 2, 2, 2, 3]), 1)[0]
+    assert stuck_runs(finest, 3).tolist() == [False, True, True, True, False]
+    assert stuck_runs(np.zeros(0), 3).tolist() == []
+
+
+def test_same_over_any_partitions_with_repeated_rows(spark):
+    rng = np.random.default_rng(9)
+    data = []
+    for s in range(12):
+        x = np.round(rng.normal(s, 0.05, 90), 3).tolist()
+        x[7], x[30], x[60] = s + 2.0, -1.0, math.nan
+        x[40:47] = [s + 0.01] * 7
+        data += series(x, src=None if s == 3 else f"s{s}", loc=None if s % 5 == 0 else "l", start=1000 * s)
+    data += [(*r[:4], r[4] + 500, "x") for r in data for _ in range(3 if r[4] % 40 < 20 else 0)]
+    random.seed(1)
+    random.shuffle(data)
+    found = []
+    for n, batch in (("1", "10000"), ("5", "17"), ("23", "100")):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        found.append(flag(spark, data))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert found[0] == found[1] == found[2]
+    kinds = [k for _, k in found[0]]
+    assert kinds.count("spike") >= 12 and kinds.count("stuck") >= 12 * 7 and kinds.count("impossible") >= 24
