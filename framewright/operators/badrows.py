@@ -15,7 +15,7 @@ from framewright import schemas
 
 DELIMITERS = ("\t", ";", ",")
 #: What each of the nine fields has to match as a whole, as Java regular expressions.
-_VISIBLE = "(?s).*[^\\s\\p{Z}\\p{C}].*"
+_VISIBLE = "[\\s\\p{Z}\\p{C}]*+(?s:.+)"
 _WHOLE = "0*[1-9][0-9]*"
 _NUMBER = "[0-9]+(\\.[0-9]+)?"
 FIELD_PATTERNS = {
@@ -85,12 +85,17 @@ def delimiters(lines: DataFrame, file: str, line_no: str, raw: str) -> DataFrame
 
 
 def _fields(lines: DataFrame, raw: str) -> DataFrame:
-    """With ``_f``, the fields, null where the quoting is broken.  Only lines with a quote leave the JVM."""
+    """With ``_f``, the fields, null where the quoting is broken.
+
+    Lines without a quote are split in the JVM; of them only a null goes through the Arrow batches of the others.  The
+    fields come out of a generator, so that what is tested on them doesn't split the line again for each test.
+    """
     body = F.regexp_replace(F.coalesce(F.col(raw), F.lit("")), "\r\\z", "")
+    out = lines.withColumn("_body", F.explode(F.array(body)))
     quoted = F.contains("_body", F.lit('"'))
     sep = F.when(F.col("_sep") == "\t", F.split("_body", "\t", -1)).when(F.col("_sep") == ";", F.split("_body", ";", -1)).otherwise(F.split("_body", ",", -1))
-    out = lines.withColumn("_body", body).withColumn("_q", _split_quoted(F.when(quoted, F.col("_body")), F.col("_sep")))
-    return out.withColumn("_f", F.when(quoted, F.col("_q")).otherwise(sep)).drop("_q", "_body")
+    out = out.withColumn("_q", _split_quoted(F.when(quoted, F.col("_body")), F.col("_sep")))
+    return out.withColumn("_f", F.explode(F.array(F.when(quoted, F.col("_q")).otherwise(sep)))).drop("_q", "_body")
 
 
 def _values_hold() -> Column:
