@@ -1,23 +1,24 @@
 """Consolidating very many small sorted pieces into few well-sized files.
 
-Every piece becomes sorted runs, cut at key-range borders.  All runs of one key range meet in one task, which merges
-them k ways off a heap, drops what repeats, and starts a new roll whenever the current one has its bytes.  A key range is a
-stretch of frames of one video, so a video of any size is spread over as many tasks as it has ranges.  Files are then
-packed from neighbouring ranges, over the borders of videos, up to their bytes; only a range above them is cut.
+Every piece becomes sorted runs, cut at key-range borders.  All runs of one key range meet in one task, in the order of
+their first frames, and a heap merges those that are open k ways: a run is opened when the merge reaches it and dropped
+when it is used up.  What repeats is dropped.  A key range is a stretch of frames of one video, so a video of any size is
+spread over as many tasks as it has ranges.  Files are then packed from neighbouring ranges, over the borders of videos,
+up to their bytes; only a range above them is cut.  Spark's own writer commits them to whatever file system the path
+names, in place of all that stood there.
 """
 
 from __future__ import annotations
 
-import hashlib
 import heapq
-import os
 import re
+import zlib
 from collections.abc import Iterable, Iterator
+from itertools import groupby, islice
 
 import pyarrow as pa
-import pyarrow.parquet as pq
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright import schemas
@@ -25,14 +26,16 @@ from framewright.session import cut, store
 
 #: Frames per key range.
 RANGE = 1 << 14
+#: Key ranges of a video's records without a frame.
+UNPLACED = 64
 #: Bytes after which an output file is full.
 TARGET_BYTES = 128 << 20
 
 _LAST_DIGITS = re.compile(r"([0-9]+)[^0-9]*\Z")
 _MAX = (1 << 63) - 1
-#: Columns of a written file, and rows of one of its row groups.
+#: Columns of a written file, and rows that a merging task hands on at once.
 _KEPT = ["video", "frame_no", "brand", "location", "duration"]
-_GROUP = 1 << 17
+_AT_ONCE = 20_000
 Record = tuple[int, str, str, int]  # frame, brand, location, duration; -1 for a frame or duration that isn't there
 
 
@@ -67,76 +70,94 @@ def sorted_runs(records: list[Record]) -> Iterator[list[Record]]:
         yield run
 
 
-def merge_runs(runs: Iterable[list[Record]]) -> Iterator[Record]:
-    """K-way merge; of records with the same frame, brand and location the one with the longest duration stays."""
+def merge_runs(runs: Iterable[Iterable[Record]]) -> Iterator[Record]:
+    """K-way merge of runs that come in the order of their first frames.
+
+    A run is opened when the merge has come to its first frame, and only open runs are held.  Of records with the same
+    frame, brand and location the one with the longest duration stays.
+    """
+    heap: list[tuple[Record, int, Iterator[Record]]] = []
     last: Record | None = None
-    for r in heapq.merge(*runs):
-        if last is not None and r[:3] != last[:3]:
-            yield last
-        last = r
+
+    def upto(frame: int | None) -> Iterator[Record]:
+        nonlocal last
+        while heap and (frame is None or heap[0][0][0] < frame):
+            r, k, rest = heap[0]
+            behind = next(rest, None)
+            if behind is None:
+                heapq.heappop(heap)
+            else:
+                heapq.heapreplace(heap, (behind, k, rest))
+            if last is not None and r[:3] != last[:3]:
+                yield last
+            last = r
+
+    for k, run in enumerate(runs):
+        rest = iter(run)
+        first = next(rest, None)
+        if first is not None:
+            yield from upto(first[0])
+            heapq.heappush(heap, (first, k, rest))
+    yield from upto(None)
     if last is not None:
         yield last
 
 
-_RUN = "video string, part bigint, frames array<bigint>, brands array<string>, locations array<string>, durations array<bigint>"
-_OUT = "video string, part bigint, roll int, frame_no bigint, brand string, location string, duration bigint"
+_RUN = "video string, part bigint, head bigint, frames array<bigint>, brands array<string>, locations array<string>, durations array<bigint>"
+_OUT = "video string, part bigint, roll bigint, frame_no bigint, brand string, location string, duration bigint"
+
+
+def _part(r: Record, width: int) -> int:
+    """The key range of a record: records without a frame are spread by what else they are known by."""
+    return r[0] // width if r[0] >= 0 else -1 - zlib.crc32(f"{r[1]}\t{r[2]}".encode()) % UNPLACED
 
 
 def _to_runs(width: int):
+    names = [x.split()[0] for x in _RUN.split(", ")]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for video, content in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 for r in sorted_runs(parse_piece(content)):
+                    parts = [_part(x, width) for x in r]
                     at = 0
                     for i in range(1, len(r) + 1):
-                        if i == len(r) or r[i][0] // width != r[at][0] // width:
-                            cut = r[at:i]
-                            rows.append((video, cut[0][0] // width, *(list(c) for c in zip(*cut, strict=True))))
+                        if i == len(r) or parts[i] != parts[at]:
+                            rows.append((video, parts[at], r[at][0], *(list(c) for c in zip(*r[at:i], strict=True))))
                             at = i
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            types = [pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["video", "part", "frames", "brands", "locations", "durations"])
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
     return run
 
 
 def _merge(target: int):
     names = [x.split()[0] for x in _OUT.split(", ")]
-    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 
-    def flush(rows: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
-
-    def merged(at: tuple, runs: list[list[Record]]) -> Iterator[tuple]:
-        size, roll = 0, 0
-        for frame, brand, location, dur in merge_runs(runs):
-            if size >= target:
-                size, roll = 0, roll + 1
-            size += 16 + len(brand.encode()) + len(location.encode())
-            yield (*at, roll, None if frame < 0 else frame, brand, location, None if dur < 0 else dur)
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, tuple]]:
+        """Each run with its key range; a piece that was sent more than once stands behind itself and is left out."""
+        before = None
+        for b in batches:
+            for video, part, _, *cols in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                now = (video, part, cols)
+                if now != before:
+                    yield (video, part), zip(*cols, strict=True)
+                before = now
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for (video, part), runs in groupby(ranges(batches), key=lambda x: x[0]):
+            size = 0
+            for frame, brand, location, dur in merge_runs(r for _, r in runs):
+                yield video, part, size // target, None if frame < 0 else frame, brand, location, None if dur < 0 else dur
+                size += 16 + len(brand.encode()) + len(location.encode())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, runs, seen, out = None, [], set(), []
-        for b in batches:
-            for video, part, *cols in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if (video, part) != now:
-                    if now is not None:
-                        out.extend(merged(now, runs))
-                    now, runs, seen = (video, part), [], set()
-                    if len(out) > 20_000:
-                        yield flush(out)
-                        out = []
-                r = list(zip(*cols, strict=True))
-                digest = hash(tuple(r))
-                if digest in seen and r in runs:
-                    continue  # a piece that was sent more than once
-                seen.add(digest)
-                runs.append(r)
-        if now is not None:
-            out.extend(merged(now, runs))
-        yield flush(out)
+        rows = records(batches)
+        while some := list(islice(rows, _AT_ONCE)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), types, strict=True)], names=names)
 
     return run
 
@@ -144,11 +165,11 @@ def _merge(target: int):
 def consolidate(pieces: DataFrame, video: str = "video", content: str = "content", width: int = RANGE, target: int = TARGET_BYTES) -> DataFrame:
     """Each record once, in key order within (video, part), with the number ``roll`` of its output file in that range.
 
-    A record is identified by video, frame number, brand and location.  Empty and null pieces hold none; an empty table
+    A roll holds the records that begin in one stretch of ``target`` bytes of the range.  A record is identified by video, frame number, brand and location.  Empty and null pieces hold none; an empty table
     gives no rows; a null video is a video of its own.
     """
     runs = pieces.select(F.col(video), F.col(content)).filter(F.length(content) > 0).mapInArrow(_to_runs(width), _RUN)
-    return runs.repartition("video", "part").sortWithinPartitions("video", "part").mapInArrow(_merge(target), _OUT)
+    return runs.repartition("video", "part").sortWithinPartitions("video", "part", "head", "frames").mapInArrow(_merge(target), _OUT)
 
 
 def _size() -> Column:
@@ -202,7 +223,7 @@ def pack_ranges(records: DataFrame, target: int = TARGET_BYTES) -> DataFrame:
         before[r.pid] = at
         at += r.n
     packs = ranges.mapInArrow(_packs(before, target), "_video string, _part bigint, pack bigint, large boolean")
-    return records.join(packs, F.col("video").eqNullSafe(F.col("_video")) & (F.col("part") == F.col("_part"))).withColumn("roll", F.when(F.col("large"), F.col("roll")).otherwise(0)).drop("_video", "_part")
+    return records.join(packs, F.col("video").eqNullSafe(F.col("_video")) & (F.col("part") == F.col("_part"))).withColumn("roll", F.when(F.col("large"), F.col("roll")).otherwise(F.lit(0))).drop("_video", "_part")
 
 
 def packed_files(packed: DataFrame) -> DataFrame:
@@ -218,66 +239,28 @@ def packed_files(packed: DataFrame) -> DataFrame:
     return whole.select("pack", "large", "roll", F.col("first.video").alias("first_video"), F.col("last.video").alias("last_video"), F.col("first.a").alias("first_frame"), F.col("last.b").alias("last_frame"), "ranges", "records", "n_bytes")
 
 
-def _digest(video: str | None) -> str:
-    """For file names: of the video as it is written, and another one where there is none."""
-    return hashlib.sha256(b"" if video is None else b"=" + video.encode()).hexdigest()[:32]
-
-
 def write_consolidated(pieces: DataFrame, path: str, width: int = RANGE, target: int = TARGET_BYTES) -> DataFrame:
-    """Writes the files under ``path`` (a folder all executors share) and returns one row per file.
+    """Writes the files under ``path``, in place of all that stood there, and returns one row per file.
 
-    Neighbouring key ranges share a file, see ``pack_ranges``.  A file's name follows from its place and first key, and
-    it is put in place by one rename: a task that runs twice leaves one file.  first_frame is of first_video, last_frame
-    of last_video.
+    Neighbouring key ranges share a file, see ``pack_ranges``; each file has a folder of its own named by its place in
+    the order of keys.  Spark commits what whole tasks have written, so that a task that runs twice leaves one file.
+    The rows are read off the written files and kept beside them, in ``_ranges``: path, first_video, last_video,
+    first_frame (of first_video), last_frame (of last_video), records, n_bytes.
     """
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.makedirs(path, exist_ok=True)
-        rows: list[tuple] = []
-        now, held, out, tmp, name, first, ends, n = None, [], None, "", "", None, {}, 0
-
-        def spill() -> None:
-            if held:
-                out.write_table(pa.Table.from_batches(held))
-                held.clear()
-
-        def close() -> None:
-            spill()
-            out.close()
-            os.replace(tmp, name)
-            rows.append((name, first, last, ends[first][0], ends[last][1], n, os.path.getsize(name)))
-
-        last = None
-        for b in batches:
-            marks = list(zip(*(b.column(i).to_pylist() for i in range(5)), strict=True))
-            s = 0
-            for i in range(1, len(marks) + 1):
-                if i < len(marks) and marks[i] == marks[s]:
-                    continue
-                *at, video, part = marks[s]
-                if at != now:
-                    if now is not None:
-                        close()
-                    now, first, ends, n = at, video, {}, 0
-                    name = f"{path}/{at[0]:010d}-{int(at[1])}-{at[2]:05d}-{_digest(video)}-{part:08d}.parquet"
-                    tmp = f"{name}.{os.getpid()}.tmp"
-                    out = pq.ParquetWriter(tmp, pa.schema([b.schema.field(c) for c in _KEPT]))
-                piece = b.slice(s, i - s).select(_KEPT)
-                held.append(piece)
-                if sum(x.num_rows for x in held) >= _GROUP:
-                    spill()
-                frames = [x for x in piece["frame_no"].to_pylist() if x is not None]
-                a, z = ends.get(video, (None, None))
-                ends = {k: v for k, v in ends.items() if k == first} | {video: (min([*frames, *[x for x in (a,) if x is not None]], default=None), max([*frames, *[x for x in (z,) if x is not None]], default=None))}
-                last, n, s = video, n + i - s, i
-        if now is not None:
-            close()
-        names = ["path", "first_video", "last_video", "first_frame", "last_frame", "records", "n_bytes"]
-        types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
-
-    shape = "path string, first_video string, last_video string, first_frame bigint, last_frame bigint, records bigint, n_bytes bigint"
+    spark = pieces.sparkSession
     packed = pack_ranges(store(consolidate(pieces, width=width, target=target)), target)
-    order = ["pack", "large", "roll", "video", "part", "frame_no", "brand", "location"]
-    return packed.select(*order, "duration").repartition("pack", "large", "roll").sortWithinPartitions(*order).mapInArrow(write, shape)
+    place = F.concat_ws("-", F.lpad(F.col("pack").cast("string"), 12, "0"), F.col("large").cast("int").cast("string"), F.lpad(F.col("roll").cast("string"), 12, "0"))
+    laid = packed.select(place.alias("file"), *_KEPT).repartition("file").sortWithinPartitions("file", *_KEPT[:-1])
+    laid.write.mode("overwrite").partitionBy("file").parquet(path)
+    files = read_consolidated(spark, path).select(*_KEPT, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("n_bytes"))
+    ends = files.groupBy("path", "n_bytes", "video").agg(F.min("frame_no").alias("a"), F.max("frame_no").alias("b"), F.count(F.lit(1)).alias("records"))
+    rows = ends.groupBy("path", "n_bytes").agg(F.min(F.struct("video", "a")).alias("first"), F.max(F.struct("video", "b")).alias("last"), F.sum("records").alias("records"))
+    rows = rows.select("path", F.col("first.video").alias("first_video"), F.col("last.video").alias("last_video"), F.col("first.a").alias("first_frame"), F.col("last.b").alias("last_frame"), "records", "n_bytes")
+    rows.write.mode("overwrite").parquet(f"{path}/_ranges")
+    return spark.read.schema(rows.schema).parquet(f"{path}/_ranges")
+
+
+def read_consolidated(spark: SparkSession, path: str) -> DataFrame:
+    """The records of all files that ``write_consolidated`` has put there."""
+    shape = "video string, frame_no bigint, brand string, location string, duration bigint, file string"
+    return spark.read.schema(shape).parquet(path)

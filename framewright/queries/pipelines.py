@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from framewright.functions.text import last_number
 from framewright.plans import pipelines
 from framewright.queries.exposures import _NO, numbered
 from framewright.queries.registry import Registry
-from framewright.session import ensure_checkpoint_dir
+from framewright.session import scratch
 from framewright.sources.documents import roster
 from framewright.streaming import ledger
 from framewright.tables import table
@@ -94,7 +92,7 @@ query.sql["q_html_roster"] = _ROSTER
 
 @query("SELECT brand, location, CAST(sum(duration) AS BIGINT) AS total, count(*) AS n FROM bbl WHERE brand IS NOT NULL AND location IS NOT NULL GROUP BY brand, location")
 def q_stream_ledger(spark, folder):
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/framewright-stream-{uuid.uuid4().hex}"
+    base = scratch(spark, "stream")
     path = f"{folder}/bbl.parquet"
     stream = ledger.file_stream(spark, path, spark.read.parquet(path).schema, files_per_batch=8)
     return ledger.cumulative_totals(stream, ["brand", "location"], "duration", f"{base}/ledger", f"{base}/checkpoint")

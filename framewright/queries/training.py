@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from framewright.functions.text import last_number, strip_all
 from framewright.operators import badrows, smallfiles, spikes
 from framewright.operators.intervals import periods_and_gaps
-from framewright.session import store
+from framewright.session import scratch, store
 from framewright.tables import table
 
 UPPER = 23.026
@@ -42,7 +42,9 @@ def p5_loaded(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    return smallfiles.consolidate(table(spark, folder, "shard_files")).select("video", "frame_no", "brand", "location")
+    path = scratch(spark, "files")
+    smallfiles.write_consolidated(table(spark, folder, "shard_files"), path)
+    return smallfiles.read_consolidated(spark, path).select("video", "frame_no", "brand", "location")
 
 
 def p6_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -139,10 +141,20 @@ r AS (SELECT video, TRY_CAST(regexp_extract(f[4], '([0-9]+)[^0-9]*$', 1) AS BIGI
       FROM f WHERE len(f) >= 4 AND NOT (f[1] = 'Brand' AND f[2] = 'Location' AND f[3] = 'Duration' AND f[4] = 'Sequence Frame Number'))
 """
 _P6 = _P6_BASE + "SELECT DISTINCT video, frame_no, brand, location FROM r"
-_P6_FILES = _P6_BASE + f""", d AS (SELECT DISTINCT * FROM r)
-SELECT video, CAST(frame_no // {smallfiles.RANGE} AS BIGINT) AS part, CAST(0 AS INTEGER) AS roll, min(frame_no) AS first_frame, max(frame_no) AS last_frame,
-  count(*) AS records, CAST(sum(16 + strlen(brand) + strlen(location)) AS BIGINT) AS n_bytes
-FROM d GROUP BY ALL
+_P6_PARTS = _P6_BASE + f""", d AS (SELECT DISTINCT * FROM r),
+z AS (SELECT *, CAST(frame_no // {smallfiles.RANGE} AS BIGINT) AS part, 16 + strlen(brand) + strlen(location) AS b FROM d),
+p AS (SELECT *, CAST((sum(b) OVER (PARTITION BY video, part ORDER BY frame_no, brand, location ROWS UNBOUNDED PRECEDING) - b) // {smallfiles.TARGET_BYTES} AS BIGINT) AS roll FROM z)
+"""
+_P6_FILES = _P6_PARTS + """
+SELECT video, part, roll, min(frame_no) AS first_frame, max(frame_no) AS last_frame, count(*) AS records, CAST(sum(b) AS BIGINT) AS n_bytes FROM p GROUP BY video, part, roll
+"""
+_P6_PACKED = _P6_PARTS + f""", g AS (SELECT video, part, sum(b) AS n FROM p GROUP BY video, part),
+k AS (SELECT video, part, CAST((sum(n) OVER (ORDER BY video NULLS FIRST, part) - n) // {smallfiles.TARGET_BYTES} AS BIGINT) AS pack, n > {smallfiles.TARGET_BYTES} AS large FROM g),
+q AS (SELECT p.* EXCLUDE (roll), pack, large, CASE WHEN large THEN roll ELSE 0 END AS roll FROM p JOIN k ON p.video IS NOT DISTINCT FROM k.video AND p.part = k.part)
+SELECT pack, large, roll, arg_min(video, struct_pack(v := coalesce(video, ''), f := frame_no)) AS first_video, arg_max(video, struct_pack(v := coalesce(video, ''), f := frame_no)) AS last_video,
+  arg_min(frame_no, struct_pack(v := coalesce(video, ''), f := frame_no)) AS first_frame, arg_max(frame_no, struct_pack(v := coalesce(video, ''), f := frame_no)) AS last_frame,
+  count(DISTINCT struct_pack(v := video, p := part)) AS ranges, count(*) AS records, CAST(sum(b) AS BIGINT) AS n_bytes
+FROM q GROUP BY pack, large, roll
 """
 
-SQL = {"p3_found": _P3, "p4_found": _P4, "p5_found": _P5, "p5_loaded": _P5_LOADED, "p6_found": _P6, "p6_files": _P6_FILES}
+SQL = {"p3_found": _P3, "p4_found": _P4, "p5_found": _P5, "p5_loaded": _P5_LOADED, "p6_found": _P6, "p6_files": _P6_FILES, "p6_packed": _P6_PACKED}

@@ -50,22 +50,30 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store(df: DataFrame) -> DataFrame:
-    """``df`` written as a Parquet table in the checkpoint folder and read again: smaller there than a checkpoint.
+_HELD: list[tuple[SparkSession, str]] = []
 
-    The table is removed when the program ends.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/framewright-{uuid.uuid4().hex}"
+
+def scratch(spark: SparkSession, what: str = "table") -> str:
+    """A path of its own in the checkpoint folder, removed by ``release`` or when the program ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/framewright-{what}-{uuid.uuid4().hex}"
+    _HELD.append((spark, path))
+    return path
+
+
+def store(df: DataFrame) -> DataFrame:
+    """``df`` written as a Parquet table in the checkpoint folder and read again: smaller there than a checkpoint."""
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # noqa: BLE001 - the session may be gone by now
-        return
+@atexit.register
+def release() -> None:
+    """Removes every table that was stored so far: to be called when the results that read them are written."""
+    while _HELD:
+        spark, path = _HELD.pop()
+        try:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        except Exception:  # noqa: BLE001 - the session may be gone by now
+            continue

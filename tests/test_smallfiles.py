@@ -29,14 +29,20 @@ def test_each_record_once(spark, rows):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def written(path):
+    return sorted(p for p in path.glob("file=*/*.parquet"))
+
+
 def test_files(spark, tmp_path, rows):
     contents = [("v", "\n".join(f"Brand\tPlace\t1\t{i}" for i in range(s, s + 300))) for s in range(0, 900, 200)]
     made = smallfiles.write_consolidated(pieces(spark, contents), str(tmp_path), target=4000).collect()
-    assert sum(r.records for r in made) == 1100 and len(made) == len(list(tmp_path.iterdir())) > 3
-    frames = [f for r in sorted(made, key=lambda r: r.path) for f in pq.read_table(r.path)["frame_no"].to_pylist()]
+    assert sum(r.records for r in made) == 1100 and len(made) == len(written(tmp_path)) > 3
+    frames = [f for r in sorted(made, key=lambda r: r.path) for f in pq.ParquetFile(r.path.removeprefix("file:")).read()["frame_no"].to_pylist()]
     assert frames == list(range(1100))
     again = smallfiles.write_consolidated(pieces(spark, contents), str(tmp_path), target=4000).collect()
-    assert sorted(r.path for r in again) == sorted(r.path for r in made)
+    assert len(again) == len(made) == len(written(tmp_path)) and sum(r.records for r in again) == 1100
+    fewer = smallfiles.write_consolidated(pieces(spark, contents[:1]), str(tmp_path), target=1 << 20).collect()
+    assert len(fewer) == len(written(tmp_path)) == 1 and smallfiles.read_consolidated(spark, str(tmp_path)).count() == 300
     meta = smallfiles.output_files(smallfiles.consolidate(pieces(spark, contents), target=4000))
     assert rows(meta.select("first_frame", "last_frame", "records")) == sorted(((r.first_frame, r.last_frame, r.records) for r in made), key=lambda r: tuple((False, str(v)) for v in r))
 
@@ -48,8 +54,8 @@ def test_files_span_videos(spark, tmp_path, rows):
     target = 8000
     made = sorted(smallfiles.write_consolidated(pieces(spark, contents), str(tmp_path), target=target).collect(), key=lambda r: r.path)
     sizes = sum(16 + len((b + loc).encode()) for _, _, b, loc in want)
-    assert len(made) == len(list(tmp_path.iterdir())) <= sizes // target + 4 < 60
-    files = [[(r["video"] or "", -1 if r["frame_no"] is None else r["frame_no"], r["brand"], r["location"]) for r in pq.read_table(m.path).to_pylist()] for m in made]
+    assert len(made) == len(written(tmp_path)) <= sizes // target + 4 < 60
+    files = [[(r["video"] or "", -1 if r["frame_no"] is None else r["frame_no"], r["brand"], r["location"]) for r in pq.ParquetFile(m.path.removeprefix("file:")).read().to_pylist()] for m in made]
     assert [r for f in files for r in f] == want
     assert [(f[0][0], f[-1][0], len(f)) for f in files] == [(m.first_video or "", m.last_video or "", m.records) for m in made]
     meta = smallfiles.packed_files(smallfiles.pack_ranges(smallfiles.consolidate(pieces(spark, contents), target=target), target))
@@ -58,14 +64,31 @@ def test_files_span_videos(spark, tmp_path, rows):
     assert max(r.n_bytes for r in meta.collect()) < 2 * target
 
 
-def test_names_of_videos_that_look_alike(spark, tmp_path):
-    videos = ["a b", "a_b", "a/b", "éé", "üü", None, "None", ""]
+def test_videos_that_look_alike(spark, tmp_path):
+    videos = ["a b", "a_b", "a/b", "a.b", "éé", "üü", None, "None", ""]
     contents = [(v, "\n".join(f"B{i}\tPlace\t1\t{f}" for f in range(5))) for i, v in enumerate(videos)]
-    for i, c in enumerate(contents):  # one by one: each is the first of its folder's files
-        made = smallfiles.write_consolidated(pieces(spark, [c]), str(tmp_path)).collect()
-        assert len(made) == 1 and len(list(tmp_path.iterdir())) == i + 1
-    got = {(r["video"], r["brand"], r["frame_no"]) for f in tmp_path.iterdir() for r in pq.read_table(f).to_pylist()}
-    assert got == {(v, f"B{i}", f) for i, v in enumerate(videos) for f in range(5)}
+    for target in (1, 100, 1 << 20):
+        made = smallfiles.write_consolidated(pieces(spark, contents), str(tmp_path / str(target)), target=target).collect()
+        assert sum(r.records for r in made) == 45 and len(made) == len(written(tmp_path / str(target)))
+        got = {(r.video, r.brand, r.frame_no) for r in smallfiles.read_consolidated(spark, str(tmp_path / str(target))).collect()}
+        assert got == {(v, f"B{i}", f) for i, v in enumerate(videos) for f in range(5)}
+    none = smallfiles.write_consolidated(pieces(spark, [("v", None), ("v", "")]), str(tmp_path / "none"))
+    assert none.collect() == [] and smallfiles.read_consolidated(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_runs_are_opened_when_the_merge_reaches_them():
+    held, most = set(), [0]
+
+    def run(k, a):
+        held.add(k)
+        most[0] = max(most[0], len(held))
+        for f in range(a, a + 10):
+            yield f, "b", "l", 1
+        held.discard(k)
+
+    got = list(smallfiles.merge_runs(run(k, 8 * k) for k in range(200)))
+    assert [r[0] for r in got] == list(range(8 * 199 + 10)) and most[0] <= 3
+    assert list(smallfiles.merge_runs([])) == []
 
 
 def test_runs():
