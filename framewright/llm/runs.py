@@ -3,19 +3,24 @@
 Per entity the ordered events are segmented by dynamic programming: the best segmentation minimises the boundaries
 first and then the letters in which the events differ from what their run means.  Only open segments that can still be
 extended are kept, and of two with one meaning only the one that isn't worse in cost and coverage, so a step looks at a
-few.  Entities are cut into stretches of ``CHUNK`` positions, each segmented on its own; runs at a stretch's border are
-then joined by a window over the border runs alone.
+few.
+
+Entities are cut into stretches of ``CHUNK`` positions.  Between two events that can't mean the same a boundary is
+certain, whatever stands before them, so a stretch falls into pieces that are segmented each by itself with the result
+that the whole entity gives.  Only the events before a stretch's first certain boundary, and those behind its last one,
+depend on its neighbours: they go on, joined over the stretches, and are segmented in a second step.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.llm.labels import digits, meanings, plain
+from framewright.session import store
 
 #: Positions per stretch.
 CHUNK = 1 << 14
@@ -30,14 +35,18 @@ class _Open:
 
     __slots__ = ("cost", "count", "end", "first", "means", "prior", "total")
 
-    def __init__(self, means: Meaning, cost: int, first: int, end: int, length: int, prior: _Open | None):
+    def __init__(self, means: Meaning, cost: int, first: int, end: int, count: int, total: int, prior: _Open | None):
         self.means, self.cost, self.first, self.end, self.prior = means, cost, first, end, prior
-        self.count, self.total = 1, length
+        self.count, self.total = count, total
+
+
+class _Event:
+    """One event, or several in a row that can mean one thing only and follow on each other."""
 
-    def extended(self, letters: int, end: int, length: int) -> _Open:
-        x = _Open(self.means, self.cost + letters, self.first, max(self.end, end), 0, self.prior)
-        x.count, x.total = self.count + 1, self.total + length
-        return x
+    __slots__ = ("count", "end", "first", "possible", "total")
+
+    def __init__(self, first: int, end: int, count: int, total: int, possible: dict[Meaning, int]):
+        self.first, self.end, self.count, self.total, self.possible = first, end, count, total, possible
 
 
 class Segmenter:
@@ -46,13 +55,13 @@ class Segmenter:
     def __init__(self) -> None:
         self.open: list[_Open] = []
 
-    def add(self, first: int, length: int, possible: dict[Meaning, int]) -> None:
-        end = first + length - 1
+    def add(self, e: _Event) -> None:
         best = min(self.open, key=lambda s: s.cost) if self.open else None
-        base = best.cost if best else 0
-        step = [s.extended(possible[s.means], end, length) for s in self.open if s.means in possible and first <= s.end + 1]
-        step += [_Open(m, base + BOUNDARY + letters, first, end, length, best) for m, letters in possible.items()]
-        step.sort(key=lambda s: (s.cost, -s.end, s.first))
+        base = (best.cost if best else 0) + BOUNDARY
+        step = [_Open(s.means, s.cost + e.possible[s.means], s.first, max(s.end, e.end), s.count + e.count, s.total + e.total, s.prior) for s in self.open if s.means in e.possible and e.first <= s.end + 1]
+        step += [_Open(m, base + letters, e.first, e.end, e.count, e.total, best) for m, letters in e.possible.items()]
+        if len(step) > 1:
+            step.sort(key=lambda s: (s.cost, -s.end, s.first, s.means))
         kept: list[_Open] = []
         for s in step:
             if not any(o.means == s.means and o.end >= s.end for o in kept):
@@ -68,15 +77,43 @@ class Segmenter:
         return out[::-1]
 
 
+def _segmented(events: Iterable[_Event]) -> list[_Open]:
+    s = Segmenter()
+    for e in events:
+        s.add(e)
+    return s.segments()
+
+
 def segment(events: list[tuple[int, int, dict[Meaning, int]]]) -> list[_Open]:
     """The best segmentation of ordered events (position, length, possible meanings with their letters).
 
-    A segment's events share a meaning, and each starts no later than right after what the segment covers so far.
+    A segment's events share a meaning, and each starts no later than right after what the segment covers so far.  Of
+    segmentations that cost the same the one that is found first stays: the order is by cost, then reach, then start,
+    then meaning.
     """
-    s = Segmenter()
-    for e in events:
-        s.add(*e)
-    return s.segments()
+    return _segmented(_Event(p, p + n - 1, 1, n, possible) for p, n, possible in events)
+
+
+class Pieces:
+    """One stretch's events, taken one by one and cut at the certain boundaries."""
+
+    def __init__(self) -> None:
+        self.events: list[_Event] = []
+        self.cut = False
+
+    def add(self, first: int, length: int, possible: dict[Meaning, int]) -> list[_Event] | None:
+        """Returns the piece that ends before this event, if one does."""
+        end, last = first + length - 1, self.events[-1] if self.events else None
+        if last is not None and last.possible.keys().isdisjoint(possible):
+            done, self.events = self.events, [_Event(first, end, 1, length, possible)]
+            return done
+        if last is not None and len(possible) == len(last.possible) == 1 and first <= last.end + 1:
+            # No segmentation has a boundary here: going on costs less and reaches as far.
+            (m, letters), *_ = possible.items()
+            self.events[-1] = _Event(last.first, max(last.end, end), last.count + 1, last.total + length, {m: last.possible[m] + letters})
+            return None
+        self.events.append(_Event(first, end, 1, length, possible))
+        return None
 
 
 def _lexicon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,57 +155,99 @@ def lexicon(labels: DataFrame) -> DataFrame:
     return sig.repartition("e", "f", "d").sortWithinPartitions("e", "f", "d").mapInArrow(_lexicon, "e string, f int, label string, means array<string>, letters array<int>")
 
 
-_RUN = "e string, chunk bigint, part bigint, ord bigint, means array<string>, first bigint, last bigint, n bigint, total bigint"
+_OUT = "e string, chunk bigint, kind int, ord bigint, means array<string>, letters array<bigint>, first bigint, last bigint, n bigint, total bigint"
+_TYPES = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+#: Rows of a stretch's result: a run that is done, or an event of the piece before its first certain boundary, of the
+#: one behind its last, or of a stretch without any.
+DONE, HEAD, WHOLE, TAIL = -1, 0, 1, 2
+_AT_ONCE = 10_000
 
 
-def _segments(width: int):
-    names = [x.split()[0] for x in _RUN.split(", ")]
-    types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * len(_TYPES)
+    rows.clear()
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES, strict=True)], names=[x.split()[0] for x in _OUT.split(", ")])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, out = None, Segmenter(), []
 
-        def close() -> None:
-            runs = held.segments()
-            leading = 0
-            while leading < len(runs) and runs[leading].means == runs[0].means:
-                leading += 1
-            for i, s in enumerate(runs):
-                border = i < leading or i == len(runs) - 1
-                out.append((now[0], now[1], 0 if border else now[1] + 1, i, list(s.means), s.first, s.end, s.count, s.total))
-
-        def batch() -> pa.RecordBatch:
-            cols = list(zip(*out, strict=True)) if out else [[]] * len(names)
-            out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
+def _runs(e: str, events: list[_Event]) -> Iterator[tuple]:
+    for s in _segmented(events):
+        yield e, 0, DONE, 0, list(s.means), None, s.first, s.end, s.count, s.total
+
+
+def _stretches(fields: int):
+    """Rows (e, chunk, f, label, means, letters, p, r, d, l0, l1, ...) sorted by e, chunk, f, p, r.
 
+    A stretch's labels stand before its events (f is then ``fields``).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, out = None, Pieces(), []
+        words: list[dict[str, list[tuple[str, int]]]] = [{} for _ in range(fields)]
         known: dict[tuple, dict[Meaning, int]] = {}
 
-        def possible(sides: list[tuple[list[str], list[int]]]) -> dict[Meaning, int]:
-            key = tuple((*m, *d) for m, d in sides)
-            got = known.get(key)
+        def possible(labels: tuple[str, ...]) -> dict[Meaning, int]:
+            got = known.get(labels)
             if got is None:
                 got = {(): 0}
-                for means, letters in sides:
-                    got = {(*k, m): v + d for k, v in got.items() for m, d in zip(means, letters, strict=True)}
-                if len(known) > 50_000:
-                    known.clear()
-                known[key] = got
+                for f, label in enumerate(labels):
+                    got = {(*k, m): v + d for k, v in got.items() for m, d in words[f][label]}
+                known[labels] = got
             return got
 
+        def border(kind: int, events: list[_Event]) -> None:
+            for i, x in enumerate(events):
+                out.append((now[0], now[1], kind, i, [w for m in x.possible for w in m], list(x.possible.values()), x.first, x.end, x.count, x.total))
+
+        def close() -> None:
+            if held.events:
+                border(TAIL if held.cut else WHOLE, held.events)
+
         for b in batches:
-            e, _, frame, _, length, *rest = (c.to_pylist() for c in b.columns)
+            e, chunk, f, label, means, letters, p, d, *ls = (c.to_pylist() for c in b.columns)
             for i in range(b.num_rows):
-                at = (e[i], frame[i] // width)
-                if at != now:
+                if (e[i], chunk[i]) != now:
+                    close()
+                    now, held = (e[i], chunk[i]), Pieces()
+                    words, known = [{} for _ in range(fields)], {}
+                if f[i] < fields:
+                    words[f[i]][label[i]] = list(zip(means[i], letters[i], strict=True))
+                    continue
+                done = held.add(p[i], d[i], possible(tuple(x[i] for x in ls)))
+                if done is not None:
+                    if held.cut:
+                        out.extend(_runs(now[0], done))
+                    else:
+                        border(HEAD, done)
+                    held.cut = True
+            if len(out) >= _AT_ONCE:
+                yield _batch(out)
+        close()
+        yield _batch(out)
+
+    return run
+
+
+def _borders(fields: int):
+    """Events (e, block, means, letters, first, last, n, total) sorted by e, block and their order, to runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, out = None, Segmenter(), []
+
+        def close() -> None:
+            out.extend((now[0], 0, DONE, 0, list(s.means), None, s.first, s.end, s.count, s.total) for s in held.segments())
+
+        for b in batches:
+            for e, block, means, letters, first, last, n, total in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (e, block) != now:
                     if now is not None:
                         close()
-                    now, held = at, Segmenter()
-                held.add(frame[i], length[i], possible([(rest[k][i], rest[k + 1][i]) for k in range(0, len(rest), 2)]))
-            yield batch()
+                    now, held = (e, block), Segmenter()
+                held.add(_Event(first, last, n, total, {tuple(means[fields * k : fields * (k + 1)]): v for k, v in enumerate(letters)}))
+            if len(out) >= _AT_ONCE:
+                yield _batch(out)
         if now is not None:
             close()
-        yield batch()
+        yield _batch(out)
 
     return run
 
@@ -179,34 +258,43 @@ def collapse_runs(df: DataFrame, entity: str, position: str, length: str, row: s
     Left out are rows with a null entity, label or position, a position below 0, or a length that is null or below 1.
     Rows equal in everything but ``row`` count once, as the one with the least ``row``.  Events of an entity are ordered
     by position, then ``row``.  Labels mean the same where ``labels.meanings`` says so within the entity.  ``df`` has to
-    hold what makes rows different, and nothing else: all its columns are compared.
+    hold what makes rows different, and nothing else: all its columns are compared (those that aren't used by 128 bits
+    of hash).  The result doesn't depend on ``width``.
     """
     ok = F.lit(True)
     for c in (entity, position, *labels):
         ok = ok & F.col(c).isNotNull()
-    rows = df.filter(ok & (F.col(length) >= 1) & (F.col(position) >= 0))
-    rows = rows.groupBy(*[F.col(c) for c in rows.columns if c != row]).agg(F.min(row).alias("r"))
-    cols = [F.col(c).alias(f"l{i}") for i, c in enumerate(labels)]
-    rows = rows.select(F.col(entity).alias("e"), F.col(position).cast("bigint").alias("p"), "r", F.col(length).cast("bigint").alias("d"), *cols)
-
-    fields = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"l{i}").alias("label")) for i in range(len(labels))])
-    typed = rows.select("e", F.explode(fields).alias("x")).groupBy("e", "x.f", "x.label").agg(F.count(F.lit(1)).alias("n"))
-    words = lexicon(typed.select("e", "f", "label", "n"))
-    for i in range(len(labels)):
-        w = words.filter(F.col("f") == i).select(F.col("e").alias("e_"), F.col("label").alias("label_"), F.col("means").alias(f"m{i}"), F.col("letters").alias(f"c{i}"))
-        rows = rows.join(w, (F.col("e") == F.col("e_")) & (F.col(f"l{i}") == F.col("label_"))).drop("e_", "label_")
-    sides = [x for i in range(len(labels)) for x in (f"m{i}", f"c{i}")]
-    rows = rows.withColumn("chunk", F.floor(F.col("p") / width)).select("e", "chunk", "p", "r", "d", *sides)
-    runs = rows.repartition("e", "chunk").sortWithinPartitions("e", "chunk", "p", "r").mapInArrow(_segments(width), _RUN)
-
-    w = Window.partitionBy("e", "part").orderBy("chunk", "ord")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    # Among the border runs a chunk's last one isn't next to its leading ones where others stand between.
-    beside = (F.col("ord") == 0) | ((F.lag("chunk").over(w) == F.col("chunk")) & (F.lag("ord").over(w) == F.col("ord") - 1))
-    runs = runs.withColumn("block", F.sum(F.when((F.col("means") == F.lag("means").over(w)) & beside, 0).otherwise(1)).over(upto))
-    inside = Window.partitionBy("e", "part", "block").orderBy("chunk", "ord")
-    covered = F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    runs = runs.withColumn("covered", covered)
-    runs = runs.withColumn("run", F.sum(F.when(F.col("first") <= F.col("covered") + 1, 0).otherwise(1)).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    out = runs.groupBy("e", "part", "block", "run", "means").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"), F.sum("total").alias("total"))
-    return out.select(F.col("e").alias(entity), *[F.get("means", F.lit(i)).alias(c) for i, c in enumerate(labels)], "first", "last", "n", "total")
+    fields, ls = len(labels), [f"l{i}" for i in range(len(labels))]
+    rest = [x for c in df.columns if c not in (entity, position, length, row, *labels) for x in (F.col(c).isNull(), F.col(c))]
+    rows = df.filter(ok & (F.col(length) >= 1) & (F.col(position) >= 0)).select(
+        F.col(entity).alias("e"),
+        F.floor(F.col(position) / width).alias("chunk"),
+        F.col(position).cast("bigint").alias("p"),
+        F.col(row).alias("r"),
+        F.col(length).cast("bigint").alias("d"),
+        *[F.col(c).alias(x) for c, x in zip(labels, ls, strict=True)],
+        F.xxhash64(*rest).alias("h0") if rest else F.lit(0).alias("h0"),
+        F.xxhash64(F.lit("again"), *rest).alias("h1"),
+    )
+    # Shuffled by stretch: rows that are equal meet there, and the grouping needs no other shuffle.
+    rows = store(rows.repartition("e", "chunk").groupBy("e", "chunk", "p", "d", *ls, "h0", "h1").agg(F.min("r").alias("r")).drop("h0", "h1"))
+
+    pair = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col(x).alias("label")) for i, x in enumerate(ls)]))
+    typed = rows.select("e", "chunk", pair.alias("x")).groupBy("e", "chunk", "x.f", "x.label").agg(F.count(F.lit(1)).alias("n"))
+    words = lexicon(typed.groupBy("e", "f", "label").agg(F.sum("n").alias("n")).select("e", "f", "label", "n"))
+    # Each stretch gets the meanings of the labels that stand in it, and its events bare.
+    known = typed.select("e", "chunk", "f", "label").join(words, ["e", "f", "label"])
+    none = [F.lit(None).cast("string").alias(x) for x in ls]
+    known = known.select("e", "chunk", "f", "label", "means", "letters", F.lit(0).cast("bigint").alias("p"), F.lit(None).cast(rows.schema["r"].dataType).alias("r"), F.lit(0).cast("bigint").alias("d"), *none)
+    events = rows.select("e", "chunk", F.lit(fields).alias("f"), F.lit(None).cast("string").alias("label"), F.lit(None).cast("array<string>").alias("means"), F.lit(None).cast("array<int>").alias("letters"), "p", "r", "d", *ls)
+    both = known.unionByName(events).repartition("e", "chunk").sortWithinPartitions("e", "chunk", "f", "p", "r")
+    out = store(both.drop("r").mapInArrow(_stretches(fields), _OUT))
+
+    # What depends on the neighbours: a block begins behind a stretch's last certain boundary and ends before the next.
+    border = out.filter(F.col("kind") != DONE)
+    w = Window.partitionBy("e").orderBy("chunk", "kind")
+    block = border.filter("ord = 0").select(F.col("e").alias("e_"), F.col("chunk").alias("c_"), F.col("kind").alias("k_"), F.sum((F.col("kind") == TAIL).cast("bigint")).over(w).alias("block"))
+    border = border.join(block, (F.col("e") == F.col("e_")) & (F.col("chunk") == F.col("c_")) & (F.col("kind") == F.col("k_")))
+    border = border.select("e", "block", "means", "letters", "first", "last", "n", "total", "chunk", "kind", "ord").repartition("e", "block").sortWithinPartitions("e", "block", "chunk", "kind", "ord").drop("chunk", "kind", "ord")
+    runs = out.filter(F.col("kind") == DONE).unionByName(border.mapInArrow(_borders(fields), _OUT))
+    return runs.select(F.col("e").alias(entity), *[F.get("means", F.lit(i)).alias(c) for i, c in enumerate(labels)], "first", "last", "n", "total")

@@ -68,3 +68,71 @@ def test_against_brute_force(spark, width):
     out = runs.collapse_runs(df, "file_name", "frame_no", "duration", "row_id", ["brand", "location"], width=width)
     assert sorted((r.file_name, r.first, r["last"], r.n, r.total) for r in out.collect()) == brute(rows)
     assert runs.collapse_runs(df.limit(0), "file_name", "frame_no", "duration", "row_id", ["brand", "location"]).collect() == []
+
+
+def least_cost(events):
+    """The least cost of any segmentation, tried one by one."""
+    best = [0] + [None] * len(events)
+    for j in range(1, len(events) + 1):
+        for i in range(j):
+            for m in events[i][2]:
+                end, cost = None, best[i] + runs.BOUNDARY
+                for p, n, possible in events[i:j]:
+                    if m not in possible or (end is not None and p > end + 1):
+                        break
+                    end, cost = max(end or 0, p + n - 1), cost + possible[m]
+                else:
+                    best[j] = cost if best[j] is None else min(best[j], cost)
+    return best[-1]
+
+
+def test_segmentation_costs_least():
+    random.seed(12)
+    for _ in range(300):
+        events, at = [], 0
+        for _ in range(random.randrange(1, 14)):
+            at += random.choice([0, 1, 1, 2, 4])
+            kinds = random.sample(["A", "B", "C"], random.choice([1, 1, 2, 3]))
+            events.append((at, random.choice([1, 1, 2, 6]), {(k,): random.choice([0, 1]) for k in kinds}))
+        got = runs.segment(events)
+        assert sum(s.count for s in got) == len(events)
+        assert (got[-1].cost if got else 0) == least_cost(events)
+        # Cut at certain boundaries the pieces are segmented as the whole is.
+        pieces, out = runs.Pieces(), []
+        for p, n, possible in events:
+            done = pieces.add(p, n, possible)
+            out += runs._segmented(done) if done else []
+        out += runs._segmented(pieces.events)
+        show = lambda x: [(s.means, s.first, s.end, s.count, s.total) for s in x]
+        assert show(out) == show(got)
+
+
+def test_slips_that_may_mean_two_labels_at_every_width(spark):
+    random.seed(21)
+    proper = ["smyth x", "smith x", "smooth y"]
+    slips = ["smth x", "smath x", "smoth y"]
+    rows = [("border", "Club", "smyth x", 1, f, f) for f in (997, 998, 999)] + [("border", "Club", "smth x", 1, 1000, 1000)]
+    rows += [("border", "Club", p, 1, 3000 + 3 * i, 2000 + i) for p in proper[:2] for i in range(5)]
+    for k in range(4000):
+        at = random.choice([random.randrange(0, 400), random.randrange(0, 40_000)])
+        label = random.choice(proper * 6 + slips) if k > 30 else random.choice(proper)
+        rows.append((f"f{k % 3}", "Club", label, random.choice([1, 1, 2, 9, 300]), at, 10_000 + k))
+    df = spark.createDataFrame(rows, "file_name string, brand string, location string, duration int, frame_no long, row_id long")
+    want, seen = [], {}
+    for f in {r[0] for r in rows}:
+        mine = {}
+        for r in rows:
+            if r[0] == f:
+                mine[r[1:5]] = min(r[5], mine.get(r[1:5], r[5]))
+        counts = {}
+        for _, loc, _, _ in mine:
+            counts[loc] = counts.get(loc, 0) + 1
+        means = labels.meanings(counts.items())
+        seen[f] = max(len(v) for v in means.values())
+        events = sorted((frame, row, d, loc) for (_, loc, d, frame), row in mine.items())
+        want += [(f, s.means[1], s.first, s.end, s.count, s.total) for s in runs.segment([(p, d, {("Club", m): n for m, n in means[loc]}) for p, _, d, loc in events])]
+    assert max(seen.values()) > 1
+    assert ("border", "smyth x", 997, 1000, 4, 4) in want
+    for width in (7, 50, 1000, 1 << 14):
+        out = runs.collapse_runs(df, "file_name", "frame_no", "duration", "row_id", ["brand", "location"], width=width)
+        assert sorted((r.file_name, r.location, r.first, r["last"], r.n, r.total) for r in out.collect()) == sorted(want), width
