@@ -136,26 +136,31 @@ def _scan(items: list[tuple], gram: int, window: int):
 
 
 def _prints(gram: int, window: int):
+    """(key, text's digest, text) to (key, digest, hash), each kept hash once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, hashes = [], []
-            for n, t in enumerate(b.column(1).to_pylist()):
+            for n, t in enumerate(b.column(2).to_pylist()):
                 w = words_of(t)
                 if len(w) >= gram + window - 1:
                     h = np.unique(fingerprints(w, gram, window)[0])
                     rows += [n] * len(h)
                     hashes.append(h.view(np.int64))
             h = np.concatenate(hashes) if hashes else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(h)], names=["k", "h"])
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(h)], names=["k", "x", "h"])
 
     return run
 
 
 def _verify(gram: int, window: int):
+    """Rows (d, i, times, a, b) whose texts a and b have the words in common."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
-            for n, (t, x) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
+            for n, (t, x) in enumerate(zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)):
                 one = _Items([(0, x)], gram, window)
                 w = words_of(t)
                 h, p = fingerprints(w, gram, window)
@@ -163,31 +168,55 @@ def _verify(gram: int, window: int):
                 if one.hits(w, h[mine], p[mine], gram + window - 1):
                     keep.append(n)
             at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at)], names=["d", "i"])
+            yield pa.RecordBatch.from_arrays([c.take(at) for c in b.columns[:3]], names=["d", "i", "times"])
 
     return run
 
 
+def _joined(d: DataFrame, i: DataFrame, d_kind: str, i_kind: str, gram: int, window: int) -> DataFrame:
+    """The same where the items are too many to be sent: fingerprints meet in a join.
+
+    A row is known by its key (within a struct, so that a null is a key like others) and its text's digest; rows that
+    agree in both agree in what leaks, and are counted.  Only texts with a fingerprint in common are read again.
+    """
+
+    def side(t: DataFrame, key: str) -> DataFrame:
+        return t.select(F.struct(F.col(key).alias("v")).alias("k"), F.md5("t").alias("x"), "t").filter("t is not null")
+
+    left, right = side(d, "d"), side(i, "i")
+    shape = "k struct<v:{}>, x string, h bigint"
+    right_prints = right.mapInArrow(_prints(gram, window), shape.format(i_kind)).distinct()
+    pairs = left.mapInArrow(_prints(gram, window), shape.format(d_kind)).join(right_prints.withColumnsRenamed({"k": "ik", "x": "ix"}), "h")
+    pairs = pairs.select("k", "x", "ik", "ix").distinct()
+
+    def texts(t: DataFrame, key: str, digest: str) -> DataFrame:
+        near = pairs.select(F.col(key).alias("k"), F.col(digest).alias("x")).distinct()
+        return t.join(near, ["k", "x"], "left_semi").groupBy("k", "x").agg(F.count(F.lit(1)).alias("n"), F.min("t").alias("t"))
+
+    items = texts(right, "ik", "ix").withColumnsRenamed({"k": "ik", "x": "ix", "n": "m", "t": "b"})
+    both = pairs.join(texts(left, "k", "x").withColumnRenamed("t", "a"), ["k", "x"]).join(items, ["ik", "ix"])
+    both = both.select(F.col("k.v").alias("d"), F.col("ik.v").alias("i"), (F.col("n") * F.col("m")).alias("times"), "a", "b")
+    found = both.mapInArrow(_verify(gram, window), f"d {d_kind}, i {i_kind}, times bigint")
+    return found.withColumn("again", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))).select("d", "i")
+
+
 def leaked(docs: DataFrame, items: DataFrame, doc: str, item: str, text: str = "text", words: int = WORDS, gram: int = GRAM, sent_chars: int = SENT_CHARS) -> DataFrame:
     """Columns ``doc`` and ``item``: each document and item whose texts have at least ``words`` words in a row in common.
 
-    Null and empty texts, and texts of fewer words, have none.  Rows of ``docs`` with one key are judged together only
-    in that a pair comes out once per row; an empty table on either side gives no rows; other columns aren't read.
+    Null and empty texts, and texts of fewer words, have none.  Rows are judged one by one, whatever their keys: a pair
+    comes out once for each row of ``docs`` and each of ``items``, keys may be null or come again.  An empty table on
+    either side gives no rows; other columns aren't read.  The items' size is measured: up to ``sent_chars`` they are
+    sent to the tasks, beyond that they are joined by a shuffle, with the same result.
     """
     window = words - gram + 1
     d_kind, i_kind = docs.schema[doc].dataType.simpleString(), items.schema[item].dataType.simpleString()
     d = docs.select(F.col(doc).alias("d"), F.col(text).alias("t"))
     i = items.select(F.col(item).alias("i"), F.col(text).alias("t")).filter("t is not null")
     chars = i.agg(F.sum(F.length("t"))).first()[0] or 0
-    shape = f"d {d_kind}, i {i_kind}"
-    if chars <= sent_chars:
-        held = [tuple(r) for r in i.collect()]
-        if not held:
-            return d.join(i.drop("t"), F.lit(False)).select(F.col("d").alias(doc), F.col("i").alias(item))
-        out = d.mapInArrow(_scan(held, gram, window), shape)
-        return out.select(F.col("d").alias(doc), F.col("i").alias(item))
-    left = d.mapInArrow(_prints(gram, window), f"k {d_kind}, h bigint").withColumnRenamed("k", "d")
-    right = i.mapInArrow(_prints(gram, window), f"k {i_kind}, h bigint").withColumnRenamed("k", "i")
-    pairs = left.join(right, "h").select("d", "i").distinct()
-    both = pairs.join(d.withColumnRenamed("t", "a"), "d").join(i.withColumnRenamed("t", "b"), "i").select("d", "i", "a", "b")
-    return both.mapInArrow(_verify(gram, window), shape).distinct().select(F.col("d").alias(doc), F.col("i").alias(item))
+    if chars > sent_chars:
+        return _joined(d, i, d_kind, i_kind, gram, window).select(F.col("d").alias(doc), F.col("i").alias(item))
+    held = [tuple(r) for r in i.collect()]
+    if not held:
+        return d.join(i.drop("t"), F.lit(False)).select(F.col("d").alias(doc), F.col("i").alias(item))
+    out = d.mapInArrow(_scan(held, gram, window), f"d {d_kind}, i {i_kind}")
+    return out.select(F.col("d").alias(doc), F.col("i").alias(item))

@@ -44,6 +44,23 @@ def test_against_brute_force(spark, corpus, sent):
     assert got == brute(docs, items, 12) and len(got) > 20
 
 
+def test_repeated_and_null_keys_either_way(spark, corpus):
+    docs, items = corpus
+    d = [(None if k % 7 == 0 else k // 3, t) for k, t in docs] + [(1, docs[3][1]), (1, docs[3][1]), (None, docs[3][1])]
+    i = [(None if k % 5 == 0 else k // 2, t) for k, t in items] + [(1, items[4][1]), (1, items[4][1]), (None, items[4][1])]
+
+    def grams(t):
+        w = leakage.words_of(t)
+        return {tuple(w[j : j + 12]) for j in range(len(w) - 11)}
+
+    sides = [(k, grams(t)) for k, t in d], [(k, grams(t)) for k, t in i]
+    want = sorted(((a, b) for a, x in sides[0] for b, y in sides[1] if x & y), key=str)
+    df, di = spark.createDataFrame(d, "doc_id long, text string"), spark.createDataFrame(i, "item_id long, text string")
+    for sent in (1 << 20, 0):
+        assert sorted((tuple(r) for r in leakage.leaked(df, di, "doc_id", "item_id", sent_chars=sent).collect()), key=str) == want
+    assert len(want) > len(set(want)) and any(a is None for a, _ in want) and any(b is None for _, b in want)
+
+
 def test_empty_sides(spark, corpus):
     docs, items = corpus
     d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
