@@ -1,6 +1,6 @@
 """Long exact spans that texts share.
 
-1. Exact copies become one class, known by a hash of the text.
+1. Exact copies become one class, known by the 128 bits of the text's MD5.
 2. Each class's text is winnowed by code points: of each ``WINDOW`` consecutive hashes of ``GRAM`` code points the
    smallest is kept.  A shared span of ``SPAN`` holds a hash that both texts kept; hashes kept by two or more classes
    nominate recurring phrases.
@@ -19,7 +19,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm.hashing import gram_hashes, window_minima
@@ -53,15 +53,15 @@ def _nominate(gram: int, span: int, compared: int):
             for c, t in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 h, times = np.unique(anchors(t, gram, span)[0], return_counts=True)
                 h = np.repeat(h, np.minimum(times, compared + 1))
-                ids.append(np.full(len(h), c, np.int64))
+                ids += [c] * len(h)
                 hashes.append(h)
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(ids))], names=["h", "cid"])
+            if hashes:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(ids, pa.binary())], names=["h", "cid"])
 
     return run
 
 
-_OCCURRENCE = "h bigint, cid bigint, at bigint, until bigint, lead string, rest string, many boolean"
+_OCCURRENCE = "h binary, cid binary, at bigint, until bigint, lead string, rest string, many boolean"
 
 
 def _locate(gram: int, span: int, shard: int):
@@ -71,17 +71,17 @@ def _locate(gram: int, span: int, shard: int):
     """
     reach = span - gram
     names = [x.split()[0] for x in _OCCURRENCE.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
+    types = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
 
-    def one(texts: list[tuple[int, str, list]]) -> pa.RecordBatch:
+    def one(texts: list[tuple[bytes, str, list]]) -> pa.RecordBatch:
         machine = ahocorasick.Automaton()
         for _, text, wanted in texts:
-            kept, at = anchors(text, gram, span)
-            first = dict(zip(kept.tolist(), at.tolist(), strict=True))
-            for w in wanted:
-                phrase = text[first[w["h"]] : first[w["h"]] + gram]
-                # The phrase's own hash replaces the one that nominated it: texts agree in both before they are compared.
-                machine.add_word(phrase, (xxhash.xxh64_intdigest(phrase.encode("utf-8", "surrogatepass")) - (1 << 63), w["many"]))
+            many = {w["h"]: w["many"] for w in wanted}
+            for h, at in zip(*(x.tolist() for x in anchors(text, gram, span)), strict=True):
+                if h in many:
+                    # The phrase's own 128 bits replace the hash that nominated it: only equal phrases are compared.
+                    phrase = text[at : at + gram]
+                    machine.add_word(phrase, (xxhash.xxh3_128_digest(phrase.encode("utf-8", "surrogatepass")), many[h]))
         machine.make_automaton()
         rows: list[list] = []
         for cid, text, _ in texts:
@@ -125,7 +125,7 @@ def _common(a: str, b: str) -> int:
     return lo
 
 
-_LINK = "a bigint, b bigint, a_first bigint, a_last bigint, b_first bigint, b_last bigint"
+_LINK = "a binary, b binary, a_first bigint, a_last bigint, b_first bigint, b_last bigint"
 
 
 def _compare(gram: int, span: int):
@@ -151,7 +151,7 @@ def _compare(gram: int, span: int):
         def batch() -> pa.RecordBatch:
             cols = list(zip(*out, strict=True)) if out else [[]] * 6
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[x.split()[0] for x in _LINK.split(", ")])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k < 2 else pa.int64()) for k, c in enumerate(cols)], names=[x.split()[0] for x in _LINK.split(", ")])
 
         for b in batches:
             for h, cid, at, until, lead, rest in zip(*(x.to_pylist() for x in b.columns), strict=True):
@@ -166,19 +166,23 @@ def _compare(gram: int, span: int):
     return run
 
 
+def _digest(text: str) -> Column:
+    return F.unhex(F.md5(F.col(text)))
+
+
 def classes(docs: DataFrame, doc: str, text: str, span: int = SPAN) -> DataFrame:
     """Columns doc, cid: the class of exact copies of each document that is long enough to share a span.
 
-    A class's id is a 64-bit hash of its text.
+    A class's id is the MD5 of its text, 16 bytes.
     """
-    return docs.filter(F.length(text) >= span).select(F.col(doc).alias("doc"), F.xxhash64(F.col(text)).alias("cid"))
+    return docs.filter(F.length(text) >= span).select(F.col(doc).alias("doc"), _digest(text).alias("cid"))
 
 
 def _occurrences(docs: DataFrame, text: str, span: int, gram: int, compared: int, shard: int) -> DataFrame:
     """Every place of every phrase that two or more classes hold; ``many`` where it has more than ``compared`` places."""
-    t = docs.filter(F.length(text) >= span).select(F.xxhash64(F.col(text)).alias("cid"), F.col(text).alias("t"))
+    t = docs.filter(F.length(text) >= span).select(_digest(text).alias("cid"), F.col(text).alias("t"))
     t = t.dropDuplicates(["cid"])
-    kept = store(t.mapInArrow(_nominate(gram, span, compared), "h bigint, cid bigint"))
+    kept = store(t.mapInArrow(_nominate(gram, span, compared), "h bigint, cid binary"))
     n = kept.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("lo"), F.max("cid").alias("hi")).filter("lo <> hi")
     two = n.filter("n = 2").select("h", F.explode(F.array("lo", "hi")).alias("cid"), F.lit(False).alias("many"))
     more = n.filter("n > 2").select(F.col("h").alias("k"), (F.col("n") > compared).alias("many"))
@@ -195,7 +199,9 @@ def _links(docs: DataFrame, text: str, span: int = SPAN, gram: int = GRAM, compa
     need = span - gram
     hot = found.filter("many").withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(need))))
     hot = hot.filter((F.length("lead") >= F.col("o")) & (F.length("rest") >= need - F.col("o")))
-    w = F.xxhash64("h", "o", F.expr("right(lead, o)"), F.expr(f"left(rest, {need} - o)"))
+    # Equal in both 64-bit hashes: 128 bits of the window's text, by its phrase's digest and what stands around it.
+    text = [F.col("h"), F.col("o"), F.expr("right(lead, o)"), F.expr(f"left(rest, {need} - o)")]
+    w = F.struct(F.xxhash64(*text).alias("x"), F.xxhash64(F.lit("again"), *text).alias("y"))
     hot = hot.select("h", "cid", w.alias("w"), (F.col("at") - F.col("o")).alias("first"), (F.col("until") - F.col("o") + span - 1).alias("last"))
     return few, hot
 
@@ -203,7 +209,7 @@ def _links(docs: DataFrame, text: str, span: int = SPAN, gram: int = GRAM, compa
 def _window_groups(hot: DataFrame) -> DataFrame:
     """Windows that two or more classes hold; sig is equal where the classes are the same."""
     once = hot.select("h", "w", "cid").distinct()
-    return once.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("sig")).filter("n > 1")
+    return once.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n"), F.struct(*[F.sum(F.xxhash64(F.lit(k), "cid").cast("decimal(38,0)")) for k in range(2)]).alias("sig")).filter("n > 1")
 
 
 def class_pairs(docs: DataFrame, text: str, span: int = SPAN, **how) -> DataFrame:
@@ -244,8 +250,8 @@ def shared_chars(docs: DataFrame, doc: str, text: str, span: int = SPAN, **how)
     hot = hot.join(_window_groups(hot).select("h", "w"), ["h", "w"], "left_semi").select("cid", "first", "last")
     parts = periods_and_gaps(few.unionByName(hot), ["cid"], "first", "last").filter("kind = 'period'")
     shared = parts.groupBy("cid").agg(F.sum(F.col("last") - F.col("first") + 1).alias("chars"))
-    per = docs.filter(F.length(text) >= span).select(F.col(doc).alias("doc"), F.xxhash64(F.col(text)).alias("cid"), F.length(text).cast("bigint").alias("n"))
+    per = docs.filter(F.length(text) >= span).select(F.col(doc).alias("doc"), _digest(text).alias("cid"), F.length(text).cast("bigint").alias("n"))
     sizes = per.groupBy("cid").agg(F.count(F.lit(1)).alias("copies"))
     out = per.join(sizes, "cid").join(shared, "cid", "left").filter((F.col("copies") > 1) | F.col("chars").isNotNull())
     chars = F.when(F.col("copies") > 1, F.col("n")).otherwise(F.col("chars"))
-    return out.select(F.col("doc").alias(doc), F.col("cid").alias("class_id"), "copies", chars.alias("shared_chars"))
+    return out.select(F.col("doc").alias(doc), F.lower(F.hex("cid")).alias("class_id"), "copies", chars.alias("shared_chars"))
