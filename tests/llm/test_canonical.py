@@ -9,14 +9,54 @@ from framewright.llm import canonical
 NAMES = [(1, "Stoñylim Software"), (2, "Roboudre"), (3, "Skymjaryr & Wyndraer"), (4, "Finish Gantry Carpet"), (5, "Warmup Backcloth"), (6, "Warmup Banner"), (7, "Køkken Tårn Væg"), (8, "Щит Северный"), (9, "Kaffeeßtern")]
 
 
-@pytest.mark.parametrize(
-    ("typed", "ref"),
-    [("STONYLIM SOFTWARE", 1), ("Software, Stoñylim", 1), ("Stoñylim Soft.", 1), ("Stoñylm Softwaer", 1), ("Roboudre Ltd", 2), ("Robuodre (TM)", 2), ("Roboudre - new", 2), ("Skymjaryr and Wyn.", 3), ("FinishGantryCarpet", 4), ("Carpet Gantry Finish", 4), ("Warmup Bac", 5), ("Warmup Ban.", 6), ("Køkken Trn Vg", 7), ("kokken tarn vaeg no. 3", 7), ("Щит Сев.", 8), ("KAFFEESSTERN", 9), ("Finish_Gantry_Carpet #1", 4), ("Roboudre S.A.", 2), ("ask annotator", None), ("xx", None), ("???", None), ("Mufilaek Software", None), ("Warmup", None), ("", None)],
-)
+MEANT = [("STONYLIM SOFTWARE", 1), ("Software, Stoñylim", 1), ("Stoñylim Soft.", 1), ("Stoñylm Softwaer", 1), ("Robuodre", 2), ("Skymjaryr and Wyn.", 3), ("FinishGantryCarpet", 4), ("Carpet Gantry Finish", 4), ("Warmup Bac", 5), ("Warmup Ban.", 6), ("Køkken Trn Vg", 7), ("kokken tarn vaeg", 7), ("Щит Сев.", 8), ("KAFFEESSTERN", 9), ("Roboudre Ltd", None), ("ask annotator", None), ("xx", None), ("???", None), ("Mufilaek Software", None), ("Warmup", None), ("", None)]
+#: With how many words at the end are put behind the name.
+BEHIND = [("Roboudre Ltd", 1, 2), ("Robuodre (TM)", 1, 2), ("Roboudre - new", 1, 2), ("kokken tarn vaeg no. 3", 2, 7), ("Finish_Gantry_Carpet #1", 1, 4), ("Roboudre S.A.", 1, 2), ("Mufilaek Software", 1, None), ("Ltd", 1, None)]
+
+
+@pytest.mark.parametrize(("typed", "ref"), MEANT)
 def test_meant(typed, ref):
     assert canonical.Entries(NAMES).meant(typed) == ref
 
 
+@pytest.mark.parametrize(("typed", "words", "ref"), BEHIND)
+def test_meant_without_what_stands_behind(typed, words, ref):
+    assert canonical.Entries(NAMES).meant(typed, [words]) == ref
+    assert canonical.Entries(NAMES).meant(typed, [words, 3, 9]) == ref
+
+
+def test_what_stands_behind_is_learned(spark):
+    ref = spark.createDataFrame([(i, "brand", f"Name{chr(97 + i)} Tools") for i in range(4)] + [(9, "brand", "Namea Tools Ltd")], "ref_id long, kind string, name string")
+    typed = [f"name{c} tools ltd" for c in "abc"] + [f"Name{c}-Tools No. {i}" for i, c in enumerate("abcd")] + ["Nameb Tools Club", "Namec Tools Club", "named tools ltd", "Other Ltd", "ltd", None]
+    values = spark.createDataFrame([("brand", v) for v in typed], "kind string, value string").filter("value is not null")
+    got = {r.value: sorted(r.left_out or []) for r in canonical.with_tails(values, ref, least=2).collect()}
+    assert got["nameb tools ltd"] == got["named tools ltd"] == got["Other Ltd"] == [1] and got["ltd"] == []
+    assert got["Named-Tools No. 3"] == [2] and got["Nameb Tools Club"] == [1]
+    got = {r.value: sorted(r.left_out or []) for r in canonical.with_tails(values, ref, least=3).collect()}
+    assert got["Nameb Tools Club"] == [] and got["Namea-Tools No. 0"] == [2]
+
+
+@pytest.mark.parametrize("size", [1_000, 100_000])
+def test_recall_on_typings(size):
+    random.seed(size)
+    part = lambda: "".join(random.choice("aeioubcdfghklmnprstvz") for _ in range(random.randrange(4, 9)))
+    names = [(i, f"{part()} {part()}") for i in range(size)]
+    e = canonical.Entries(names)
+    right = 0
+    asked = random.sample(names, 100)
+    for ref, name in asked:
+        t = list(name)
+        for _ in range(random.choice([1, 2])):
+            i = random.randrange(len(t))
+            t[i : i + 1] = random.choice([[], [random.choice("aeiou")], [t[i], "e"]])
+        typed = "".join(t).upper()
+        got = e.meant(typed)
+        # brute force: the fewest mistyped letters over the whole list
+        want = canonical.mistyped(canonical.plain(typed), canonical.plain(name), 9)
+        right += got == ref or (got is not None and canonical.mistyped(canonical.plain(typed), canonical.plain(names[got][1]), 9) <= want)
+    assert right >= 90
+
+
 def test_every_similar_name_is_a_candidate():
     random.seed(3)
     names = [(i, "".join(random.choice("abcdef") for _ in range(random.randrange(3, 14)))) for i in range(200)]
@@ -64,7 +104,7 @@ def test_joined_list_agrees(spark):
         t = list(random.choice(names)[2])
         for _ in range(random.choice([0, 1, 2, 3])):
             t[random.randrange(len(t))] = random.choice("abcdeo ")
-        typed.append(("brand", random.choice(["", " "]) + "".join(t) + random.choice(["", " Ltd", " 2"])))
+        typed.append(("brand", random.choice(["", " "]) + "".join(t) + random.choice(["", "", " Ltd", " 2"])))
     df = spark.createDataFrame(typed, "kind string, value string")
     sent = sorted(tuple(r) for r in canonical.map_values(df, ref).collect())
     assert sorted(tuple(r) for r in canonical.map_values(df, ref, sent_chars=0).collect()) == sent
