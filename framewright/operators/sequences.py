@@ -5,7 +5,7 @@ Where a ``stretch`` is given (see ``stretches``), a group is spread over tasks h
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.numbers import half_up
@@ -19,14 +19,37 @@ def run_index(df: DataFrame, by: list[str], order: list[str], values: list[str],
     A null value always opens a new run.
     """
     o = Ordering(by, order, stretch)
-    before = {c: f"_p{i}" for i, c in enumerate(values)}
-    out = o.neighbour(df, before)
-    same = F.lit(True)
-    for c, p in before.items():
-        same = same & F.coalesce(F.col(c) == F.col(p), F.lit(False))
-    out = o.hold(out.withColumn("_new", (~same).cast("int")).drop(*before.values()))
-    out = o.hold(o.running_sum(out, F.col("_new"), "run").drop("_new"))
-    return Ordering([*by, "run"], order, stretch).row_number(out, "pos").withColumn("pos", F.col("pos").cast("int"))
+    d = o.marked(df)
+    w = o.window()
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    row = F.struct(*[F.col(c).alias(c) for c in values])
+
+    def goes_on(value: Column, before: Column) -> Column:
+        out = before.isNotNull()
+        for c in values:
+            out = out & (value[c] == before[c])
+        return F.coalesce(out, F.lit(False))
+
+    d = d.withColumn("_new", (~goes_on(row, F.lag(row).over(w))).cast("bigint"))
+    d = d.withColumn("run", F.sum("_new").over(upto))
+    d = d.withColumn("_n", F.row_number().over(w)).withColumn("pos", F.col("_n") - F.max(F.when(F.col("_new") == 1, F.col("_n"))).over(upto) + 1)
+    if stretch is None:
+        return d.drop("_new", "_n").withColumn("pos", F.col("pos").cast("int"))
+    at = F.struct(*order)
+    edge = F.struct(F.min_by(row, at).alias("first"), F.max_by(row, at).alias("last"), F.max("run").alias("runs"), F.max_by("pos", at).cast("bigint").alias("open"))
+
+    # A stretch that is one run going on keeps open what was open before it.
+    per = d.groupBy("_by", "_st").agg(edge.alias("_sum"))
+    across = Window.partitionBy("_by").orderBy("_st")
+    upto = across.rowsBetween(Window.unboundedPreceding, 0)
+    past = across.rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("joins", goes_on(F.col("_sum.first"), F.lag("_sum.last").over(across)).cast("bigint"))
+    per = per.withColumn("chain", F.sum(F.when((F.col("joins") == 1) & (F.col("_sum.runs") == 1), 0).otherwise(1)).over(upto))
+    per = per.withColumn("held", F.sum("_sum.open").over(Window.partitionBy("_by", "chain").orderBy("_st").rowsBetween(Window.unboundedPreceding, 0)))
+    per = per.select("_by", "_st", "joins", (F.coalesce(F.sum(F.col("_sum.runs") - F.col("joins")).over(past), F.lit(0)) - F.col("joins")).alias("_runs"), (F.col("joins") * F.lag("held", 1, 0).over(across)).alias("_held"))
+    d = d.join(per, ["_by", "_st"])
+    d = d.withColumn("pos", (F.col("pos") + F.when(F.col("run") == 1, F.col("_held")).otherwise(0)).cast("int")).withColumn("run", F.col("run") + F.col("_runs"))
+    return o.unmarked(d.drop("_new", "_n", "joins", "_runs", "_held"))
 
 
 def half_innings(run: Column, base: int = 1) -> Column:
@@ -76,16 +99,28 @@ def merge_consecutive(
     Rows with a null key or offset are left out.
     """
     rest = list(dict.fromkeys([hits, *keep_first, *keep_last]))
-    rows = df.dropna(subset=[*keys, offset]).groupBy(*keys, offset).agg(F.max_by(F.struct(*rest), row).alias("_x")).select(*keys, offset, "_x.*")
-    o = Ordering(keys, [offset], stretch)
-    rows = o.hold(o.neighbour(o.hold(rows), {offset: "_before"}))
-    rows = o.running_sum(rows, F.when(F.col(offset) - F.col("_before") <= gap, 0).otherwise(1), "_island")
-    aggs = [F.min(offset).alias("first_offset"), F.count(F.lit(1)).alias("duration"), F.sum(hits).cast("bigint").alias("hits"), F.max_by(hits, offset).alias("_own")]
-    aggs += [F.min_by(c, offset).alias(c) for c in keep_first] + [F.max_by(c, offset).alias(c) for c in keep_last]
-    out = rows.groupBy(*keys, "_island").agg(*aggs)
+    d = df.dropna(subset=[*keys, offset]).withColumn("_st", F.lit(0) if stretch is None else stretch)
+    # One shuffle, by key and stretch: the rows of an offset, and those around it, meet there.
+    rows = d.repartition(*keys, "_st").groupBy(*keys, "_st", offset).agg(F.max_by(F.struct(*rest), row).alias("_x"))
+    w = Window.partitionBy(*keys, "_st").orderBy(offset)
+    begins = lambda first, before: F.when(first - before <= gap, 0).otherwise(1)
+    rows = rows.withColumn("_new", begins(F.col(offset), F.lag(offset).over(w)))
+    rows = rows.withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = [F.min_by("_x", offset).alias("_first"), F.max_by("_x", offset).alias("_last")]
+    parts = rows.groupBy(*keys, "_st", "_island").agg(F.min(offset).alias("_a"), F.max(offset).alias("_b"), F.count(F.lit(1)).alias("_n"), F.sum(f"_x.{hits}").alias("_hits"), *ends)
+    # Only a stretch's first and last island can go on in another stretch; the others are done.
+    of_stretch = Window.partitionBy(*keys, "_st")
+    inside = (F.col("_island") > 1) & (F.col("_island") < F.max("_island").over(of_stretch))
+    parts = parts.withColumn("_done", F.when(inside, F.struct("_st", "_island")))
+    side = Window.partitionBy(*keys, "_done").orderBy("_a")
+    parts = parts.withColumn("_new", begins(F.col("_a"), F.lag("_b").over(side)))
+    parts = parts.withColumn("_island", F.sum("_new").over(side.rowsBetween(Window.unboundedPreceding, 0)))
+    aggs = [F.min("_a").alias("first_offset"), F.sum("_n").alias("duration"), F.sum("_hits").cast("bigint").alias("hits"), F.min_by("_first", "_a").alias("_first"), F.max_by("_last", "_a").alias("_last")]
+    out = parts.groupBy(*keys, "_done", "_island").agg(*aggs)
+    out = out.select(*keys, "first_offset", "duration", "hits", F.col(f"_last.{hits}").alias("_own"), *[F.col(f"_first.{c}").alias(c) for c in keep_first], *[F.col(f"_last.{c}").alias(c) for c in keep_last])
     q = F.col("hits") / F.col("duration")
     avg = F.when(q == F.floor(q), F.col("_own").cast("double")).otherwise(F.round(q, 3)) if average == "odd" else half_up(q, 1)
-    return out.withColumn("average_hits", avg).drop("_island", "_own")
+    return out.withColumn("average_hits", avg).drop("_own")
 
 
 def similarity_runs(df: DataFrame, by: list[str], order: list[str], score: str, first: str, least: float, stretch: Column | None = None) -> DataFrame:
@@ -94,7 +129,7 @@ def similarity_runs(df: DataFrame, by: list[str], order: list[str], score: str,
     ``score`` stands at the earlier row of each pair.  Columns ``by``, first_image, n_images.
     """
     o = Ordering(by, order, stretch)
-    out = o.hold(o.neighbour(df, {score: "_before"}))
+    out = o.neighbour(df, {score: "_before"}, keep=True)
     out = o.running_sum(out, F.when(F.col("_before") >= least, 0).otherwise(1), "_run")
     runs = out.groupBy(*by, "_run").agg(F.min_by(first, F.struct(*order)).alias("first_image"), F.count(F.lit(1)).alias("n_images"))
     return runs.filter("n_images > 1").drop("_run")
@@ -112,7 +147,7 @@ def majority_vote(df: DataFrame, by: list[str], value: str, row: str) -> DataFra
     Groups with one distinct value, or none, stay as they are, their nulls included.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"), F.min(row).alias("r"))
-    best = counts.groupBy(*by).agg(F.max_by(value, F.struct("n", -F.col("r"))).alias("_best"), F.count(F.lit(1)).alias("_kinds"))
+    best = counts.groupBy(*by).agg(F.min_by(value, F.struct(-F.col("n"), "r")).alias("_best"), F.count(F.lit(1)).alias("_kinds"))
     out = df.join(best.withColumnsRenamed({b: f"_b_{b}" for b in by}), _null_safe(by), "left")
     return out.withColumn(value, F.when(F.col("_kinds") > 1, F.col("_best")).otherwise(F.col(value))).select(*df.columns)
 

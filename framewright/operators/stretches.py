@@ -4,20 +4,16 @@ An ``Ordering`` may name a stretch: an expression of the order's first column th
 stretch is then a window of its own, and what has to come from the stretches before it, or after it, is taken from one
 row per stretch.  A group of any size is so spread over as many tasks as it has stretches.
 
-With a stretch every step reads its rows twice, once for the summaries.  Steps that follow one another therefore go
-through ``hold``, which writes the rows down, so that the work before is done once however many steps there are.
+With a stretch the rows are shuffled once, by group and stretch; their summaries come off the same shuffle, and steps on
+one ordering that follow one another keep its partitions.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewright.session import store
-
 #: Frames in a stretch where queries cut by frame.
 WIDTH = 1 << 14
 
@@ -33,35 +29,40 @@ class Ordering:
     stretch: Column | None = None
 
     def window(self):
-        return Window.partitionBy(*self.by, *(["_st"] if self.stretch is not None else [])).orderBy(*self.order)
+        return Window.partitionBy(*(self.by if self.stretch is None else ["_by", "_st"])).orderBy(*self.order)
+
+    def marked(self, df: DataFrame) -> DataFrame:
+        """``df`` shuffled by group and stretch, which stay as ``_by`` and ``_st``; structs, as nulls are equal there."""
+        if self.stretch is None or "_st" in df.columns:
+            return df
+        return df.withColumns({"_by": F.struct(F.lit(0).alias("_"), *self.by), "_st": F.struct(self.stretch.alias("at"))}).repartition("_by", "_st")
 
-    def _marked(self, df: DataFrame) -> DataFrame:
-        return df if self.stretch is None else df.withColumn("_st", self.stretch)
+    @staticmethod
+    def unmarked(df: DataFrame) -> DataFrame:
+        return df.drop("_by", "_st")
 
-    def _carried(self, df: DataFrame, summary: Column, carry) -> DataFrame:
-        """``df`` with ``_carry``: what ``carry`` makes of the summaries of the other stretches of its group."""
-        across = Window.partitionBy(*self.by).orderBy("_st")
-        per = df.groupBy(*self.by, "_st").agg(summary.alias("_sum"))
-        per = per.select(*[F.col(c).alias(f"_r_{c}") for c in (*self.by, "_st")], carry(across).alias("_carry"))
-        cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in (*self.by, "_st")])
-        return df.join(per, cond, "left").drop(*[f"_r_{c}" for c in (*self.by, "_st")])
+    def carried(self, df: DataFrame, summary: Column, carry) -> DataFrame:
+        """Marked rows with ``_carry``: what ``carry`` makes of the summaries of the other stretches of their group."""
+        per = df.groupBy("_by", "_st").agg(summary.alias("_sum"))
+        per = per.select("_by", "_st", carry(Window.partitionBy("_by").orderBy("_st")).alias("_carry"))
+        return df.join(per, ["_by", "_st"], "left")
 
     def running_sum(self, df: DataFrame, flag: Column, name: str) -> DataFrame:
         """The sum of ``flag`` over all rows up to each row."""
-        d = self._marked(df.withColumn("_flag", flag))
+        d = self.marked(df).withColumn("_flag", flag)
         local = F.sum("_flag").over(self.window().rowsBetween(Window.unboundedPreceding, 0))
         if self.stretch is None:
             return d.withColumn(name, local).drop("_flag")
         before = lambda w: F.sum("_sum").over(w.rowsBetween(Window.unboundedPreceding, -1))
-        d = self._carried(d, F.sum("_flag"), before)
-        return d.withColumn(name, local + F.coalesce("_carry", F.lit(0))).drop("_flag", "_carry", "_st")
+        d = self.carried(d, F.sum("_flag"), before)
+        return self.unmarked(d.withColumn(name, local + F.coalesce("_carry", F.lit(0))).drop("_flag", "_carry"))
 
     def row_number(self, df: DataFrame, name: str) -> DataFrame:
         return self.running_sum(df, F.lit(1), name)
 
     def last_values(self, df: DataFrame, columns: dict[str, str]) -> DataFrame:
         """The last values up to each row that aren't null, under the given names."""
-        d = self._marked(df)
+        d = self.marked(df)
         upto = self.window().rowsBetween(Window.unboundedPreceding, 0)
         local = {c: F.last(c, ignorenulls=True).over(upto) for c in columns}
         if self.stretch is None:
@@ -73,16 +74,15 @@ class Ordering:
             past = w.rowsBetween(Window.unboundedPreceding, -1)
             return F.struct(*[F.last(f"_sum.{f}", ignorenulls=True).over(past).alias(f) for f in fields.values()])
 
-        d = self._carried(d, latest, before)
-        return d.withColumns({name: F.coalesce(local[c], F.col(f"_carry.{fields[c]}")) for c, name in columns.items()}).drop("_carry", "_st")
+        d = self.carried(d, latest, before)
+        return self.unmarked(d.withColumns({name: F.coalesce(local[c], F.col(f"_carry.{fields[c]}")) for c, name in columns.items()}).drop("_carry"))
 
-    def hold(self, df: DataFrame) -> DataFrame:
-        """``df`` written down where it is to be read for its rows and for its stretches' summaries."""
-        return df if self.stretch is None else store(df)
+    def neighbour(self, df: DataFrame, columns: dict[str, str], behind: bool = False, keep: bool = False) -> DataFrame:
+        """The columns of the row before (or behind) each row under the given names; null at the end of a group.
 
-    def neighbour(self, df: DataFrame, columns: dict[str, str], behind: bool = False) -> DataFrame:
-        """The columns of the row before (or behind) each row under the given names; null at the end of a group."""
-        d = self._marked(df)
+        ``keep`` leaves the marks for a step that follows.
+        """
+        d = self.marked(df)
         row = F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(columns)])
         move = F.lead if behind else F.lag
         local = move(row).over(self.window())
@@ -90,6 +90,6 @@ class Ordering:
             d = d.withColumn("_n", local)
         else:
             edge = (F.min_by if behind else F.max_by)(row, F.struct(*self.order))
-            d = self._carried(d, edge, lambda w: move("_sum").over(w)).withColumn("_n", F.coalesce(local, F.col("_carry")))
-        d = d.withColumns({name: F.col(f"_n.f{i}") for i, name in enumerate(columns.values())})
-        return d.drop("_n", "_carry", "_st")
+            d = self.carried(d, edge, lambda w: move("_sum").over(w)).withColumn("_n", F.coalesce(local, F.col("_carry"))).drop("_carry")
+        d = d.withColumns({name: F.col(f"_n.f{i}") for i, name in enumerate(columns.values())}).drop("_n")
+        return d if keep else self.unmarked(d)

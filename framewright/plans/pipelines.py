@@ -7,32 +7,73 @@ from pyspark.sql import functions as F
 
 from framewright.operators import aggregate, joins, reshape, sequences, setops
 from framewright.operators.ordered import global_rank
-from framewright.operators.stretches import frames
+from framewright.operators.stretches import Ordering, frames
 from framewright.session import store
 
 
+#: Frames of a bucket in which rows and the frames of batters meet.
+_MEET = 1 << 8
+
+
+def _last_and_gap(who: DataFrame, spans: DataFrame) -> DataFrame:
+    """Per file the stretches of frames in which the same batter is the last one: lo, hi, here, fill.
+
+    ``here`` are those at frame lo itself, null in the stretch before the first one, which the first one fills.
+    """
+    o = Ordering(["file"], ["frame_no"], frames("frame_no"))
+    per = who.groupBy("file", "frame_no").agg(F.array_sort(F.collect_list(F.struct("row_id", "player", "inning"))).alias("here"))
+    per = o.neighbour(o.neighbour(per, {"frame_no": "next"}, behind=True, keep=True), {"frame_no": "before"}).join(spans, "file")
+    lo, hi = F.col("frame_no"), F.coalesce(F.col("next") - 1, F.greatest("stop", "frame_no"))
+    own = F.struct(lo.alias("lo"), hi.alias("hi"), F.col("here"), F.element_at("here", -1).alias("fill"))
+    lead = F.struct(F.col("start").alias("lo"), (lo - 1).alias("hi"), F.lit(None).cast(per.schema["here"].dataType).alias("here"), F.get("here", F.lit(0)).alias("fill"))
+    return per.select("file", F.explode(F.array_compact(F.array(own, F.when(F.col("before").isNull() & (F.col("start") < lo), lead)))).alias("x")).select("file", "x.*")
+
+
+def with_batters(rows: DataFrame, who: DataFrame) -> DataFrame:
+    """What expanding the rows to frames and giving each frame its batters comes to, without expanding them.
+
+    ``rows`` have file, frame_no, duration (1 or more); ``who`` has file, frame_no, row_id, player, inning.  A frame that
+    has batters takes each of them; another one takes the last of those before it, or else the first of the file.  Out
+    comes a row for each part of a row with one batter: player, inning, part_first, part_frames behind its columns.  Files
+    without batters have none.
+    """
+    last = F.col("frame_no") + F.col("duration") - 1
+    spans = rows.groupBy("file").agg(F.min("frame_no").alias("start"), F.max(last).alias("stop"))
+    bucket = lambda a, b: F.explode(F.sequence(F.floor(a / _MEET), F.floor(b / _MEET))).alias("_bucket")
+    stretches = _last_and_gap(who, spans).select("*", bucket(F.col("lo"), F.col("hi")))
+    at_lo = F.col("_bucket") == F.floor(F.col("lo") / _MEET)
+    stretches = stretches.withColumn("here", F.when(at_lo, F.col("here")))
+    both = rows.select("*", bucket(F.col("frame_no"), last)).join(stretches, ["file", "_bucket"])
+    first = F.greatest(F.col("frame_no"), F.col("lo"), F.col("_bucket") * _MEET)
+    stop = F.least(last, F.col("hi"), F.col("_bucket") * _MEET + _MEET - 1)
+    both = both.withColumns({"_first": first, "_stop": stop}).filter("_first <= _stop")
+    part = lambda who, first, n: F.struct(who["player"].alias("player"), who["inning"].alias("inning"), first.alias("part_first"), n.cast("bigint").alias("part_frames"))
+    begins = F.col("here").isNotNull() & (F.col("_first") == F.col("lo"))
+    here = F.transform("here", lambda x: part(x, F.col("_first"), F.lit(1)))
+    rest = F.when(F.col("_stop") > F.col("_first"), part(F.col("fill"), F.col("_first") + 1, F.col("_stop") - F.col("_first")))
+    parts = F.when(begins, F.concat(here, F.array_compact(F.array(rest)))).otherwise(F.array(part(F.col("fill"), F.col("_first"), F.col("_stop") - F.col("_first") + 1)))
+    return both.select(*rows.columns, F.explode(parts).alias("_x")).select(*rows.columns, "_x.*")
+
+
 def player_sheet(homeplate: DataFrame, batters: DataFrame, base: int = 1) -> DataFrame:
     """Exposures per player and half inning.
 
     Both tables have file, frame_no, row_id, brand, location, duration, screen_time, screen_location, screen_size_pct,
-    average_hits.  Batters' runs of equal clubs number the half innings; homeplate rows are expanded to frames, each
-    takes the player of its frame, gaps are filled forward and at the start, rows are compacted again, labels of players
-    dropped, and players of one frame made one by majority.
+    average_hits.  Batters' runs of equal clubs number the half innings.  The rows of either table take the players of
+    their frames (see ``with_batters``), rows alike but for their frame become one, labels of players are dropped, and
+    players of one frame made one by majority (of equally frequent ones that of the least row).  A batter without a
+    player has the last one before, or else the first of the file.
     """
     by, order = ["file"], ["frame_no", "row_id"]
     runs = sequences.run_index(batters.filter("frame_no is not null"), by, order, ["brand"], frames("frame_no"))
-    who = runs.select("file", "frame_no", F.col("location").alias("player"), sequences.half_innings(F.col("run"), base).alias("inning"))
-    both = setops.union_by_name(homeplate.withColumn("src", F.lit(0)), batters.withColumn("src", F.lit(1))).filter("frame_no is not null")
-    rows = store(joins.enrich(reshape.expand_duration(both, hits=None), who, ["file", "frame_no"]))
-    order = ["frame_no", "src", "row_id"]
-    rows = store(sequences.forward_fill(rows, by, order, ["player", "inning"], frames("frame_no")))
-    rows = sequences.leading_fill(rows, by, order, ["player", "inning"])
+    who = runs.select(*by, *order, F.col("location").alias("player"), sequences.half_innings(F.col("run"), base).alias("inning"))
+    who = sequences.leading_fill(sequences.forward_fill(who, by, order, ["player"], frames("frame_no")), by, order, ["player"])
+    both = setops.union_by_name(homeplate, batters).filter("frame_no is not null and duration >= 1 and not location rlike '[0-9]\\\\s*-\\\\s*'")
     keys = ["file", "brand", "location", "screen_time", "screen_location", "screen_size_pct", "average_hits", "player", "inning"]
-    out = reshape.compact(rows.withColumn("total_hits", F.lit(1)), keys, ["duration", "total_hits"], "frame_no")
-    out = out.filter(~F.col("location").rlike("[0-9]\\s*-\\s*"))
-    out = store(out.withColumn("row_id", F.xxhash64(*keys)))
-    out = sequences.majority_vote(out, ["file", "frame_no"], "player", "row_id")
-    return sequences.majority_vote(out, ["file", "frame_no"], "inning", "row_id").drop("row_id")
+    parts = with_batters(both, who).withColumns({"frame_no": F.col("part_first"), "duration": F.col("part_frames"), "total_hits": F.col("part_frames")})
+    out = store(reshape.compact(parts, keys, ["duration", "total_hits"], "frame_no").withColumn("row", F.struct(*keys)))
+    out = sequences.majority_vote(out, ["file", "frame_no"], "player", "row")
+    return sequences.majority_vote(out, ["file", "frame_no"], "inning", "row").drop("row")
 
 
 def social_report(article: DataFrame, text: DataFrame, photo: DataFrame) -> DataFrame:

@@ -11,7 +11,6 @@ from framewright.functions.text import last_number, strip_all, word_count
 from framewright.operators import aggregate, columns, reshape, sequences
 from framewright.operators.stretches import Ordering, frames
 from framewright.queries.registry import Registry
-from framewright.session import store
 from framewright.tables import table
 
 query = Registry()
@@ -325,8 +324,8 @@ SELECT file_name, first_value AS first_image, n AS n_images FROM (SELECT file_na
 def q_similarity_runs(spark, folder):
     t = numbered(spark, folder, "exposures").filter("frame_no is not null").select("file_name", "frame_no", "row_id", "screen_size_pct")
     order = ["frame_no", "row_id"]
-    t = Ordering(["file_name"], order, frames("frame_no")).neighbour(t, {"screen_size_pct": "next_size"}, behind=True)
-    t = store(t.withColumn("score", 1 - F.least(F.abs(F.col("screen_size_pct") - F.col("next_size")) / 15, F.lit(1.0))))
+    t = Ordering(["file_name"], order, frames("frame_no")).neighbour(t, {"screen_size_pct": "next_size"}, behind=True, keep=True)
+    t = t.withColumn("score", 1 - F.least(F.abs(F.col("screen_size_pct") - F.col("next_size")) / 15, F.lit(1.0)))
     return sequences.similarity_runs(t, ["file_name"], order, "score", "row_id", 0.98, frames("frame_no"))
 
 

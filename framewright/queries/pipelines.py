@@ -16,7 +16,40 @@ from framewright.tables import table
 query = Registry()
 
 
-@query()
+_SHEET_COLS = "frame_no, row_id, brand, location, duration, screen_time, screen_location, screen_size_pct, average_hits"
+_SHEET_KEYS = "file, brand, location, screen_time, screen_location, screen_size_pct, average_hits, player, inning"
+
+
+def _vote(source: str, value: str) -> str:
+    """The most frequent value of each file and frame, of equally frequent ones that of the least row."""
+    return f"""
+SELECT * REPLACE (CASE WHEN kinds > 1 THEN best ELSE {value} END AS {value}) FROM {source} LEFT JOIN (
+  SELECT file, frame_no, arg_min({value}, struct_pack(n := -n, r := r)) AS best, count(*) AS kinds
+  FROM (SELECT file, frame_no, {value}, count(*) AS n, min(row) AS r FROM {source} GROUP BY file, frame_no, {value}) GROUP BY file, frame_no) USING (file, frame_no)"""
+
+
+@query(
+    f"""
+WITH e AS (SELECT file_name AS file, * EXCLUDE (file_name), {_NO} FROM exposures), b AS (SELECT regexp_replace(file_name, '^batters_', '') AS file, * EXCLUDE (file_name), {_NO} FROM batters),
+y AS (SELECT *, CASE WHEN brand = lag(brand) OVER (PARTITION BY file ORDER BY frame_no, row_id) THEN 0 ELSE 1 END AS new FROM b WHERE frame_no IS NOT NULL),
+z AS (SELECT *, CAST(sum(new) OVER (PARTITION BY file ORDER BY frame_no, row_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run FROM y),
+w AS (SELECT file, frame_no, row_id, CASE WHEN run % 2 = 1 THEN 'Top ' || (run + 1) // 2 ELSE 'Bottom ' || run // 2 END AS inning,
+  coalesce(last_value(location IGNORE NULLS) OVER (PARTITION BY file ORDER BY frame_no, row_id ROWS UNBOUNDED PRECEDING),
+           first_value(location IGNORE NULLS) OVER (PARTITION BY file ORDER BY frame_no, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS player FROM z),
+x AS (SELECT *, frame_no + unnest(range(duration)) AS f FROM (SELECT file, {_SHEET_COLS} FROM e UNION ALL SELECT file, {_SHEET_COLS} FROM b)
+  WHERE duration >= 1 AND frame_no IS NOT NULL AND NOT regexp_matches(location, '[0-9]\\s*-\\s*')),
+l AS (SELECT file, frame_no, arg_max(player, row_id) AS player, arg_max(inning, row_id) AS inning FROM w GROUP BY file, frame_no),
+s AS (SELECT file, arg_min(player, struct_pack(f := frame_no, r := row_id)) AS player, arg_min(inning, struct_pack(f := frame_no, r := row_id)) AS inning FROM w GROUP BY file),
+here AS (SELECT x.*, w.player, w.inning FROM x JOIN w ON x.file = w.file AND x.f = w.frame_no),
+other AS (SELECT * FROM x WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.file = x.file AND l.frame_no = x.f)),
+fill AS (SELECT o.*, coalesce(l.player, s.player) AS player, coalesce(l.inning, s.inning) AS inning FROM other o ASOF LEFT JOIN l ON o.file = l.file AND o.f >= l.frame_no JOIN s ON o.file = s.file),
+a AS (SELECT * FROM here UNION ALL SELECT * FROM fill),
+c AS (SELECT {_SHEET_KEYS}, count(*) AS duration, count(*) AS total_hits, min(f) AS frame_no,
+    struct_pack(a := file, b := brand, c := location, d := screen_time, e := screen_location, f := screen_size_pct, g := average_hits, h := player, i := inning) AS row
+  FROM a WHERE {" AND ".join(f"{k} IS NOT NULL" for k in _SHEET_KEYS.split(", "))} GROUP BY {_SHEET_KEYS}),
+p AS ({_vote("c", "player")}), q AS (SELECT * EXCLUDE (best, kinds) FROM p), i AS ({_vote("q", "inning")})
+SELECT {_SHEET_KEYS}, duration, total_hits, frame_no FROM i"""
+)
 def q_player_sheet(spark, folder):
     cols = ["frame_no", "row_id", "brand", "location", "duration", "screen_time", "screen_location", "screen_size_pct", "average_hits"]
     e = numbered(spark, folder, "exposures").select(F.col("file_name").alias("file"), *cols)

@@ -46,7 +46,9 @@ def test_operators_are_alike_with_and_without(df, rows, width):
     s = frames("f", width)
     d = df.drop("_sum")
     args = (["g"], ["f", "r"])
-    assert rows(sequences.run_index(d, *args, ["v"], s)) == rows(sequences.run_index(d, *args, ["v"]))
+    d = d.withColumn("same", F.lit(1)).withColumn("half", F.col("f") > 40)
+    for values in (["v"], ["n"], ["same"], ["half"], ["same", "half"]):
+        assert rows(sequences.run_index(d, *args, values, s)) == rows(sequences.run_index(d, *args, values))
     assert rows(sequences.forward_fill(d, *args, ["v", "n"], s)) == rows(sequences.forward_fill(d, *args, ["v", "n"]))
     assert rows(sequences.adjacent_conflicts(d, *args, "f", "v", s)) == rows(sequences.adjacent_conflicts(d, *args, "f", "v"))
     merge = lambda **k: rows(sequences.merge_consecutive(d, ["g", "v"], "f", "n", ["r"], [], "r", **k))
