@@ -1,6 +1,6 @@
 """Long exact spans that texts share.
 
-1. Exact copies become one class, known by the 128 bits of the text's MD5.
+1. Exact copies, told by the 128 bits of the text's MD5, become one class, known by the least of their keys.
 2. Each class's text is winnowed by code points: of each ``WINDOW`` consecutive hashes of ``GRAM`` code points the
    smallest is kept.  A shared span of ``SPAN`` holds a hash that both texts kept; hashes kept by two or more classes
    nominate recurring phrases.
@@ -19,7 +19,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm.hashing import gram_hashes, window_minima
@@ -49,19 +49,19 @@ def _nominate(gram: int, span: int, compared: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, hashes = [], []
-            for c, t in zip(*(x.to_pylist() for x in b.columns), strict=True):
+            at, hashes = [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
                 h, times = np.unique(anchors(t, gram, span)[0], return_counts=True)
                 h = np.repeat(h, np.minimum(times, compared + 1))
-                ids += [c] * len(h)
+                at.append(np.full(len(h), i))
                 hashes.append(h)
-            if hashes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(ids, pa.binary())], names=["h", "cid"])
+            if at:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), b.column(0).take(pa.array(np.concatenate(at)))], names=["h", "cid"])
 
     return run
 
 
-_OCCURRENCE = "h binary, cid binary, at bigint, until bigint, lead string, rest string, many boolean"
+_OCCURRENCE = "h binary, cid {}, at bigint, until bigint, lead string, rest string, many boolean"
 
 
 def _locate(gram: int, span: int, shard: int):
@@ -71,9 +71,9 @@ def _locate(gram: int, span: int, shard: int):
     """
     reach = span - gram
     names = [x.split()[0] for x in _OCCURRENCE.split(", ")]
-    types = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
 
-    def one(texts: list[tuple[bytes, str, list]]) -> pa.RecordBatch:
+    def one(texts: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        types = [pa.binary(), kind, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
         machine = ahocorasick.Automaton()
         for _, text, wanted in texts:
             many = {w["h"]: w["many"] for w in wanted}
@@ -99,16 +99,17 @@ def _locate(gram: int, span: int, shard: int):
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, chars = [], 0
+        held, chars, kind = [], 0, pa.null()
         for b in batches:
+            kind = b.column(0).type
             for row in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 held.append(row)
                 chars += len(row[1])
                 if chars >= shard:
-                    yield one(held)
+                    yield one(held, kind)
                     held, chars = [], 0
         if held:
-            yield one(held)
+            yield one(held, kind)
 
     return run
 
@@ -125,7 +126,7 @@ def _common(a: str, b: str) -> int:
     return lo
 
 
-_LINK = "a binary, b binary, a_first bigint, a_last bigint, b_first bigint, b_last bigint"
+_LINK = "a {0}, b {0}, a_first bigint, a_last bigint, b_first bigint, b_last bigint"
 
 
 def _compare(gram: int, span: int):
@@ -143,7 +144,7 @@ def _compare(gram: int, span: int):
                     yield x if ca < cb else (cb, ca, *x[4:], *x[2:4])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, group, out = None, [], []
+        now, group, out, kind = None, [], [], pa.null()
 
         def close() -> None:
             out.extend(links(group))
@@ -151,9 +152,10 @@ def _compare(gram: int, span: int):
         def batch() -> pa.RecordBatch:
             cols = list(zip(*out, strict=True)) if out else [[]] * 6
             out.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k < 2 else pa.int64()) for k, c in enumerate(cols)], names=[x.split()[0] for x in _LINK.split(", ")])
+            return pa.RecordBatch.from_arrays([pa.array(c, kind if k < 2 else pa.int64()) for k, c in enumerate(cols)], names=[x.split()[0] for x in _LINK.split(", ")])
 
         for b in batches:
+            kind = b.column(1).type
             for h, cid, at, until, lead, rest in zip(*(x.to_pylist() for x in b.columns), strict=True):
                 if h != now:
                     close()
@@ -166,75 +168,81 @@ def _compare(gram: int, span: int):
     return run
 
 
-def _digest(text: str) -> Column:
-    return F.unhex(F.md5(F.col(text)))
+def _long_enough(docs: DataFrame, doc: str, text: str, span: int) -> DataFrame:
+    t = docs.filter(F.col(doc).isNotNull() & (F.length(text) >= span))
+    return t.select(F.col(doc).alias("doc"), F.unhex(F.md5(F.col(text))).alias("digest"), F.col(text).alias("t"))
 
 
 def classes(docs: DataFrame, doc: str, text: str, span: int = SPAN) -> DataFrame:
-    """Columns doc, cid: the class of exact copies of each document that is long enough to share a span.
+    """Columns doc, cid, copies, chars: the class of exact copies of each document that is long enough to share a span.
 
-    A class's id is the MD5 of its text, 16 bytes.
+    A class's id is the least key of its documents: keys have to be unique.  A document without a key has no class.
     """
-    return docs.filter(F.length(text) >= span).select(F.col(doc).alias("doc"), _digest(text).alias("cid"))
+    t = _long_enough(docs, doc, text, span).select("doc", "digest", F.length("t").cast("bigint").alias("chars"))
+    per = t.groupBy("digest").agg(F.min("doc").alias("cid"), F.count(F.lit(1)).alias("copies"))
+    return t.join(per, "digest").select("doc", "cid", "copies", "chars")
 
 
-def _occurrences(docs: DataFrame, text: str, span: int, gram: int, compared: int, shard: int) -> DataFrame:
-    """Every place of every phrase that two or more classes hold; ``many`` where it has more than ``compared`` places."""
-    t = docs.filter(F.length(text) >= span).select(_digest(text).alias("cid"), F.col(text).alias("t"))
-    t = t.dropDuplicates(["cid"])
-    kept = store(t.mapInArrow(_nominate(gram, span, compared), "h bigint, cid binary"))
+def _occurrences(docs: DataFrame, c: DataFrame, doc: str, text: str, span: int, gram: int, compared: int, shard: int) -> DataFrame:
+    """Every place of every phrase that two or more classes hold; ``many`` where it has more than ``compared`` places.
+
+    Of each class of ``c`` the document that names it is read.
+    """
+    texts = _long_enough(docs, doc, text, span).select(F.col("doc").alias("cid"), "t")
+    t = texts.join(c.filter("doc = cid").select("cid"), "cid", "left_semi")
+    kind = t.schema["cid"].dataType.simpleString()
+    kept = store(t.mapInArrow(_nominate(gram, span, compared), f"h bigint, cid {kind}"))
     n = kept.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("lo"), F.max("cid").alias("hi")).filter("lo <> hi")
     two = n.filter("n = 2").select("h", F.explode(F.array("lo", "hi")).alias("cid"), F.lit(False).alias("many"))
     more = n.filter("n > 2").select(F.col("h").alias("k"), (F.col("n") > compared).alias("many"))
     more = kept.join(more, F.col("h") == F.col("k")).select("h", "cid", "many")
     wanted = two.unionByName(more).groupBy("cid").agg(F.collect_set(F.struct("h", "many")).alias("wanted"))
-    return t.join(wanted, "cid").select("cid", "t", "wanted").mapInArrow(_locate(gram, span, shard), _OCCURRENCE)
+    return texts.join(wanted, "cid").select("cid", "t", "wanted").mapInArrow(_locate(gram, span, shard), _OCCURRENCE.format(kind))
 
 
-def _links(docs: DataFrame, text: str, span: int = SPAN, gram: int = GRAM, compared: int = COMPARED, shard: int = SHARD_CHARS) -> tuple[DataFrame, DataFrame]:
+def _links(docs: DataFrame, c: DataFrame, doc: str, text: str, span: int = SPAN, gram: int = GRAM, compared: int = COMPARED, shard: int = SHARD_CHARS) -> tuple[DataFrame, DataFrame]:
     """Links of phrases compared pair by pair, and the windows of the others: w is equal where a window's text is."""
-    found = store(_occurrences(docs, text, span, gram, compared, shard))
+    found = store(_occurrences(docs, c, doc, text, span, gram, compared, shard))
     few = found.filter(~F.col("many")).select("h", "cid", "at", "until", "lead", "rest").repartition("h").sortWithinPartitions("h")
-    few = few.mapInArrow(_compare(gram, span), _LINK)
+    few = few.mapInArrow(_compare(gram, span), _LINK.format(found.schema["cid"].dataType.simpleString()))
     need = span - gram
     hot = found.filter("many").withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(need))))
     hot = hot.filter((F.length("lead") >= F.col("o")) & (F.length("rest") >= need - F.col("o")))
-    # Equal in both 64-bit hashes: 128 bits of the window's text, by its phrase's digest and what stands around it.
-    text = [F.col("h"), F.col("o"), F.expr("right(lead, o)"), F.expr(f"left(rest, {need} - o)")]
-    w = F.struct(F.xxhash64(*text).alias("x"), F.xxhash64(F.lit("again"), *text).alias("y"))
-    hot = hot.select("h", "cid", w.alias("w"), (F.col("at") - F.col("o")).alias("first"), (F.col("until") - F.col("o") + span - 1).alias("last"))
+    # Equal in both hashes: 128 bits of the window's text, by its phrase's digest and what stands around it.
+    window = [F.col("h"), F.col("o"), F.expr("right(lead, o)"), F.expr(f"left(rest, {need} - o)")]
+    w = [F.xxhash64(F.lit(k), *window).alias(f"w{k}") for k in range(2)]
+    hot = hot.select(*w, "cid", (F.col("at") - F.col("o")).alias("first"), (F.col("until") - F.col("o") + span - 1).alias("last"))
     return few, hot
 
 
 def _window_groups(hot: DataFrame) -> DataFrame:
-    """Windows that two or more classes hold; sig is equal where the classes are the same."""
-    once = hot.select("h", "w", "cid").distinct()
-    return once.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n"), F.struct(*[F.sum(F.xxhash64(F.lit(k), "cid").cast("decimal(38,0)")) for k in range(2)]).alias("sig")).filter("n > 1")
-
-
-def class_pairs(docs: DataFrame, text: str, span: int = SPAN, **how) -> DataFrame:
-    """Each two classes of different texts (a < b) that share ``span`` code points or more; no link is lost."""
-    few, hot = _links(docs, text, span, **how)
-    # Of the windows around one phrase that the same classes hold, one tells who is linked.
-    one = _window_groups(hot).groupBy("h", "sig", "n").agg(F.min("w").alias("w")).select("w")
-    members = hot.select("w", "cid").distinct().join(one, "w")
-    linked = members.withColumnRenamed("cid", "a").join(members.withColumnRenamed("cid", "b"), "w").filter("a < b")
+    """Windows that two or more classes hold; s0 and s1 are equal where the classes are the same."""
+    once = hot.select("w0", "w1", "cid").distinct()
+    return once.groupBy("w0", "w1").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.xxhash64(F.lit(k), "cid")).alias(f"s{k}") for k in range(2)]).filter("n > 1")
+
+
+def class_pairs(docs: DataFrame, c: DataFrame, doc: str, text: str, span: int = SPAN, **how) -> DataFrame:
+    """Each two classes (of ``classes``) of different texts (a < b) that share ``span`` code points or more; none is lost."""
+    few, hot = _links(docs, c, doc, text, span, **how)
+    # Of the windows that the same classes hold one tells who is linked.
+    one = _window_groups(hot).dropDuplicates(["s0", "s1", "n"]).select("w0", "w1")
+    members = hot.select("w0", "w1", "cid").distinct().join(one, ["w0", "w1"])
+    linked = members.withColumnRenamed("cid", "a").join(members.withColumnRenamed("cid", "b"), ["w0", "w1"]).filter("a < b")
     return few.select("a", "b").unionByName(linked.select("a", "b")).distinct()
 
 
 def shared_pairs(docs: DataFrame, doc: str, text: str, span: int = SPAN, **how) -> DataFrame:
     """Each two different documents with ``span`` consecutive code points in common, as doc_id_a < doc_id_b.
 
-    Null, empty and shorter texts have none.  Links are found between classes of copies; what is written out for the
-    documents of linked classes, and for the copies of one class, is the result itself.
+    Null, empty and shorter texts, and documents without a key, have none.  Links are found between classes of copies;
+    what is written out for the documents of linked classes, and for the copies of one class, is the result itself.
     """
-    c = classes(docs, doc, text, span)
-    pairs = class_pairs(docs, text, span, **how)
-    left, right = c.withColumnsRenamed({"doc": "x", "cid": "a"}), c.withColumnsRenamed({"doc": "y", "cid": "b"})
+    c = store(classes(docs, doc, text, span))
+    pairs = class_pairs(docs, c, doc, text, span, **how)
+    left, right = c.select(F.col("doc").alias("x"), F.col("cid").alias("a")), c.select(F.col("doc").alias("y"), F.col("cid").alias("b"))
     across = pairs.join(left, "a").join(right, "b").select("x", "y")
-    copied = c.groupBy("cid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("cid")
-    again = c.join(copied, "cid")
-    within = again.withColumnsRenamed({"doc": "x"}).join(again.withColumnsRenamed({"doc": "y"}), "cid").filter("x < y").select("x", "y")
+    again = c.filter("copies > 1")
+    within = again.select("cid", F.col("doc").alias("x")).join(again.select("cid", F.col("doc").alias("y")), "cid").filter("x < y").select("x", "y")
     both = across.unionByName(within)
     return both.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b"))
 
@@ -245,13 +253,12 @@ def shared_chars(docs: DataFrame, doc: str, text: str, span: int = SPAN, **how)
     shared_chars counts its code points that lie in any span of ``span`` or more that stands in another document too;
     for a document with exact copies that is the whole text.
     """
-    few, hot = _links(docs, text, span, **how)
+    c = store(classes(docs, doc, text, span))
+    few, hot = _links(docs, c, doc, text, span, **how)
     few = few.select(F.explode(F.array(F.struct(F.col("a").alias("cid"), F.col("a_first").alias("first"), F.col("a_last").alias("last")), F.struct(F.col("b").alias("cid"), F.col("b_first").alias("first"), F.col("b_last").alias("last")))).alias("x")).select("x.*")
-    hot = hot.join(_window_groups(hot).select("h", "w"), ["h", "w"], "left_semi").select("cid", "first", "last")
+    hot = hot.join(_window_groups(hot).select("w0", "w1"), ["w0", "w1"], "left_semi").select("cid", "first", "last")
     parts = periods_and_gaps(few.unionByName(hot), ["cid"], "first", "last").filter("kind = 'period'")
-    shared = parts.groupBy("cid").agg(F.sum(F.col("last") - F.col("first") + 1).alias("chars"))
-    per = docs.filter(F.length(text) >= span).select(F.col(doc).alias("doc"), _digest(text).alias("cid"), F.length(text).cast("bigint").alias("n"))
-    sizes = per.groupBy("cid").agg(F.count(F.lit(1)).alias("copies"))
-    out = per.join(sizes, "cid").join(shared, "cid", "left").filter((F.col("copies") > 1) | F.col("chars").isNotNull())
-    chars = F.when(F.col("copies") > 1, F.col("n")).otherwise(F.col("chars"))
-    return out.select(F.col("doc").alias(doc), F.lower(F.hex("cid")).alias("class_id"), "copies", chars.alias("shared_chars"))
+    shared = parts.groupBy("cid").agg(F.sum(F.col("last") - F.col("first") + 1).alias("shared"))
+    out = c.join(shared, "cid", "left").filter((F.col("copies") > 1) | F.col("shared").isNotNull())
+    shared_chars = F.when(F.col("copies") > 1, F.col("chars")).otherwise(F.col("shared"))
+    return out.select(F.col("doc").alias(doc), F.col("cid").alias("class_id"), "copies", shared_chars.alias("shared_chars"))
