@@ -17,6 +17,28 @@ def base_name(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.substring_index(c, "-", 1), "^reduced_", ""), "_?part ?[0-9]+$", "")
 
 
+def stem(c: Column) -> Column:
+    """The name without folder and suffix."""
+    return F.regexp_replace(F.substring_index(c, "/", -1), "\\.[^.]*$", "")
+
+
+def unnumbered(c: Column) -> Column:
+    """The stem without a number, or a number in brackets, at its end."""
+    return F.regexp_replace(stem(c), "[ _-]*(\\(?[0-9]+\\)?)$", "")
+
+
+def without_any(c: Column, pieces: list[str]) -> Column:
+    """Each piece taken out, one after the other."""
+    for p in pieces:
+        c = F.replace(c, F.lit(p), F.lit(""))
+    return c
+
+
+def names_country(c: Column, countries: list[str]) -> Column:
+    """Whether a name holds one of the countries, whatever its case; a null name holds none."""
+    return F.coalesce(F.upper(c).rlike("|".join(x.upper() for x in countries)), F.lit(False))
+
+
 def dashed_digits(c: Column) -> Column:
     """A dash between digits becomes an underscore; a dash and a word at the end are dropped."""
     return F.regexp_replace(F.regexp_replace(c, "([0-9])-([0-9])", "$1_$2"), "-[A-Za-z]+$", "")

@@ -56,6 +56,12 @@ def clamped(c: Column, top: Column) -> Column:
     return F.least(F.greatest(c, F.lit(0)), top)
 
 
+def kept_edge(a: Column, b: Column, top: Column, least: int = 10) -> Column:
+    """The clamped ends of a box's edge as an array; null where less than ``least`` is left of it."""
+    x, y = clamped(F.least(a, b), top), clamped(F.greatest(a, b), top)
+    return F.when(y - x >= least, F.array(x, y))
+
+
 def display_size(w: Column, h: Column, most: int = 730) -> list[Column]:
     shown = F.least(w, F.lit(most))
     return [shown.alias("shown_w"), (h * shown / w).alias("shown_h")]

@@ -31,3 +31,20 @@ def has_repeats(boxes: Column, fields: list[str]) -> Column:
     """Whether two elements of an array of structs agree in the fields."""
     keys = F.transform(boxes, lambda x: F.struct(*[x[f].alias(f) for f in fields]))
     return F.size(keys) > F.size(F.array_distinct(keys))
+
+
+def by_last_column(df: DataFrame) -> DataFrame:
+    """In the order of the last column, nulls last."""
+    return df.orderBy(F.col(df.columns[-1]).asc_nulls_last())
+
+
+def without_empty_rows(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
+    """Without rows that are null in all columns, or in all of the subset."""
+    return df.dropna(how="all", subset=subset)
+
+
+def exact_filters(df: DataFrame, wanted: dict[str, str]) -> DataFrame:
+    """Rows whose columns read exactly as wanted, as text; an empty wish lets everything pass."""
+    for c, v in wanted.items():
+        df = df.filter(F.col(c).cast("string") == v) if v != "" else df
+    return df

@@ -20,7 +20,9 @@ def correlation(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def histogram(part: np.ndarray, bins: int) -> np.ndarray:
-    return np.histogramdd(part.reshape(-1, part.shape[-1]), bins=bins, range=[(0, 256)] * part.shape[-1])[0]
+    """How many pixels fall into each combination of the channels' bins."""
+    at = part.reshape(-1, part.shape[-1]).astype(np.int64) * bins // 256
+    return np.bincount(at @ bins ** np.arange(part.shape[-1])[::-1], minlength=bins ** part.shape[-1])
 
 
 def region_similarity(a: np.ndarray, b: np.ndarray, grid: int = 3, bins: int = 8) -> float:
@@ -85,3 +87,43 @@ def measure_pairs(pairs: DataFrame, measure: Callable[[np.ndarray, np.ndarray],
             yield pa.RecordBatch.from_arrays([b.column(0).take(k), b.column(1).take(k), pa.array(out, pa.float64())], names=["target_image", "compared_image", "score"])
 
     return pairs.select("target", "compared", "a", "b").mapInArrow(run, "target_image string, compared_image string, score double")
+
+
+def match_templates(pictures: DataFrame, templates: list[np.ndarray], least: float) -> DataFrame:
+    """(name, image) to name, template, score: the first template that scores ``least`` or more, and its score.
+
+    Where none does, template is -1 and score the best of all.  Pictures are compared in grey (the mean of their
+    channels); unreadable ones, and those smaller than a template, are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, which, score = [], [], []
+            for i, x in enumerate(b.column(1).to_pylist()):
+                p = decode(x)
+                if p is None or any(p.shape[0] < t.shape[0] or p.shape[1] < t.shape[1] for t in templates):
+                    continue
+                grey, found, best = p.mean(axis=-1), -1, -1.0
+                for n, t in enumerate(templates):
+                    best = max(best, got := template_score(grey, t))
+                    if got >= least:
+                        found, best = n, got
+                        break
+                at.append(i)
+                which.append(found)
+                score.append(best)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(which, pa.int32()), pa.array(score, pa.float64())], names=["name", "template", "score"])
+
+    return pictures.select("name", "image").mapInArrow(run, "name string, template int, score double")
+
+
+def crop_pictures(pictures: DataFrame, x: int, y: int, w: int, h: int) -> DataFrame:
+    """(name, image) to name, width, height, data: the part of each picture that a box holds; unreadable ones are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parts = [(n, crop(p, x, y, w, h)) for n, i in zip(*(c.to_pylist() for c in b.columns), strict=True) if (p := decode(i)) is not None]
+            cols = [pa.array([n for n, _ in parts], pa.string()), pa.array([p.shape[1] for _, p in parts], pa.int32()), pa.array([p.shape[0] for _, p in parts], pa.int32()), pa.array([p.tobytes() for _, p in parts], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["name", "width", "height", "data"])
+
+    return pictures.select("name", "image").mapInArrow(run, "name string, width int, height int, data binary")

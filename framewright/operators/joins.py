@@ -57,14 +57,17 @@ def name_prefix(c: Column) -> Column:
 def add_runs(rows: DataFrame, runs: DataFrame, frame: str, name: str, amount: str, to: list[str]) -> DataFrame:
     """Run sizes added to the rows of their first picture.
 
-    Where the first run's picture is named by a number alone, names and frames meet on their number, else on the whole
-    prefix.
+    Each run decides for itself how it meets the rows: one whose picture is named by a number alone meets the frames of
+    that number, another one the frames that are its name's whole prefix.  What several runs add to a row is added up.
     """
-    first = runs.select(name).first()
-    numeric = bool(first and first[0] and first[0].rpartition(".")[0].isdigit())
-    key = stripped_number if numeric else name_prefix
-    a = rows.withColumn("_k", stripped_number(F.col(frame)) if numeric else F.col(frame))
-    return add_updates(a, runs.select(key(F.col(name)).alias("_k"), amount), "_k", amount, to).drop("_k")
+    number = F.regexp_like(F.col(name), F.lit("^[0-9]+\\.jpe?g$"))
+    keyed = runs.select(F.when(number, F.concat(F.lit("#"), stripped_number(F.col(name)).cast("string"))).otherwise(name_prefix(F.col(name))).alias("_k"), amount)
+    per = keyed.filter("_k is not null").groupBy("_k").agg(F.sum(amount).alias("_add"))
+    # Prefixes end in digits behind an underscore, so that a row's two keys are never the same.
+    out = rows.withColumns({"_n": F.concat(F.lit("#"), stripped_number(F.col(frame)).cast("string")), "_p": F.col(frame)})
+    out = out.join(per.withColumnsRenamed({"_k": "_n", "_add": "_a"}), "_n", "left").join(per.withColumnsRenamed({"_k": "_p", "_add": "_b"}), "_p", "left")
+    add = F.coalesce("_a", F.lit(0)) + F.coalesce("_b", F.lit(0))
+    return out.withColumns({c: (F.col(c) + add).cast("bigint") for c in to}).select(*rows.columns)
 
 
 def history_diff(new: DataFrame, old: DataFrame, keys: list[str], value: str, percent: float = 25.0) -> DataFrame:
@@ -104,25 +107,27 @@ def semi(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return rows.join(ids.select(key).distinct(), key, "left_semi")
 
 
-#: Names that a brand list may have to be sent along with every file.
-LISTED = 100_000
-
-
 def missing_per_file(listed: DataFrame, present: DataFrame, files: DataFrame, brand: str, file: str) -> DataFrame:
     """Each listed brand that a file lacks.
 
-    What is present is subtracted from the listed brands file by file: the list is gathered once, as one array that
-    goes along with every file, so no pair of file and brand is made that isn't part of the result.  Its size is
-    measured first: a list of more than ``LISTED`` names is refused.
+    The distinct names are kept in parts of ``NAMES_AT_ONCE``: a file's brands are subtracted from each part they fall
+    into, so that no pair of file and brand is made that isn't part of the result, and no task holds the whole list.
+    Null files and names are left out.
     """
-    n = listed.select(brand).distinct().count()
-    if n > LISTED:
-        raise ValueError(f"{n} listed names, more than {LISTED}")
-    wanted = listed.agg(F.array_sort(F.collect_set(brand)).alias("_wanted"))
-    have = present.groupBy(file).agg(F.collect_set(brand).alias("_have"))
-    rows = files.select(file).distinct().join(have, file, "left").join(F.broadcast(wanted))
+    part = lambda c: F.pmod(F.xxhash64(c), F.col("_parts"))
+    names = listed.select(F.col(brand).alias("_name")).dropna().distinct()
+    n = names.agg(F.greatest(F.ceil(F.count(F.lit(1)) / NAMES_AT_ONCE), F.lit(1)).cast("bigint").alias("_parts"))
+    wanted = names.join(F.broadcast(n)).groupBy(part(F.col("_name")).alias("_part")).agg(F.array_sort(F.collect_list("_name")).alias("_wanted"))
+    have = present.select(F.col(file).alias("_file"), F.col(brand).alias("_name")).dropna().distinct().join(F.broadcast(n))
+    have = have.groupBy("_file", part(F.col("_name")).alias("_part")).agg(F.collect_list("_name").alias("_have"))
+    every = files.select(F.col(file).alias("_file")).dropna().distinct().join(F.broadcast(n)).select("_file", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("_part"))
+    rows = every.join(have, ["_file", "_part"], "left").join(wanted, "_part")
     left = F.array_except("_wanted", F.coalesce("_have", F.array().cast("array<string>")))
-    return rows.select(file, F.explode(left).alias(brand))
+    return rows.select(F.col("_file").alias(file), F.explode(left).alias(brand))
+
+
+#: Names in one part of a list.
+NAMES_AT_ONCE = 10_000
 
 
 def group_semi(df: DataFrame, key: str, flag: Column) -> DataFrame:
@@ -157,3 +162,14 @@ def contained_in(bases: DataFrame, names: DataFrame, base: str, name: str) -> Da
     cut = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(name) - F.col("_n") + 1), lambda i: F.substring(F.col(name), i, F.col("_n"))))
     pieces = long.join(sizes, F.length(name) >= F.col("_n")).select(name, F.explode(cut).alias("_piece"))
     return short.join(pieces, F.col(base) == F.col("_piece")).select(base, name)
+
+
+def join_back(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows with the other columns of the table they came from, each once; a null key meets a null key."""
+    return null_safe(rows.select(*keys), table, keys).distinct()
+
+
+def reattach(rows: DataFrame, groups: DataFrame, key: str, group: str) -> DataFrame:
+    """Rows without a group take the one that ``groups`` has for their key; of several the least."""
+    once = groups.dropna(subset=[key, group]).groupBy(key).agg(F.min(group).alias("_group"))
+    return rows.join(once, key, "left").withColumn(group, F.coalesce(group, "_group")).select(*rows.columns)

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,12 @@ def parse_rules(text: str) -> list[Rule]:
     return out
 
 
+def read_rules(spark: SparkSession, path: str) -> list[Rule]:
+    """The rules of a text file, or of all files of a folder: a list that people write, held by the driver."""
+    texts = spark.read.text(path, wholetext=True).orderBy("_metadata.file_path").toLocalIterator()
+    return [r for t in texts for r in parse_rules(t.value or "")]
+
+
 def mentions(rules: list[Rule], text: str | None, user: str | None) -> list[tuple[str, str, str]]:
     """(team, official, alternative) of one post, each alternative at most once.
 

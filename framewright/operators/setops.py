@@ -37,3 +37,15 @@ def merged_map(local: Column, incoming: Column) -> Column:
     kept = F.map_filter(incoming, lambda _, v: v.isNotNull() & (F.size(v) > 0))
     mine = F.map_filter(local, lambda k, _: ~F.coalesce(F.map_contains_key(kept, k), F.lit(False)))
     return F.map_concat(mine, kept)
+
+
+def replaced_document(df: DataFrame, other: DataFrame, key: str, part: str) -> DataFrame:
+    """The documents with the part that ``other`` has for their key.  A document that has none there is an error."""
+    new = other.groupBy(key).agg(F.first(part, ignorenulls=True).alias("_new"))
+    out = df.join(new, key, "left")
+    return out.withColumn(part, F.coalesce("_new", F.raise_error(F.concat(F.lit("no part for "), F.col(key).cast("string"))).cast(df.schema[part].dataType))).select(*df.columns)
+
+
+def write_grouped(parts: list[DataFrame], key: Column, path: str) -> None:
+    """All rows of tables of one shape, under one folder per key: what belongs together in one output."""
+    union_by_name(*parts).withColumn("base", key).write.mode("overwrite").partitionBy("base").parquet(path)

@@ -357,7 +357,8 @@ def q_map_upsert(spark, folder):
     return both.select("file_name", F.explode(setops.merged_map(F.col("local"), F.col("incoming"))).alias("location", "b")).select("file_name", "location", F.array_join("b", "|").alias("brands"))
 
 
-_RULES = ontology.parse_rules("Spartans\n\tTunnel side <= tunnel headgear|tunnel backcloth\n\tGantry <= finish^gantry\n\tDugout <= dugout\n\t$$$ game <= segundos|seconds|frames|sekunden\n\t*** noise <= press^office\nHosts\n\tWarm up <= warmup hoarding|warmup backcloth|warmup\n\t$$$ game <= replay|camera|cámara")
+RULES_TEXT = "Spartans\n\tTunnel side <= tunnel headgear|tunnel backcloth\n\tGantry <= finish^gantry\n\tDugout <= dugout\n\t$$$ game <= segundos|seconds|frames|sekunden\n\t*** noise <= press^office\nHosts\n\tWarm up <= warmup hoarding|warmup backcloth|warmup\n\t$$$ game <= replay|camera|cámara"
+_RULES = ontology.parse_rules(RULES_TEXT)
 
 
 @query()

@@ -50,6 +50,33 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Output:
+    """A file to write bytes to, wherever the path's file system is: what ``zipfile`` and others take as a file."""
+
+    def __init__(self, spark: SparkSession, path: str, at_once: int = 1 << 20):
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        self.stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+        self.held, self.at_once = bytearray(), at_once
+
+    def write(self, data: bytes) -> int:
+        self.held += data
+        if len(self.held) >= self.at_once:
+            self.flush()
+        return len(data)
+
+    def flush(self) -> None:
+        if self.held:
+            self.stream.write(self.held)
+            self.held = bytearray()
+
+    def __enter__(self) -> Output:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.flush()
+        self.stream.close()
+
+
 _HELD: list[tuple[SparkSession, str]] = []
 
 

@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from framewright.session import Output
+
 
 class TableFolder:
     """A workbook's sheets as Parquet tables of one folder.
@@ -46,8 +48,15 @@ class TableFolder:
             fs.delete(at(f"{self.path}/{n}"), True)
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, sep="\t", header=True)
+def write_tsv(df: DataFrame, path: str, sep: str = "\t", encoding: str = "UTF-8") -> None:
+    """Delimited text with a header per file; blanks at the ends of a field stay."""
+    df.write.mode("overwrite").csv(path, sep=sep, header=True, encoding=encoding, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def write_file(spark: SparkSession, path: str, data: bytes) -> None:
+    """One file with these bytes."""
+    with Output(spark, path) as f:
+        f.write(data)
 
 
 def write_json_documents(df: DataFrame, path: str) -> None:
@@ -83,10 +92,13 @@ def insert_new(df: DataFrame, url: str, name: str, keys: list[str], properties:
     df.dropDuplicates(keys).join(held, keys, "left_anti").write.jdbc(url, name, mode="append", properties=properties or {})
 
 
-def move_manifest(files: DataFrame, name: str, folder: str) -> DataFrame:
-    """Columns src, dst, action: every file into one folder, a number behind names that come again."""
+def move_manifest(files: DataFrame, name: str, folder: str, order: list[str] | None = None) -> DataFrame:
+    """Columns src, dst, action: every file into one folder, a number behind names that come again.
+
+    Files of one name are numbered in the order of their paths (or of ``order``).
+    """
     from framewright.functions.names import collision_safe
 
-    w = Window.partitionBy(F.col(name)).orderBy("path")
+    w = Window.partitionBy(F.col(name)).orderBy(*(order or ["path"]))
     dst = F.concat(F.lit(f"{folder.rstrip('/')}/"), collision_safe(F.col(name), F.row_number().over(w)))
     return files.select(F.col("path").alias("src"), dst.alias("dst"), F.lit("copy").alias("action"))

@@ -107,9 +107,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return _explode(files, "path", "content", archive_entries, "entry string, folder string, n_bytes bigint, readable boolean", [pa.string(), pa.string(), pa.int64(), pa.bool_()])
 
 
-def read_annotations(spark: SparkSession, path: str) -> DataFrame:
-    """Annotation documents, one nested object a file."""
-    return spark.read.json(path, schema=schemas.ANNOTATIONS, multiLine=True)
+def read_annotations(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Annotation documents, one nested object a file, or a line."""
+    return spark.read.json(path, schema=schemas.ANNOTATIONS, multiLine=not lines)
 
 
 def read_hashes(spark: SparkSession, path: str) -> DataFrame:

@@ -1,20 +1,23 @@
-"""Workbooks (xlsx): a Python data source over the standard library, and a writer of plain sheets."""
+"""Workbooks (xlsx), read and written with the standard library on whatever file system the path names."""
 
 from __future__ import annotations
 
 import io
-import os
 import re
 import zipfile
 from collections.abc import Iterator
-from pathlib import Path
+from itertools import chain, islice
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StructType
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, IntegralType, StringType, StructType
 
+from framewright.session import Output
+
+_AT_ONCE = 5000
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 
@@ -66,78 +69,77 @@ def sheet_rows(data: bytes, sheet: str | int = 0) -> Iterator[list[str | None]]:
                 row.clear()
 
 
-class _File(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, schema: StructType, options: dict):
-        self.types = [f.dataType.simpleString() for f in schema.fields]
-        self.path, self.sheet = options["path"], options.get("sheet")
-        self.index = int(options.get("sheetIndex", 0))
+def _cells(sheet: str | int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                rows = enumerate(sheet_rows(data, sheet))
+                next(rows, None)
+                while some := list(islice(rows, _AT_ONCE)):
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(some)), pa.array([n for n, _ in some], pa.int64()), pa.array([c for _, c in some], pa.list_(pa.string()))], names=["source_file", "row_no", "cells"])
 
-    def partitions(self) -> list[InputPartition]:
-        p = Path(self.path.removeprefix("file://").removeprefix("file:"))
-        return [_File(str(x)) for x in (sorted(p.rglob("*.xlsx")) if p.is_dir() else [p])]
+    return run
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        cast = {"string": str, "bigint": lambda x: int(float(x)), "int": lambda x: int(float(x)), "double": float}
-        rows = sheet_rows(Path(partition.path).read_bytes(), self.sheet or self.index)
-        next(rows, None)
-        for cells in rows:
-            cells += [None] * (len(self.types) - len(cells))
-            yield tuple(None if x is None or (x == "" and t != "string") else cast.get(t, str)(x) for x, t in zip(cells, self.types, strict=False))
 
+def read_sheet(spark: SparkSession, path: str, schema: StructType, sheet: str | int = 0) -> DataFrame:
+    """One sheet (by name, or by place) of a workbook, or of each workbook of a folder, its header left out.
 
-class WorkbookSource(DataSource):
-    """``spark.read.format("workbook").schema(...).option("sheet", name).load(path)``: a file or a folder of them."""
+    Cells come by position; one that isn't of its column's type is null.  Behind the columns stand source_file and
+    row_no.  A workbook is read by one task.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", True).load(path)
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "content")
+    rows = files.mapInArrow(_cells(sheet), "source_file string, row_no bigint, cells array<string>")
 
-    @classmethod
-    def name(cls) -> str:
-        return "workbook"
+    def cell(i: int, kind: DataType) -> Column:
+        c = F.get("cells", F.lit(i))
+        return c if isinstance(kind, StringType) else (c.try_cast("double") if isinstance(kind, IntegralType) else c).try_cast(kind)
 
-    def schema(self) -> str:
-        return "value string"
+    return rows.select(*[cell(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)], "source_file", "row_no")
 
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(schema, self.options)
 
+#: Rows of a sheet, its header included, that spreadsheet programs open.
+SHEET_ROWS = 1 << 20
 
-def read_sheet(spark: SparkSession, path: str, schema: StructType, sheet: str | int = 0) -> DataFrame:
-    """One sheet of a workbook, or of each workbook of a folder, its header left out."""
-    spark.dataSource.register(WorkbookSource)
-    key, value = ("sheetIndex", sheet) if isinstance(sheet, int) else ("sheet", sheet)
-    return spark.read.format("workbook").schema(schema).option(key, value).load(path)
 
+def write_workbook(sheets: dict[str, DataFrame], path: str, most_rows: int = SHEET_ROWS) -> list[str]:
+    """A workbook for handing over: one sheet per table, each with its header; returns the sheets' names.
 
-def write_workbook(sheets: dict[str, DataFrame], path: str, most_rows: int = 1_000_000) -> None:
-    """A workbook for handing over: one sheet per table.  Tables beyond ``most_rows`` are refused: write Parquet then."""
+    A table of more rows than a sheet may have goes on in further sheets, ``name (2)`` and so on.  Rows come to the
+    driver one partition at a time and go straight to the file.
+    """
 
     def cell(v: object) -> str:
         if v is None:
             return "<c/>"
         if isinstance(v, (int, float)) and not isinstance(v, bool):
-            return f"<c><v>{v}</v></c>"
+            return f"<c><v>{v!r}</v></c>"
         return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>'
 
-    tmp = f"{path}.tmp"
     head = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
-    with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
-        parts = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(sheets) + 1))
+    names: list[str] = []
+    spark = next(iter(sheets.values())).sparkSession
+    with Output(spark, path) as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, df in sheets.items():
+            rows, more = df.toLocalIterator(), True
+            nth = 0
+            while more:
+                nth += 1
+                names.append(name if nth == 1 else f"{name} ({nth})")
+                with z.open(f"xl/worksheets/sheet{len(names)}.xml", "w") as f:
+                    f.write(f'{head}<worksheet xmlns="{_MAIN[1:-1]}"><sheetData><row>{"".join(map(cell, df.columns))}</row>'.encode())
+                    n = 1
+                    for row in islice(rows, most_rows - 1):
+                        f.write(f"<row>{''.join(map(cell, row))}</row>".encode())
+                        n += 1
+                    f.write(b"</sheetData></worksheet>")
+                ahead = list(islice(rows, 1)) if n == most_rows else []
+                rows, more = chain(ahead, rows), bool(ahead)
+        parts = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i in range(1, len(names) + 1))
         z.writestr("[Content_Types].xml", f'{head}<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>{parts}</Types>')
         z.writestr("_rels/.rels", f'{head}<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        names = "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(sheets, 1))
-        z.writestr("xl/workbook.xml", f'{head}<workbook xmlns="{_MAIN[1:-1]}" xmlns:r="{_REL[1:-1]}"><sheets>{names}</sheets></workbook>')
-        rels = "".join(f'<Relationship Id="r{i}" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1))
+        listed = "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(names, 1))
+        z.writestr("xl/workbook.xml", f'{head}<workbook xmlns="{_MAIN[1:-1]}" xmlns:r="{_REL[1:-1]}"><sheets>{listed}</sheets></workbook>')
+        rels = "".join(f'<Relationship Id="r{i}" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1))
         z.writestr("xl/_rels/workbook.xml.rels", f'{head}<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rels}</Relationships>')
-        for i, df in enumerate(sheets.values(), 1):
-            with z.open(f"xl/worksheets/sheet{i}.xml", "w") as f:
-                f.write(f'{head}<worksheet xmlns="{_MAIN[1:-1]}"><sheetData><row>{"".join(map(cell, df.columns))}</row>'.encode())
-                for n, row in enumerate(df.toLocalIterator(), 1):
-                    if n > most_rows:
-                        raise ValueError(f"more than {most_rows} rows for a sheet")
-                    f.write(f"<row>{''.join(map(cell, row))}</row>".encode())
-                f.write(b"</sheetData></worksheet>")
-    os.replace(tmp, path)
+    return names

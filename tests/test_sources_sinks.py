@@ -58,14 +58,19 @@ def test_lists(spark, tmp_path):
 def test_workbook_round_trip(spark, tmp_path, rows):
     df = spark.createDataFrame([("A & <b>", 1, 1.5), (None, 2, None)], "name string, n bigint, x double")
     path = str(tmp_path / "w.xlsx")
-    workbook.write_workbook({"Homeplate": df, "Batters": df.limit(0)}, path)
+    assert workbook.write_workbook({"Homeplate": df, "Batters": df.limit(0)}, path) == ["Homeplate", "Batters"]
     with open(path, "rb") as f:
         assert workbook.sheet_names(f.read()) == ["Homeplate", "Batters"]
-    assert rows(workbook.read_sheet(spark, path, df.schema, "HomePlate")) == rows(df)
+    assert rows(workbook.read_sheet(spark, path, df.schema, "HomePlate").select(*df.columns)) == rows(df)
     assert workbook.read_sheet(spark, path, df.schema, 1).collect() == []
     assert workbook.read_sheet(spark, str(tmp_path), df.schema, 0).count() == 2
-    with pytest.raises(ValueError, match="more than"):
-        workbook.write_workbook({"x": df}, path, most_rows=1)
+    many = spark.range(7).select("id")
+    assert workbook.write_workbook({"x": many, "y": df}, path, most_rows=4) == ["x", "x (2)", "x (3)", "y"]
+    got = [r.id for s in ("x", "x (2)", "x (3)") for r in workbook.read_sheet(spark, path, many.schema, s).orderBy("row_no").collect()]
+    assert got == list(range(7))
+    assert workbook.write_workbook({"x": many}, path, most_rows=8) == ["x"]
+    wrong = workbook.read_sheet(spark, str(tmp_path / "w.xlsx"), schemas.fields(("id", schemas._D), ("more", schemas._S)), "X").collect()
+    assert [(r.id, r.more) for r in sorted(wrong, key=lambda r: r.row_no)] == [(float(i), None) for i in range(7)]
 
 
 def test_documents(spark, tmp_path, rows):
