@@ -93,8 +93,11 @@ def fill_bins(df: DataFrame, by: list[str], order: list[str], size: str, quota:
 
 
 def take_exact(df: DataFrame, key: str, share: float, seed: int = 42) -> DataFrame:
-    """Column side, ``train`` for exactly floor(n * share) rows and ``val`` for the rest, in the order of a hash."""
-    rows = global_rank(df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed))), ["_h", key], "_r")
+    """Column side, ``train`` for exactly floor(n * share) rows and ``val`` for the rest, in the order of a hash.
+
+    The hash is MD5 of the key and the seed as text: the split is the same wherever it is made.
+    """
+    rows = global_rank(df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f"#{seed}")))), ["_h", key], "_r")
     side = F.when(F.col("_r") <= F.floor(F.lit(df.count()) * F.lit(share)), "train").otherwise("val")
     return rows.withColumn("side", side).select(*df.columns, "side")
 

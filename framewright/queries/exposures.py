@@ -407,13 +407,20 @@ def q_chunk_first(spark, folder):
     return reshape.chunks(table(spark, folder, "shard_files").select("shard_id", "video", "path"), ["video"], ["path", "shard_id"], 4, "first").select("shard_id", "part")
 
 
-@query()
+@query(
+    """
+WITH RECURSIVE n AS (SELECT shard_id, video, n_bytes, row_number() OVER (PARTITION BY video ORDER BY modified_at, shard_id) AS i FROM shard_files),
+r AS (SELECT shard_id, video, i, coalesce(n_bytes, 0) AS held, 0 AS part FROM n WHERE i = 1
+  UNION ALL SELECT n.shard_id, n.video, n.i, CASE WHEN r.held > 0 AND r.held + coalesce(n.n_bytes, 0) > 20000 THEN coalesce(n.n_bytes, 0) ELSE r.held + coalesce(n.n_bytes, 0) END,
+    CASE WHEN r.held > 0 AND r.held + coalesce(n.n_bytes, 0) > 20000 THEN r.part + 1 ELSE r.part END FROM r JOIN n ON n.video IS NOT DISTINCT FROM r.video AND n.i = r.i + 1)
+SELECT shard_id, CAST(part AS INTEGER) AS part FROM r"""
+)
 def q_fill_bins(spark, folder):
     t = table(spark, folder, "shard_files").select("shard_id", "video", "modified_at", "n_bytes")
     return reshape.fill_bins(t, ["video"], ["modified_at", "shard_id"], "n_bytes", 20_000).select("shard_id", "part")
 
 
-@query()
+@query("SELECT row_id, CASE WHEN row_number() OVER (ORDER BY md5(row_id || '#42'), row_id) <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'val' END AS side FROM bbl")
 def q_train_split(spark, folder):
     return reshape.take_exact(table(spark, folder, "bbl").select("row_id"), "row_id", 0.8)
 

@@ -126,12 +126,14 @@ def q_pair_pivot(spark, folder):
 
 @query(
     r"""
-WITH a AS (SELECT DISTINCT brand AS x FROM exposures WHERE brand IS NOT NULL),
-b AS (SELECT x, array_to_string(list_sort(string_split(trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')), ' ')), ' ') AS s FROM a)
-SELECT DISTINCT least(p.x, q.x) AS first_label, greatest(p.x, q.x) AS second_label FROM b p JOIN b q ON p.x <> q.x AND p.s <> '' AND q.s <> '' AND length(p.s) <= length(q.s) AND contains(q.s, p.s)"""
+WITH a AS (SELECT DISTINCT 'brand' AS field, brand AS x FROM exposures WHERE brand IS NOT NULL UNION ALL SELECT DISTINCT 'location', location FROM exposures WHERE location IS NOT NULL),
+b AS (SELECT field, x, array_to_string(list_sort(string_split(trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')), ' ')), ' ') AS s FROM a)
+SELECT DISTINCT p.field, least(p.x, q.x) AS first_label, greatest(p.x, q.x) AS second_label FROM b p JOIN b q ON p.field = q.field AND p.x <> q.x AND p.s <> '' AND q.s <> '' AND length(p.s) <= length(q.s) AND contains(q.s, p.s)"""
 )
 def q_misspellings(spark, folder):
-    return fuzzy.contained_pairs(table(spark, folder, "exposures"), "brand")
+    t = table(spark, folder, "exposures")
+    parts = [fuzzy.contained_pairs(t, c).select(F.lit(c).alias("field"), "first_label", "second_label") for c in ("brand", "location")]
+    return parts[0].unionByName(parts[1])
 
 
 @query()
@@ -185,10 +187,15 @@ def q_kmeans_rank(spark, folder):
     return out.withColumn("place", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("centrality"), "vec_id")))
 
 
-@query()
+@query(
+    """
+WITH v AS (SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE label IS NOT NULL),
+p AS (SELECT a.label, a.vec_id AS first_id, b.vec_id AS second_id, list_cosine_similarity(a.e, b.e) AS s FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id)
+SELECT label, first_id, second_id, round(s, 6) AS similarity FROM p WHERE s > 0.2"""
+)
 def q_cluster_pairs(spark, folder):
     # The vectors of the test tables are far apart: 0.2 is passed by some pairs in a hundred, and by no pair at 0.97.
-    return vectors.alike_in_clusters(table(spark, folder, "embeddings"), "label", "vec_id", 0.2)
+    return vectors.alike_in_clusters(table(spark, folder, "embeddings"), "label", "vec_id", 0.2).withColumn("similarity", F.round("similarity", 6))
 
 
 @query()

@@ -56,6 +56,25 @@ def frame_sessions(stream: DataFrame, keys: list[str], frame: str, delay: str =
     return s.select(*keys, F.unix_seconds("w.start").alias("first_frame"), (F.unix_seconds("w.end") - 1).alias("last_frame"), "n")
 
 
+#: How many frames late a frame may come where nothing else is said.
+LATE = 86_400
+
+
+def consecutive_frames(stream: DataFrame, keys: list[str], frame: str, out: str, checkpoint: str, late: int = LATE) -> DataFrame:
+    """Runs what is there and returns the closed runs so far: columns keys, first_frame, last_frame, n.
+
+    Frames that come again count once.  A run is closed, and written once, when a frame has come that is more than
+    ``late`` frames behind it; frames that come later than that are dropped.
+    """
+    delay = f"{late} seconds"
+    # A second a frame, and none at or before the time that a watermark begins with.
+    t = stream.withColumn("_ts", F.timestamp_seconds(F.col(frame) + late)).withWatermark("_ts", delay).dropDuplicates([*keys, "_ts"])
+    s = t.groupBy(*keys, F.session_window("_ts", "1 second").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    s = s.select(*keys, (F.unix_seconds("w.start") - late).alias("first_frame"), (F.unix_seconds("w.end") - 1 - late).alias("last_frame"), "n")
+    s.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return stream.sparkSession.read.schema(s.schema).parquet(out)
+
+
 _STATE = "starts array<bigint>, ends array<bigint>"
 
 
