@@ -18,9 +18,11 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.session import store
@@ -33,12 +35,8 @@ CLEAN, LOST = "clean", "lost"
 
 #: Counts of the character model.
 SLOTS = 1 << 20
-#: Rounds of expectation maximisation.
-ROUNDS = 3
-#: What a value's own occurrences can't prove of itself, in occurrences, against a candidate that stands more often.
-#: Against one that stands ``RARER`` times as often, and against one that well-formed UTF-8 of another reading gave, which
-#: clean text doesn't hold, none of them prove anything: whatever a slip's share is, it grows with the corpus.
-OWN, RARER = 8, 20
+#: Rounds of expectation maximisation at most, and the part of the damaged share that may still change when they end.
+ROUNDS, SETTLED = 10, 0.001
 #: Records of a source and field, or of the corpus, that weigh as much as what is expected of them.
 SHARE_RECORDS = 50
 _FIRST_CLEAN = 0.9
@@ -248,7 +246,7 @@ def _damaged_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         v = b.column(0).to_pylist()
-        yield _batch([(x, _key(x), level(x)) for x in v], ["value", "key", "level"], [pa.string()] * 3)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([_key(x) for x in v], pa.string()), pa.array([level(x) for x in v], pa.string())], names=["value", "total", "key", "level"])
 
 
 def expected(chain: str) -> float:
@@ -256,48 +254,114 @@ def expected(chain: str) -> float:
     return _FIRST_CLEAN if chain == CLEAN else (1 - _FIRST_CLEAN) / len(CHAINS)
 
 
-def _weigh(model: dict[int, float], whole: dict[str, float]):
-    """Posterior of each row's candidates: a list of (chain, text, p), the untouched value among them."""
-    memo: dict[tuple, float] = {}
+#: Chains by number, as the tables hold them.
+NAMES = (CLEAN, LOST, *CHAINS)
+_NUMBER = {c: i for i, c in enumerate(NAMES)}
+#: Values whose candidates are weighed in one step.
+_AT_ONCE = 500
 
-    def fit(text: str, value: str, own: float) -> float:
-        got = memo.get((text, value, own))
-        if got is None:
-            if len(memo) > 100_000:
-                memo.clear()
-            got = memo[text, value, own] = likelihood(text, model, value, own)
-        return got
+_LAID = "value string, lost boolean, chains array<int>, texts array<string>, own array<double>, lens array<int>, priors array<double>, slots array<int>, mine array<int>"
 
-    own_kind = pa.list_(pa.struct([("chain", pa.string()), ("text", pa.string()), ("p", pa.float64())]))
 
+def proves_nothing(chain: str, undone: bool, seen: float, total: float) -> bool:
+    """Whether a value's own occurrences prove nothing of it against a candidate that stands ``seen`` times.
+
+    They don't where the candidate stands more often, nor where well-formed UTF-8 of another reading gave it, which clean
+    text doesn't hold: whatever a slip's share is, it grows with the corpus, and so does this.
+    """
+    return seen > total or (undone and chain.startswith("utf_8"))
+
+
+def _lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(value, total, cands) to the candidates with the slots of all their characters, those of the value in front.
+
+    Of candidates that are equally likely the last one counts: what is undone of the value as it is typed.  ``mine`` tells by bits which of a character's four slots are the value's own too.
+    """
+    types = [pa.string(), pa.bool_(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    for b in batches:
+        rows = []
+        for value, total, cands in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            cands = sorted(cands or [], key=lambda c: (c["chain"], c["undone"], c["undone"] and c["text"] == undo(value, c["chain"]), c["text"]))
+            lens, priors, slots, mine = [], [], [], []
+            own = {x for _, *four in _slots(value) for x in four}
+            for text in (value, *(c["text"] for c in cands)):
+                of = _slots(text)
+                lens.append(len(of))
+                for prior, *four in of:
+                    priors.append(prior)
+                    slots += four
+                    mine.append(sum(1 << k for k, x in enumerate(four) if x in own))
+            lost = any(kind(c) == "control" for c in value)
+            rows.append((value, lost, [_NUMBER[c["chain"]] for c in cands], [c["text"] for c in cands], [float(total) if proves_nothing(c["chain"], c["undone"], c["seen"] or 0, total) else 0.0 for c in cands], lens, priors, slots, mine))
+        yield _batch(rows, [x.split()[0] for x in _LAID.split(", ")], types)
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, so many of each."""
+    behind = np.cumsum(n)
+    return np.arange(behind[-1] if len(n) else 0) + np.repeat(start - (behind - n), n)
+
+
+def _flat(b: pa.RecordBatch, column: str) -> np.ndarray:
+    return b.column(b.schema.get_field_index(column)).flatten().to_numpy(zero_copy_only=False)
+
+
+def _sizes(b: pa.RecordBatch, column: str) -> np.ndarray:
+    return pc.list_value_length(b.column(b.schema.get_field_index(column))).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _fitting(b: pa.RecordBatch, model: np.ndarray) -> np.ndarray:
+    """Of each candidate the log-likelihood, less that of the value as it stands, own occurrences left out of both."""
+    own, lens = _flat(b, "own"), _flat(b, "lens").astype(np.int64)
+    n_texts, n_cands = _sizes(b, "lens"), _sizes(b, "own")
+    if not len(own):
+        return own
+    value_at = np.repeat(np.cumsum(n_texts) - n_texts, n_cands)
+    cand_at = _ranges(np.cumsum(n_texts) - n_texts + 1, n_cands)
+    t = np.concatenate([cand_at, value_at])
+    starts = np.cumsum(lens) - lens
+    at = _ranges(starts[t], lens[t])
+    off = np.repeat(np.concatenate([own, own]), lens[t])
+    slots = _flat(b, "slots").reshape(-1, 4)[at]
+    mine = (_flat(b, "mine")[at][:, None] >> np.arange(4)) & 1
+    counts = model[slots]
+    counts = np.where(mine == 1, np.maximum(counts - off[:, None], 0), counts)
+    tri, bi, ctx, one = counts.T
+    bi = np.minimum(bi, one)
+    p = (bi + _flat(b, "priors")[at]) / (one + 1)
+    each = np.log((np.minimum(np.minimum(tri, bi), ctx) + p) / (ctx + 1))
+    total = np.add.reduceat(each, np.cumsum(lens[t]) - lens[t])
+    return total[: len(own)] - total[len(own) :]
+
+
+_FIT = "value string, lost boolean, chains array<int>, fits array<double>"
+
+
+def _fit(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for value, total, cands, shares in zip(*(b.column(i).to_pylist() for i in (2, 4, 5, 6)), strict=True):
-                own_share = {s["chain"]: s["w"] for s in shares or []}
-                records = sum(own_share.values()) + SHARE_RECORDS
-                scored = []
-                lost = any(kind(c) == "control" for c in value)
-                for c in [{"chain": CLEAN, "text": value}, *(cands or [])]:
-                    prior = (own_share.get(c["chain"], 0.0) + SHARE_RECORDS * whole[c["chain"]]) / records
-                    score = math.log(prior)
-                    if c["chain"] != CLEAN:  # against the value as it stands, as far as its own occurrences prove it
-                        nested = c["undone"] and c["chain"].startswith("utf_8")
-                        seen = c["seen"] or 0
-                        own = total if nested or seen >= RARER * total else min(total, OWN) if seen > total else 0
-                        score += fit(c["text"], value, own) - fit(value, value, own)
-                    scored.append((score, c))
-                if lost:  # a control or replacement character was never written: it isn't the text as it was
-                    scored = scored[1:] or [(0.0, {"chain": LOST, "text": None})]
-                top = max(s for s, _ in scored)
-                p = [math.exp(s - top) for s, _ in scored]
-                out.append([{"chain": c["chain"], "text": c["text"], "p": x / sum(p)} for x, (_, c) in zip(p, scored, strict=True)])
-            cols = [b.column(i) for i in range(4)]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(out, own_kind)], names=["source", "field", "value", "n", "post"])
+        for whole in batches:
+            for s in range(0, whole.num_rows, _AT_ONCE):
+                b = whole.slice(s, _AT_ONCE)
+                offsets = np.concatenate([[0], np.cumsum(_sizes(b, "own"))])
+                fits = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(_fitting(b, model.value)))
+                yield pa.RecordBatch.from_arrays([*b.select(["value", "lost", "chains"]).columns, fits], names=["value", "lost", "chains", "fits"])
 
     return run
 
 
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lens, slots, at, w), with the texts' places in ``lens`` and their weights, to the slots' counts of this task."""
+    into = np.zeros(SLOTS)
+    for b in batches:
+        lens, n = _flat(b, "lens").astype(np.int64), _sizes(b, "lens")
+        t = _flat(b, "at").astype(np.int64) + np.repeat(np.cumsum(n) - n, _sizes(b, "at"))
+        starts = np.cumsum(lens) - lens
+        slots = _flat(b, "slots").reshape(-1, 4)[_ranges(starts[t], lens[t])]
+        into += np.bincount(slots.ravel(), np.repeat(_flat(b, "w"), 4 * lens[t]), SLOTS)
+    held = np.flatnonzero(into)
+    yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array(into[held])], names=["slot", "w"])
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(text, weight) to the slots' counts of this task."""
     into: dict[int, float] = defaultdict(float)
@@ -307,65 +371,101 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _batch(list(into.items()), ["slot", "w"], [pa.int32(), pa.float64()])
 
 
-def _model(fixed: DataFrame, texts: DataFrame) -> dict[int, float]:
-    """Counts of (text, weight) rows added to the fixed ones: never more than SLOTS numbers come to the driver."""
-    both = fixed.unionByName(texts.mapInArrow(_counts, "slot int, w double"))
+def _model(fixed: DataFrame, laid: DataFrame, weights: DataFrame):
+    """Counts of the weighed texts (value, at, w) added to the fixed ones, sent to the tasks: SLOTS numbers."""
+    per = weights.filter("w > 0").groupBy("value").agg(F.collect_list(F.struct("at", "w")).alias("x"))
+    texts = laid.select("value", "lens", "slots").join(per, "value").select("lens", "slots", F.col("x.at").alias("at"), F.col("x.w").alias("w"))
+    both = fixed.unionByName(texts.mapInArrow(_tally, "slot int, w double"))
     got = both.groupBy("slot").agg(F.sum("w").alias("w")).toArrow()
-    return dict(zip(got["slot"].to_pylist(), got["w"].to_pylist(), strict=True))
-
-
-_POST = "source string, field string, value string, n bigint, post array<struct<chain:string,text:string,p:double>>"
+    model = np.zeros(SLOTS)
+    model[got["slot"].to_numpy()] = got["w"].to_numpy()
+    return fixed.sparkSession.sparkContext.broadcast(model)
 
 
-def posterior(values: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(source, field, value, n) to each value's chain, text and p of its best candidate, and p_clean.
+def _posterior(rows: DataFrame, priors: Column) -> DataFrame:
+    """Rows (source, field, value, n, lost, chains, fits) to (source, field, value, n, chains, at, p): who was it, how sure.
 
-    Only values with a character beyond ASCII can be damaged; others are evidence of how texts are written.
+    ``at`` is a candidate's place among the value's texts: 0 is the value as it stands, -1 a text that can't be told.  A
+    control or replacement character was never written: then the value isn't the text as it was.
+    """
+    k = F.size("chains")
+    clean, lost = F.lit(_NUMBER[CLEAN]), F.lit(_NUMBER[LOST])
+    nobody = F.col("lost") & (k == 0)
+    pick = lambda none, some, all_: F.when(nobody, none).when(F.col("lost"), some).otherwise(all_)
+    places = F.when(k > 0, F.sequence(F.lit(1), k)).otherwise(F.array().cast("array<int>"))
+    out = rows.select(
+        "source",
+        "field",
+        "value",
+        "n",
+        priors.alias("priors"),
+        pick(F.array(lost), F.col("chains"), F.concat(F.array(clean), "chains")).alias("chains"),
+        pick(F.array(F.lit(-1)), places, F.concat(F.array(F.lit(0)), places)).alias("at"),
+        pick(F.array(F.lit(0.0)), F.col("fits"), F.concat(F.array(F.lit(0.0)), "fits")).alias("fits"),
+    )
+    out = out.withColumn("score", F.zip_with("chains", "fits", lambda c, f: F.ln(F.get("priors", c)) + f))
+    out = out.withColumn("e", F.transform("score", lambda x: F.exp(x - F.array_max("score"))))
+    out = out.withColumn("z", F.aggregate("e", F.lit(0.0), lambda s, x: s + x))
+    return out.select("source", "field", "value", "n", "chains", "at", F.transform("e", lambda x: x / F.col("z")).alias("p"))
+
+
+def posterior(values: DataFrame, rounds: int = ROUNDS, settled: float = SETTLED) -> DataFrame:
+    """(source, field, value, n) to each value's p_clean and its best other candidate: chain, text and p.
+
+    Only values with a character beyond ASCII can be damaged; others are evidence of how texts are written.  Rounds end
+    when the share of damaged records changes by no more than ``settled`` of itself, after ``rounds`` at the latest.
     """
     values = store(values)
     # A value is little to read and much to weigh: few bytes must not end up in few tasks.
-    spread = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = lambda df: df.repartition(n, F.xxhash64("value"))
     plain = values.filter(~F.col("value").rlike("[^\\x00-\\x7f]"))
     odd = values.filter(F.col("value").rlike("[^\\x00-\\x7f]"))
     totals = odd.groupBy("value").agg(F.sum("n").alias("total"))
-    alone = totals.select("value")
-    keyed = store(alone.mapInArrow(_keys, "value string, key string, level string"))
+    keyed = store(spread(totals).mapInArrow(_keys, "value string, total bigint, key string, level string"))
     # What counts as a value's own are all its typings.
-    levels = store(totals.join(keyed.select("value", "level"), "value").groupBy("level").agg(F.sum("total").alias("seen")))
-    totals = keyed.select("value", "level").join(levels, "level").select("value", F.col("seen").alias("total"))
-    undone = alone.repartition(spread, "value").mapInArrow(_candidates, "value string, chain string, text string, level string").join(levels, "level", "left")
+    levels = keyed.groupBy("level").agg(F.sum("total").alias("seen"))
+    keyed = store(keyed.join(levels, "level").select("value", "key", "level", F.col("total").alias("n"), F.col("seen").alias("total")))
+    undone = spread(keyed.select("value")).mapInArrow(_candidates, "value string, chain string, text string, level string").join(levels, "level", "left")
     undone = undone.select("value", "chain", "text", F.lit(True).alias("undone"), "seen")
-    forms = totals.filter("total > 1").select("value").mapInArrow(_damaged_forms, "key string, chain string, text string")
-    forms = forms.join(totals.select(F.col("value").alias("text"), F.col("total").alias("seen")), "text")
-    redone = keyed.join(totals, "value").join(forms, "key").filter("seen > total")
+    forms = spread(keyed.filter("total > 1").select("value")).mapInArrow(_damaged_forms, "key string, chain string, text string")
+    forms = forms.join(keyed.select("key").distinct(), "key", "left_semi").join(keyed.select(F.col("value").alias("text"), F.col("total").alias("seen")), "text")
+    redone = keyed.join(forms, "key").filter("seen > total")
     redone = redone.select("value", "chain", "text", F.lit(False).alias("undone"), "seen")
     # One candidate a chain and text: what was undone tells more than what was redone.
     cands = undone.unionByName(redone).groupBy("value", "chain", "text").agg(F.max("undone").alias("undone"), F.max("seen").alias("seen"))
     cands = cands.groupBy("value").agg(F.collect_list(F.struct("chain", "text", "undone", "seen")).alias("cands"))
-    odd = store(odd.join(totals, "value").join(cands, "value", "left").select("source", "field", "value", "n", "total", "cands"))
+    laid = store(spread(keyed.join(cands, "value", "left").select("value", "total", "cands")).mapInArrow(_lay, _LAID))
 
     base = plain.groupBy("value").agg(F.sum("n").cast("double").alias("w")).select("value", "w")
     fixed = store(base.mapInArrow(_counts, "slot int, w double").groupBy("slot").agg(F.sum("w").alias("w")))
-    model = _model(fixed, odd.select("value", F.col("n").cast("double").alias("w")))
-    shares, whole = None, {c: expected(c) for c in (CLEAN, LOST, *CHAINS)}
+    clean = plain.groupBy("source", "field").agg(F.sum("n").cast("double").alias("w")).select("source", "field", F.lit(_NUMBER[CLEAN]).alias("chain"), "w")
+    model = _model(fixed, laid, keyed.select("value", F.lit(0).alias("at"), F.col("n").cast("double").alias("w")))
+    shares, whole = None, [expected(c) for c in NAMES]
     for i in range(rounds):
-        rows = odd.withColumn("shares", F.lit(None).cast("array<struct<chain:string,w:double>>")) if shares is None else odd.join(shares, ["source", "field"], "left")
-        post = store(rows.select("source", "field", "value", "n", "total", "cands", "shares").repartition(spread, "value").mapInArrow(_weigh(model, whole), _POST))
-        if i == rounds - 1:
-            break
-        each = post.select("source", "field", "n", F.explode("post").alias("x"))
-        model = _model(fixed, each.filter("x.text is not null").select("x.text", (F.col("n") * F.col("x.p")).alias("w")))
-        clean = plain.groupBy("source", "field").agg(F.sum("n").cast("double").alias("w")).withColumn("chain", F.lit(CLEAN))
-        got = each.groupBy("source", "field", F.col("x.chain").alias("chain")).agg(F.sum(F.col("n") * F.col("x.p")).alias("w")).unionByName(clean.select("source", "field", "chain", "w"))
-        got = store(got.groupBy("source", "field", "chain").agg(F.sum("w").alias("w")))
+        fits = laid.select("value", "lost", "chains", "own", "lens", "priors", "slots", "mine").mapInArrow(_fit(model), _FIT)
+        rows = spread(odd.join(fits, "value"))
+        if shares is None:
+            post = store(_posterior(rows, F.array(*map(F.lit, whole))))
+        else:
+            post = store(_posterior(rows.join(shares, ["source", "field"], "left"), F.coalesce("priors", F.array(*map(F.lit, whole)))))
+        each = post.select("source", "field", "value", "n", F.explode(F.arrays_zip("chains", "at", "p")).alias("x")).select("source", "field", "value", F.col("x.chains").alias("chain"), F.col("x.at").alias("at"), (F.col("n") * F.col("x.p")).alias("w"))
+        got = store(each.unionByName(clean.withColumns({"value": F.lit(None).cast("string"), "at": F.lit(0)})).groupBy("source", "field", "chain").agg(F.sum("w").alias("w")))
         every = {r.chain: r.w for r in got.groupBy("chain").agg(F.sum("w").alias("w")).collect()}
-        n = sum(every.values())
-        whole = {c: (every.get(c, 0.0) + SHARE_RECORDS * expected(c)) / (n + SHARE_RECORDS) for c in (CLEAN, LOST, *CHAINS)}
-        shares = store(got.groupBy("source", "field").agg(F.collect_list(F.struct("chain", "w")).alias("shares")))
-    best = F.array_max(F.transform("post", lambda x: F.struct(x["p"].alias("p"), x["chain"].alias("chain"), x["text"].alias("text"))))
-    p_clean = F.aggregate("post", F.lit(0.0), lambda s, x: s + F.when(x["chain"] == CLEAN, x["p"]).otherwise(0.0))
-    worst = F.array_max(F.transform(F.filter("post", lambda x: x["chain"] != CLEAN), lambda x: F.struct(x["p"].alias("p"), x["chain"].alias("chain"), x["text"].alias("text"))))
-    return post.select("source", "field", "value", "n", p_clean.alias("p_clean"), F.coalesce(worst, best).alias("best"))
+        records, before = sum(every.values()), whole
+        whole = [(every.get(k, 0.0) + SHARE_RECORDS * expected(c)) / (records + SHARE_RECORDS) for k, c in enumerate(NAMES)]
+        damaged, was = 1 - whole[_NUMBER[CLEAN]], 1 - before[_NUMBER[CLEAN]]
+        if i == rounds - 1 or abs(damaged - was) <= settled * damaged:
+            break
+        model = _model(fixed, laid, each.filter("at >= 0").groupBy("value", "at").agg(F.sum("w").alias("w")))
+        held = got.groupBy("source", "field").agg(F.map_from_entries(F.collect_list(F.struct("chain", "w"))).alias("m"), F.sum("w").alias("records"))
+        share = F.transform(F.array(*map(F.lit, whole)), lambda x, k: (F.coalesce(F.try_element_at("m", k), F.lit(0.0)) + SHARE_RECORDS * x) / (F.col("records") + SHARE_RECORDS))
+        shares = held.select("source", "field", share.alias("priors"))
+    p_clean = F.aggregate(F.zip_with("chains", "p", lambda c, p: F.when(c == _NUMBER[CLEAN], p).otherwise(0.0)), F.lit(0.0), lambda s, x: s + x)
+    others = F.filter(F.arrays_zip("p", "chains", "at"), lambda x: x["at"] != 0)
+    best = post.join(laid.select("value", "texts"), "value").select("source", "field", "value", "n", p_clean.alias("p_clean"), F.array_max(others).alias("b"), "texts")
+    name = F.get(F.array(*map(F.lit, NAMES)), F.col("b.chains"))
+    return best.select("source", "field", "value", "n", "p_clean", name.alias("chain"), F.when(F.col("b.at") > 0, F.get("texts", F.col("b.at") - 1)).alias("text"))
 
 
 def damaged_fields(df: DataFrame, row: str, source: str, fields: list[str], rounds: int = ROUNDS) -> DataFrame:
@@ -380,4 +480,4 @@ def damaged_fields(df: DataFrame, row: str, source: str, fields: list[str], roun
     bad = posterior(values, rounds).filter("p_clean < 0.5")
     odd = cells.filter(F.col("value").rlike("[^\\x00-\\x7f]"))
     out = odd.join(bad.drop("n"), ["source", "field", "value"])
-    return out.select(F.col("row").alias(row), "field", "value", F.col("best.text").alias("restored"), F.col("best.chain").alias("chain"), (1 - F.col("p_clean")).alias("p"))
+    return out.select(F.col("row").alias(row), "field", "value", F.col("text").alias("restored"), "chain", (1 - F.col("p_clean")).alias("p"))
