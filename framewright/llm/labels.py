@@ -20,7 +20,8 @@ def plain(text: str) -> str:
 
 
 def digits(form: str) -> str:
-    return "".join(c if c.isdigit() else " " for c in form).strip()
+    """The digits alone: a letter mistyped between them doesn't change them."""
+    return "".join(c for c in form if c.isdigit())
 
 
 def within_one(a: str, b: str) -> bool:

@@ -20,9 +20,10 @@ def test_ambiguous_event_joins_its_neighbours():
 
 
 def test_meanings():
-    typed = [("6 - Grykleilm Vonsirt", 20), ("6 - Grokleilm Vonsirt", 1), ("6-GRYKLEILM VONSIRT", 2), ("16 - Grykleilm Vonsirt", 9), ("6 - Gríkleilm Vonsirt", 1), ("6 - Grxxleilm Vonsirt", 1), ("Ab Cde", 1), ("Ab Cdx", 1)]
+    typed = [("6 - Grykleilm Vonsirt", 20), ("6 - Grokleilm Vonsirt", 1), ("6-GRYKLEILM VONSIRT", 2), ("16 - Grykleilm Vonsirt", 9), ("6 - Gríkleilm Vonsirt", 1), ("6 - Grxxleilm Vonsirt", 1), ("Ab Cde", 1), ("Ab Cdx", 1), ("1x6 - Grykleilm Vonsirt", 1)]
     got = {k: v[0][0] for k, v in labels.meanings(typed).items()}
     assert {k for k, v in got.items() if v == "6 - Grykleilm Vonsirt"} == {t for t, _ in typed[:3]} | {"6 - Gríkleilm Vonsirt"}
+    assert got["1x6 - Grykleilm Vonsirt"] == "16 - Grykleilm Vonsirt"
     assert got["16 - Grykleilm Vonsirt"] == "16 - Grykleilm Vonsirt" and got["6 - Grxxleilm Vonsirt"] == "6 - Grxxleilm Vonsirt"
     assert got["Ab Cde"] == got["Ab Cdx"]
 
