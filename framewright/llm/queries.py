@@ -59,4 +59,31 @@ WITH d AS (SELECT doc_id, text, unnest(range(1, length(text) - 298)) AS i FROM d
 w AS (SELECT DISTINCT doc_id, md5(substring(text, i, 300)) AS h FROM d)
 SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM w a JOIN w b ON a.h = b.h AND a.doc_id < b.doc_id"""
 
-SQL = {"p10_found": _P10}
+_P10_SHARED = """
+WITH t AS (SELECT doc_id, text, CAST(length(text) AS BIGINT) AS n FROM documents WHERE length(text) >= 300),
+c AS (SELECT md5(text) AS m, min(doc_id) AS class_id, count(*) AS copies FROM t GROUP BY 1),
+d AS (SELECT doc_id, text, unnest(range(1, length(text) - 298)) AS i FROM t), w AS (SELECT doc_id, i, md5(substring(text, i, 300)) AS h FROM d),
+s AS (SELECT h FROM w GROUP BY h HAVING count(DISTINCT doc_id) > 1),
+p AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j FROM w WHERE h IN (SELECT h FROM s)),
+k AS (SELECT doc_id, CAST(sum(least(300, coalesce(j - i, 300))) AS BIGINT) AS shared FROM p GROUP BY doc_id)
+SELECT t.doc_id, class_id, copies, CASE WHEN copies > 1 THEN n ELSE shared END AS shared_chars FROM t JOIN c ON md5(t.text) = c.m LEFT JOIN k ON k.doc_id = t.doc_id WHERE copies > 1 OR shared IS NOT NULL"""
+
+#: NFKC isn't in SQL: what the texts hold of ligatures, wide and raised characters is spelt out.  Fixed values.
+_FOLDED = {"ﬁ": "fi", "ﬂ": "fl", "ﬀ": "ff", "ﬃ": "ffi", "ﬄ": "ffl", "ß": "ss", "²": "2", "³": "3", "¹": "1", "½": "1/2", "™": "tm", "№": "no", "…": "...", "ª": "a", "º": "o", "\u00ad": "\u00ad"}
+_WIDE = "translate(lower(nfc_normalize(text)), '" + "".join(chr(0xFEE0 + i) for i in range(0x30, 0x7B) if chr(i).isalnum()) + "', '" + "".join(chr(i) for i in range(0x30, 0x7B) if chr(i).isalnum()) + "')"
+
+
+def _words(source: str) -> str:
+    text = _WIDE
+    for a, b in _FOLDED.items():
+        text = f"replace({text}, '{a}', '{b}')"
+    return f"regexp_extract_all({text}, '[\\p{{L}}\\p{{M}}\\p{{N}}]+') AS w FROM {source} WHERE text IS NOT NULL"
+
+
+_P9 = f"""
+WITH d AS (SELECT doc_id, {_words("documents")}), i AS (SELECT item_id, {_words("eval_items")}),
+a AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda k: md5(array_to_string(w[k:k + 11], ' ')))) AS h FROM d WHERE len(w) >= 12),
+b AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 10), lambda k: md5(array_to_string(w[k:k + 11], ' ')))) AS h FROM i WHERE len(w) >= 12)
+SELECT DISTINCT doc_id, item_id FROM a JOIN b USING (h)"""
+
+SQL = {"p10_found": _P10, "p10_shared": _P10_SHARED, "p9_found": _P9}
