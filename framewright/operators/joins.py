@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.functions.numbers import percent_change
+from framewright.operators.ordered import rank_in_group
 from framewright.operators.stretches import Ordering
 
 
@@ -137,9 +138,9 @@ def group_semi(df: DataFrame, key: str, flag: Column) -> DataFrame:
 
 
 def zip_rows(left: DataFrame, right: DataFrame, by: list[str], order_left: list[str], order_right: list[str]) -> DataFrame:
-    """The i-th row of either side within ``by``; the shorter side decides."""
-    a = left.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy(*order_left)))
-    b = right.withColumn("_i", F.row_number().over(Window.partitionBy(*by).orderBy(*order_right)))
+    """The i-th row of either side within ``by``; the shorter side decides.  A null key meets nothing."""
+    a = rank_in_group(left.dropna(subset=by), by, order_left, "_i")
+    b = rank_in_group(right.dropna(subset=by), by, order_right, "_i")
     return a.join(b, [*by, "_i"]).drop("_i")
 
 

@@ -116,3 +116,61 @@ def global_rank(df: DataFrame, by: list[str], name: str, start: int = 1) -> Data
 
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema)
     return held.mapInArrow(run, f"{shape}, `{name}` bigint")
+
+
+def _group_ends(by: list[str]):
+    """Of a partition: rows, its first and last group, how many rows the last one has, and whether it is the only one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = last = None
+        n = open_ = groups = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            starts = np.flatnonzero(changed(b, by))
+            key = lambda i: tuple(b.column(c)[int(i)].as_py() for c in by)  # noqa: B023, E731
+            goes_on = last is not None and key(0) == last
+            groups += len(starts) - goes_on
+            open_ = (open_ if goes_on and len(starts) == 1 else 0) + b.num_rows - int(starts[-1])
+            first, last, n = first or key(0), key(b.num_rows - 1), n + b.num_rows
+        if n:
+            ends = [pa.array([repr(x)], pa.string()) for x in (first, last)]
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), *ends, pa.array([open_], pa.int64()), pa.array([groups == 1])], names=["pid", "first", "last", "open", "one"])
+
+    return run
+
+
+def rank_in_group(df: DataFrame, by: list[str], order: list[str], name: str, start: int = 1) -> DataFrame:
+    """Column ``name``: each row's place in its group in the order ``order``, however many rows a group has.
+
+    Groups lie side by side in range partitions; how much of a group stands before a partition follows from one row per
+    partition.  A null in ``by`` is a group of its own; nulls come first; rows that ``order`` doesn't tell apart are
+    numbered in no particular order.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    every = [*by, *order]
+    held = cut(df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in every]).sortWithinPartitions(*every))
+    before: dict[int, int] = {}
+    last, open_ = None, 0
+    for r in sorted(held.mapInArrow(_group_ends(by), "pid int, first string, last string, open bigint, one boolean").collect()):
+        before[r.pid] = open_ if r.first == last else 0
+        last, open_ = r.last, r.open + (before[r.pid] if r.one else 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, key = before.get(TaskContext.get().partitionId(), 0), None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = changed(b, by)
+            now = tuple(b.column(c)[0].as_py() for c in by)
+            if key is not None and now != key:
+                seen = 0
+            at = np.arange(b.num_rows)
+            new[0] = False
+            begin = np.maximum.accumulate(np.where(new, at, -1))
+            place = np.where(begin < 0, at + seen, at - begin)
+            seen, key = int(place[-1]) + 1, tuple(b.column(c)[b.num_rows - 1].as_py() for c in by)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(place + start, pa.int64())], names=[*b.schema.names, name])
+
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held.schema)
+    return held.mapInArrow(run, f"{shape}, `{name}` bigint")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.functions.numbers import padded
-from framewright.operators.ordered import global_rank
+from framewright.operators.ordered import global_rank, rank_in_group
 
 
 def expand_duration(df: DataFrame, frame: str = "frame_no", duration: str = "duration", hits: str | None = "total_hits") -> DataFrame:
@@ -66,12 +66,15 @@ def split_range(df: DataFrame, start: str, stop: str, people: str) -> DataFrame:
 
 def chunks(df: DataFrame, by: list[str], order: list[str], parts: int, remainder: str = "last") -> DataFrame:
     """Column part, 0-based: rows in order split into parts of one size; the remainder goes to the last or first parts."""
-    w = Window.partitionBy(*by).orderBy(*order)
+    rows = rank_in_group(df, by, order, "_i", 0).withColumn("_by", F.struct(*by))
+    n = df.groupBy(F.struct(*by).alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
+    i, size = F.col("_i"), F.floor(F.col("_n") / parts)
     if remainder == "first":
-        return df.withColumn("part", F.ntile(parts).over(w) - 1)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    size = F.greatest(F.floor(n / parts), F.lit(1))
-    return df.withColumn("part", F.least(F.floor((F.row_number().over(w) - 1) / size), F.lit(parts - 1)).cast("int"))
+        more, longer = F.col("_n") % parts, size + 1
+        part = F.when(i < more * longer, F.floor(i / longer)).otherwise(more + F.floor((i - more * longer) / F.greatest(size, F.lit(1))))
+    else:
+        part = F.least(F.floor(i / F.greatest(size, F.lit(1))), F.lit(parts - 1))
+    return rows.join(n, "_by").withColumn("part", part.cast("int")).select(*df.columns, "part")
 
 
 def fill_bins(df: DataFrame, by: list[str], order: list[str], size: str, quota: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.functions.numbers import half_up
-from framewright.operators.ordered import global_rank
+from framewright.operators.ordered import global_rank, rank_in_group
 from framewright.operators.stretches import Ordering
 
 
@@ -153,12 +153,22 @@ def majority_vote(df: DataFrame, by: list[str], value: str, row: str) -> DataFra
 
 
 def round_robin(df: DataFrame, by: str, side: Column, name: str) -> DataFrame:
-    """Pairs the i-th member of either side of each group, the shorter side starting over; an empty side is null."""
-    g = df.groupBy(by).agg(F.array_sort(F.collect_list(F.when(side, F.col(name)))).alias("a"), F.array_sort(F.collect_list(F.when(~side, F.col(name)))).alias("b"))
-    n = F.greatest(F.size("a"), F.size("b"))
-    out = g.filter(n > 1).withColumn("i", F.explode(F.sequence(F.lit(0), n - 1)))
-    at = lambda c: F.when(F.size(c) > 0, F.get(c, (F.col("i") % F.greatest(F.size(c), F.lit(1))).cast("int")))
-    return out.select(by, "i", at("a").alias("left_name"), at("b").alias("right_name"))
+    """Pairs the i-th member of either side of each group, the shorter side starting over; an empty side is null.
+
+    Members are in the order of their names; those of the longer side come out once each.  A group without two members
+    on one side gives none; rows with a null group, side or name are left out.
+    """
+    rows = df.select(F.col(by).alias("g"), side.alias("s"), F.col(name).alias("v")).dropna()
+    rows = rank_in_group(rows, ["g", "s"], ["v"], "i", 0)
+    n = rows.groupBy("g").agg(F.count_if(F.col("s")).alias("a"), F.count_if(~F.col("s")).alias("b"))
+    every = rows.join(n, "g").filter(F.greatest("a", "b") > 1)
+    own, other = F.when(F.col("s"), F.col("a")).otherwise(F.col("b")), F.when(F.col("s"), F.col("b")).otherwise(F.col("a"))
+    # Of sides of one length the first leads.
+    lead = every.filter((own > other) | ((own == other) & F.col("s"))).select("g", "i", "s", F.col("v").alias("x"), F.when(other > 0, F.col("i") % other).alias("j"))
+    rest = rows.select("g", F.col("i").alias("j"), (~F.col("s")).alias("s"), F.col("v").alias("y"))
+    out = lead.join(rest, ["g", "s", "j"], "left")
+    left, right = F.when(F.col("s"), F.col("x")).otherwise(F.col("y")), F.when(F.col("s"), F.col("y")).otherwise(F.col("x"))
+    return out.select(F.col("g").alias(by), F.col("i").cast("int").alias("i"), left.alias("left_name"), right.alias("right_name"))
 
 
 def duplicate_split(df: DataFrame, key: str) -> DataFrame:

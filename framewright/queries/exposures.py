@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.functions import numbers, times
 from framewright.functions.names import natural_key
 from framewright.functions.text import last_number, strip_all, word_count
 from framewright.operators import aggregate, columns, reshape, sequences
+from framewright.operators.ordered import rank_in_group
 from framewright.operators.stretches import Ordering, frames
 from framewright.queries.registry import Registry
 from framewright.tables import table
@@ -450,7 +451,7 @@ SELECT shard_id, CAST(row_number() OVER (PARTITION BY video ORDER BY k, shard_id
 )
 def q_natural_sort(spark, folder):
     t = table(spark, folder, "shard_files").select("shard_id", "video", natural_key(F.col("path")).alias("k"))
-    return t.select("shard_id", F.row_number().over(Window.partitionBy("video").orderBy("k", "shard_id")).alias("place"))
+    return rank_in_group(t, ["video"], ["k", "shard_id"], "place").select("shard_id", F.col("place").cast("int").alias("place"))
 
 
 # -- scalar families -------------------------------------------------------------------------------------------------

@@ -169,3 +169,24 @@ def test_ranks_over_partitions(spark):
     assert [len(around[0][0]), len(around[3][1])] == [0, 0]
     before = [r["x"] for r in around[2][0]]
     assert before == list(range(before[0], before[0] + 3)) and around[1][1][0]["x"] == before[-1] + 1
+
+
+def test_places_in_groups_of_any_size(spark):
+    import random
+
+    from framewright.operators.ordered import rank_in_group
+
+    random.seed(6)
+    data = [(random.choice(["hot"] * 6 + ["a", "b", None]), random.choice([None, *range(500)]), i, "x") for i in range(2000)]
+    df = spark.createDataFrame(data, "g string, o int, id int, place string").withColumnRenamed("place", "v")
+    key = lambda r: (r[1] is not None, r[1] or 0, r[2])
+    want = {}
+    for g in {r[0] for r in data}:
+        want |= {r[2]: n for n, r in enumerate(sorted((r for r in data if r[0] == g), key=key), 1)}
+    for parts, batch in (("1", "10000"), ("7", "13"), ("40", "100")):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        assert {r.id: r.n for r in rank_in_group(df, ["g"], ["o", "id"], "n").collect()} == want
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert rank_in_group(df.limit(0), ["g"], ["o", "id"], "n").collect() == []
