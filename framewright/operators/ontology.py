@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -48,45 +49,88 @@ def read_rules(spark: SparkSession, path: str) -> list[Rule]:
     return [r for t in texts for r in parse_rules(t.value or "")]
 
 
-def mentions(rules: list[Rule], text: str | None, user: str | None) -> list[tuple[str, str, str]]:
-    """(team, official, alternative) of one post, each alternative at most once.
+class _Contained:
+    """Which of many phrases a text holds: one automaton over all of them where the library is there, else one by one."""
+
+    def __init__(self, phrases: Iterable[str]):
+        self.phrases = sorted({p for p in phrases if p})
+        try:
+            import ahocorasick
+        except ImportError:
+            self.machine = None
+            return
+        self.machine = ahocorasick.Automaton()
+        for p in self.phrases:
+            self.machine.add_word(p, p)
+        if self.phrases:
+            self.machine.make_automaton()
+
+    def __call__(self, text: str) -> set[str]:
+        if not self.phrases:
+            return set()
+        return {p for p in self.phrases if p in text} if self.machine is None else {p for _, p in self.machine.iter(text)}
+
+    def any(self, text: str) -> bool:
+        if not self.phrases:
+            return False
+        return any(p in text for p in self.phrases) if self.machine is None else next(self.machine.iter(text), None) is not None
+
+
+def _longest(r: Rule) -> tuple:
+    return -len(r.alternative.split()), -len(r.alternative), r.team, r.official, r.alternative
+
+
+class Mentions:
+    """Rules made ready once, for many posts."""
+
+    def __init__(self, rules: list[Rule]):
+        self.unwanted = sorted((r for r in rules if r.kind == "unwanted"), key=_longest)
+        self.plain = sorted((r for r in rules if r.kind == "keyword" and "." not in r.alternative), key=_longest)
+        self.patterns = [(r, re.compile(r.alternative)) for r in rules if r.kind == "keyword" and "." in r.alternative]
+        self.second: dict[str, list[str]] = {}
+        for r in rules:
+            if r.kind == "secondary":
+                self.second.setdefault(r.team, []).append(r.alternative)
+        # A post that holds none of these stays as it is, and has no mention.
+        self.worth = _Contained(r.alternative for r in (*self.unwanted, *self.plain))
+
+    def __call__(self, text: str | None, user: str | None) -> list[tuple[str, str, str]]:
+        """(team, official, alternative) of one post, each alternative at most once.
+
+        Unwanted phrases are taken out first, longest first.  A keyword counts where it and a secondary phrase of its
+        team stand in the text or the user's name; it is then taken out, so that shorter phrases within it don't count
+        again.  Alternatives with a point are patterns: what they match in this text are further alternatives.
+        """
+        post, name = (text or "").lower().strip(), (user or "").lower()
+        if not self.patterns and not self.worth.any(post) and not self.worth.any(name):
+            return []
+        for r in self.unwanted:
+            post = post.replace(r.alternative, "")
+        found = [Rule(r.team, r.official, m) for r, p in self.patterns for m in dict.fromkeys(x[0] for x in p.finditer(post)) if m]
+        bare = name.replace("_", "")
+        out = []
+        for r in sorted([*self.plain, *found], key=_longest) if found else self.plain:
+            if (r.alternative in post or r.alternative in name) and any(s in post or s in bare for s in self.second.get(r.team, ())):
+                out.append((r.team, r.official, r.alternative))
+                post, name = post.replace(r.alternative, ""), name.replace(r.alternative, "")
+                bare = name.replace("_", "")
+        return out
 
-    Unwanted phrases are taken out first, longest first.  A keyword counts where it and a secondary phrase of its team
-    stand in the text or the user's name; it is then taken out, so that shorter phrases within it don't count again.
-    Alternatives with a point are patterns: what they match in this text are further alternatives.
-    """
-    import re
 
-    post, name = (text or "").lower().strip(), (user or "").lower()
-    longest = lambda r: (-len(r.alternative.split()), -len(r.alternative), r.team, r.official, r.alternative)
-    for r in sorted((r for r in rules if r.kind == "unwanted"), key=longest):
-        post = post.replace(r.alternative, "")
-    found = []
-    for r in rules:
-        if r.kind == "keyword" and "." in r.alternative:
-            found += [Rule(r.team, r.official, m) for m in dict.fromkeys(x[0] for x in re.finditer(r.alternative, post)) if m]
-    second = {}
-    for r in rules:
-        if r.kind == "secondary":
-            second.setdefault(r.team, []).append(r.alternative)
-    out = []
-    plain = [r for r in rules if r.kind == "keyword" and "." not in r.alternative]
-    for r in sorted([*plain, *found], key=longest):
-        near = any(s in post or s in name.replace("_", "") for s in second.get(r.team, ()))
-        if near and (r.alternative in post or r.alternative in name):
-            out.append((r.team, r.official, r.alternative))
-            post, name = post.replace(r.alternative, ""), name.replace(r.alternative, "")
-    return out
+def mentions(rules: list[Rule], text: str | None, user: str | None) -> list[tuple[str, str, str]]:
+    """The mentions of one post, see ``Mentions``."""
+    return Mentions(rules)(text, user)
 
 
 def find_mentions(posts: DataFrame, rules: list[Rule], key: str, text: str, user: str) -> DataFrame:
     """Columns key, text_id (1-based within the post), team, official, keyword."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = Mentions(rules)
         for b in batches:
             at, rows = [], []
             for i, (t, u) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
-                for n, m in enumerate(mentions(rules, t, u)):
+                for n, m in enumerate(ready(t, u)):
                     at.append(i)
                     rows.append((n + 1, *m))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
@@ -98,10 +142,25 @@ def find_mentions(posts: DataFrame, rules: list[Rule], key: str, text: str, user
 
 
 def contains_rules(posts: DataFrame, rules: list[Rule], key: str, text: str) -> DataFrame:
-    """Columns key, official of every keyword that stands in a text: plain containment, all inside the JVM."""
-    low = F.lower(F.col(text))
-    hits = [F.when(F.contains(low, F.lit(r.alternative)), F.lit(r.official)) for r in rules if r.kind == "keyword" and "." not in r.alternative]
-    return posts.select(key, F.explode(F.array_distinct(F.array_compact(F.array(*hits)))).alias("official"))
+    """Columns key, official of every keyword that stands in a text: plain containment, in one pass for all rules."""
+    officials: dict[str, set[str]] = {}
+    for r in rules:
+        if r.kind == "keyword" and "." not in r.alternative:
+            officials.setdefault(r.alternative, set()).add(r.official)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Contained(officials)
+        for b in batches:
+            at, rows = [], []
+            for i, t in enumerate(b.column(1).to_pylist()):
+                for o in sorted({o for p in held(t) for o in officials[p]}) if t else ():
+                    at.append(i)
+                    rows.append(o)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(rows, pa.string())], names=[key, "official"])
+
+    # Lower case is made in the JVM, as it is in the SQL of tables.
+    low = posts.select(key, F.lower(F.col(text)).alias("_low"))
+    return low.mapInArrow(run, f"`{key}` {posts.schema[key].dataType.simpleString()}, official string")
 
 
 def relabel(value: Column, rules: list[tuple[str, str]]) -> Column:
