@@ -368,7 +368,23 @@ RULES_TEXT = "Spartans\n\tTunnel side <= tunnel headgear|tunnel backcloth\n\tGan
 _RULES = ontology.parse_rules(RULES_TEXT)
 
 
-@query()
+def _mentions_sql() -> str:
+    """One step a keyword, longest first: does it and a secondary phrase stand in what is left, and what is left then."""
+    ready = ontology.Mentions(_RULES)
+    post = "lower(coalesce(text, ''))"
+    for r in ready.unwanted:
+        post = f"replace({post}, '{r.alternative}', '')"
+    steps = [f"s0 AS MATERIALIZED (SELECT doc_id, {post} AS p, lower(coalesce(user_name, '')) AS n FROM documents)"]
+    for k, r in enumerate(ready.plain, 1):
+        second = " OR ".join(f"contains(p, '{x}') OR contains(replace(n, '_', ''), '{x}')" for x in ready.second.get(r.team, [])) or "false"
+        hit = f"(contains(p, '{r.alternative}') OR contains(n, '{r.alternative}')) AND ({second})"
+        left = "".join(f", CASE WHEN {hit} THEN replace({c}, '{r.alternative}', '') ELSE {c} END AS {c}" for c in "pn")
+        steps.append(f"s{k} AS MATERIALIZED (SELECT * EXCLUDE (p, n){left}, {hit} AS h{k} FROM s{k - 1})")
+    every = " UNION ALL ".join(f"SELECT doc_id, {k} AS k, '{r.team}' AS team, '{r.official}' AS official, '{r.alternative}' AS keyword FROM s{len(ready.plain)} WHERE h{k}" for k, r in enumerate(ready.plain, 1))
+    return f"WITH {', '.join(steps)}, a AS ({every}) SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) AS INTEGER) AS text_id, team, official, keyword FROM a"
+
+
+@query(_mentions_sql())
 def q_ontology_mentions(spark, folder):
     return ontology.find_mentions(table(spark, folder, "documents"), _RULES, "doc_id", "text", "user_name")
 
