@@ -49,7 +49,7 @@ def meanings(typed: Iterable[tuple[str, int]]) -> dict[str, list[tuple[str, int]
     ``typed`` has each label with its number of rows.  A form that stands often enough is proper; a rare one within a
     letter of a proper one, digits agreeing, is a slip of it.  Two rare forms that are two letters apart may both be
     slips of a form that nobody typed; then both mean the first of them.  A proper form is shown as its most frequent
-    typing.  The work is linear in the labels: only forms that share a ``one_less`` are compared.
+    typing.  Only forms that share a ``one_less`` are compared.
     """
     count: dict[str, int] = defaultdict(int)
     shown: dict[str, tuple[int, str]] = {}
@@ -59,21 +59,24 @@ def meanings(typed: Iterable[tuple[str, int]]) -> dict[str, list[tuple[str, int]
         count[f] += n
         if f not in shown or (-n, label) < shown[f]:
             shown[f] = (-n, label)
-    near: dict[str, list[str]] = defaultdict(list)
+    shares: dict[str, list[str]] = defaultdict(list)
+    for f in count:
+        for k in one_less(f):
+            shares[k].append(f)
+    around = {f: sorted({p for k in one_less(f) for p in shares[k] if p != f and digits(p) == digits(f)}) for f in count}
+    near = {f: [p for p in ps if within_one(p, f)] for f, ps in around.items()}
     means: dict[str, list[tuple[str, int]]] = {}
-    for f in sorted(count, key=lambda x: (-count[x], x)):
-        keys = one_less(f)
-        known = sorted({p for k in keys for p in near.get(k, ())})
-        slips = [p for p in known if digits(p) == digits(f) and within_one(p, f) and (count[f] < OFTEN or count[f] <= SLIP_SHARE * count[p])]
+    # Of forms that stand equally often the one that has more others within a letter is the proper one of them.
+    for f in sorted(count, key=lambda x: (-count[x], -len(near[x]), x)):
+        proper = {p for p in around[f] if means.get(p) == [(p, 0)]}
+        slips = [p for p in near[f] if p in proper and (count[f] < OFTEN or count[f] <= SLIP_SHARE * count[p])]
         if slips:
             means[f] = [(p, 1) for p in slips]
             continue
         means[f] = [(f, 0)]
-        for k in keys:
-            near[k].append(f)
         if count[f] == 1:
             # Forms that share a one_less but aren't within one letter are two apart, their common slip between them.
-            pair = [p for p in known if count[p] == 1 and means[p] == [(p, 0)] and digits(p) == digits(f)]
+            pair = [p for p in around[f] if p in proper and count[p] == 1]
             if pair:
                 means[f] = [(pair[0], 1)]
     return {label: [(shown[p][1], d) for p, d in means[f]] for label, f in forms.items()}

@@ -86,4 +86,36 @@ a AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda k: md5(
 b AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 10), lambda k: md5(array_to_string(w[k:k + 11], ' ')))) AS h FROM i WHERE len(w) >= 12)
 SELECT DISTINCT doc_id, item_id FROM a JOIN b USING (h)"""
 
-SQL = {"p10_found": _P10, "p10_shared": _P10_SHARED, "p9_found": _P9}
+#: As ``labels.plain``; fixed values: letters that don't decompose.
+_PLAIN_LETTERS = {"ß": "ss", "ø": "o", "ł": "l", "đ": "d", "ħ": "h", "ŧ": "t", "ı": "i", "æ": "ae", "œ": "oe", "þ": "th", "ð": "d"}
+
+
+def _plain(c: str) -> str:
+    text = f"lower({c})"
+    for a, b in _PLAIN_LETTERS.items():
+        text = f"replace({text}, '{a}', '{b}')"
+    return f"regexp_replace(strip_accents({text}), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+
+
+# Rare forms mean the most frequent form within a letter of theirs; of slips that may mean two labels this reading takes
+# the more frequent one, where the operator looks at the neighbours.
+_P1 = f"""
+WITH t AS (SELECT * EXCLUDE (row_id), min(row_id) AS r FROM batters WHERE brand IS NOT NULL AND location IS NOT NULL AND duration >= 1 GROUP BY ALL),
+x AS (SELECT file_name AS e, TRY_CAST(regexp_extract(frame, '([0-9]+)[^0-9]*$', 1) AS BIGINT) AS p, duration AS d, r, {_plain("brand")} AS b, {_plain("location")} AS l FROM t),
+y AS (SELECT * FROM x WHERE p IS NOT NULL AND e IS NOT NULL),
+f AS (SELECT e, 'b' AS k, b AS form, count(*) AS n FROM y GROUP BY ALL UNION ALL SELECT e, 'l', l, count(*) FROM y GROUP BY ALL),
+g0 AS (SELECT *, regexp_replace(form, '[^0-9]', '', 'g') AS s FROM f),
+near AS (SELECT a.e, a.k, a.form, count(*) AS deg FROM g0 a JOIN g0 q ON a.e = q.e AND a.k = q.k AND a.s = q.s AND a.form <> q.form AND abs(length(a.form) - length(q.form)) <= 1 AND levenshtein(a.form, q.form) = 1 GROUP BY ALL),
+g AS (SELECT g0.*, coalesce(deg, 0) AS deg FROM g0 LEFT JOIN near USING (e, k, form)),
+c AS (SELECT a.e, a.k, a.form, arg_min(q.form, struct_pack(n := -q.n, g := -q.deg, f := q.form)) AS means FROM g a JOIN g q
+  ON a.e = q.e AND a.k = q.k AND a.s = q.s AND a.form <> q.form AND abs(length(a.form) - length(q.form)) <= 1 AND levenshtein(a.form, q.form) = 1
+  AND (q.n > a.n OR (q.n = a.n AND (q.deg > a.deg OR (q.deg = a.deg AND q.form < a.form)))) AND (a.n < 3 OR a.n <= 0.2 * q.n) GROUP BY ALL),
+m AS (SELECT g.e, g.k, g.form, coalesce(c2.means, c.means, g.form) AS means FROM g LEFT JOIN c ON c.e = g.e AND c.k = g.k AND c.form = g.form LEFT JOIN c c2 ON c2.e = g.e AND c2.k = g.k AND c2.form = c.means),
+z AS (SELECT y.*, mb.means AS mb, ml.means AS ml FROM y JOIN m mb ON mb.e = y.e AND mb.k = 'b' AND mb.form = y.b JOIN m ml ON ml.e = y.e AND ml.k = 'l' AND ml.form = y.l),
+o AS (SELECT *, CASE WHEN mb = lag(mb) OVER w AND ml = lag(ml) OVER w THEN 0 ELSE 1 END AS new FROM z WINDOW w AS (PARTITION BY e ORDER BY p, r)),
+h AS (SELECT *, sum(new) OVER (PARTITION BY e ORDER BY p, r ROWS UNBOUNDED PRECEDING) AS block FROM o),
+i AS (SELECT *, CASE WHEN p <= max(p + d - 1) OVER (PARTITION BY e, block ORDER BY p, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS apart FROM h),
+j AS (SELECT *, sum(apart) OVER (PARTITION BY e, block ORDER BY p, r ROWS UNBOUNDED PRECEDING) AS run FROM i)
+SELECT e AS file_name, min(p) AS first_frame, max(p + d - 1) AS last_frame FROM j GROUP BY e, block, run HAVING count(*) >= 2"""
+
+SQL = {"p1_found": _P1, "p10_found": _P10, "p10_shared": _P10_SHARED, "p9_found": _P9}

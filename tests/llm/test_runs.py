@@ -28,6 +28,12 @@ def test_meanings():
     assert got["Ab Cde"] == got["Ab Cdx"]
 
 
+def test_of_rare_forms_the_middle_one_is_proper():
+    typed = [("50 - Juwea Drisgyl", 1), ("50 - Juwes Drisgyl", 1), ("50 - Juwes Driogyl", 1)]
+    assert {k: [m for m, _ in v] for k, v in labels.meanings(typed).items()} == {t: ["50 - Juwes Drisgyl"] for t, _ in typed}
+    assert labels.meanings([]) == {}
+
+
 def test_near():
     for a, b, near in [("abc", "abc", True), ("abc", "abx", True), ("abc", "ab", True), ("abc", "xabc", True), ("abc", "acb", False), ("abc", "a", False), ("", "a", True)]:
         assert labels.within_one(a, b) == near == labels.within_one(b, a)
