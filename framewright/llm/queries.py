@@ -99,9 +99,9 @@ def _plain(c: str) -> str:
 
 # Rare forms mean the most frequent form within a letter of theirs; of slips that may mean two labels this reading takes
 # the more frequent one, where the operator looks at the neighbours.
-_P1 = f"""
+_P1_RUNS = f"""
 WITH t AS (SELECT * EXCLUDE (row_id), min(row_id) AS r FROM batters WHERE brand IS NOT NULL AND location IS NOT NULL AND duration >= 1 GROUP BY ALL),
-x AS (SELECT file_name AS e, TRY_CAST(regexp_extract(frame, '([0-9]+)[^0-9]*$', 1) AS BIGINT) AS p, duration AS d, r, {_plain("brand")} AS b, {_plain("location")} AS l FROM t),
+x AS (SELECT file_name AS e, TRY_CAST(regexp_extract(frame, '([0-9]+)[^0-9]*$', 1) AS BIGINT) AS p, duration AS d, r, brand, location, {_plain("brand")} AS b, {_plain("location")} AS l FROM t),
 y AS (SELECT * FROM x WHERE p IS NOT NULL AND e IS NOT NULL),
 f AS (SELECT e, 'b' AS k, b AS form, count(*) AS n FROM y GROUP BY ALL UNION ALL SELECT e, 'l', l, count(*) FROM y GROUP BY ALL),
 g0 AS (SELECT *, regexp_replace(form, '[^0-9]', '', 'g') AS s FROM f),
@@ -115,7 +115,13 @@ z AS (SELECT y.*, mb.means AS mb, ml.means AS ml FROM y JOIN m mb ON mb.e = y.e
 o AS (SELECT *, CASE WHEN mb = lag(mb) OVER w AND ml = lag(ml) OVER w THEN 0 ELSE 1 END AS new FROM z WINDOW w AS (PARTITION BY e ORDER BY p, r)),
 h AS (SELECT *, sum(new) OVER (PARTITION BY e ORDER BY p, r ROWS UNBOUNDED PRECEDING) AS block FROM o),
 i AS (SELECT *, CASE WHEN p <= max(p + d - 1) OVER (PARTITION BY e, block ORDER BY p, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS apart FROM h),
-j AS (SELECT *, sum(apart) OVER (PARTITION BY e, block ORDER BY p, r ROWS UNBOUNDED PRECEDING) AS run FROM i)
-SELECT e AS file_name, min(p) AS first_frame, max(p + d - 1) AS last_frame FROM j GROUP BY e, block, run HAVING count(*) >= 2"""
-
-SQL = {"p1_found": _P1, "p10_found": _P10, "p10_shared": _P10_SHARED, "p9_found": _P9}
+j AS (SELECT *, sum(apart) OVER (PARTITION BY e, block ORDER BY p, r ROWS UNBOUNDED PRECEDING) AS run FROM i)"""
+_P1 = _P1_RUNS + " SELECT e AS file_name, min(p) AS first_frame, max(p + d - 1) AS last_frame FROM j GROUP BY e, block, run HAVING count(*) >= 2"
+_P1_EVENTS = _P1_RUNS + """,
+u AS (SELECT e, 'b' AS k, b AS form, brand AS label, count(*) AS n FROM y GROUP BY ALL UNION ALL SELECT e, 'l', l, location, count(*) FROM y GROUP BY ALL),
+v AS (SELECT e, k, form, arg_min(label, struct_pack(n := -n, l := label)) AS shown FROM u GROUP BY ALL),
+a AS (SELECT e, mb, ml, min(p) AS first_frame, max(p + d - 1) AS last_frame, count(*) AS n_rows, CAST(sum(d) AS BIGINT) AS duration FROM j GROUP BY e, block, run, mb, ml)
+SELECT a.e AS file_name, vb.shown AS brand, vl.shown AS location, first_frame, last_frame, n_rows, duration
+FROM a JOIN v vb ON vb.e = a.e AND vb.k = 'b' AND vb.form = mb JOIN v vl ON vl.e = a.e AND vl.k = 'l' AND vl.form = ml"""
+
+SQL = {"p1_found": _P1, "p1_events": _P1_EVENTS, "p10_found": _P10, "p10_shared": _P10_SHARED, "p9_found": _P9}
