@@ -198,7 +198,17 @@ def q_cluster_pairs(spark, folder):
     return vectors.alike_in_clusters(table(spark, folder, "embeddings"), "label", "vec_id", 0.2).withColumn("similarity", F.round("similarity", 6))
 
 
-@query()
+@query(
+    """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+d AS (SELECT q.label, q.vec_id AS query_id, v.vec_id, list_distance(q.e, v.e) AS d FROM v q JOIN v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id),
+k AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) <= 10),
+n AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY d, query_id, vec_id) AS i FROM k),
+r AS (SELECT label, i, query_id, vec_id, true AS taken, [vec_id] AS claimed FROM n WHERE i = 1
+  UNION ALL SELECT n.label, n.i, n.query_id, n.vec_id, NOT list_contains(claimed, n.query_id) AND NOT list_contains(claimed, n.vec_id),
+    CASE WHEN NOT list_contains(claimed, n.query_id) AND NOT list_contains(claimed, n.vec_id) THEN list_append(claimed, n.vec_id) ELSE claimed END FROM r JOIN n ON n.label = r.label AND n.i = r.i + 1)
+SELECT label, query_id, vec_id FROM r WHERE taken"""
+)
 def q_greedy_groups(spark, folder):
     t = table(spark, folder, "embeddings")
     near = vectors.nearest(t, t.filter("vec_id % 20 = 0"), "vec_id", 10).join(t.select(F.col("vec_id").alias("query_id"), "label"), "query_id")
