@@ -29,6 +29,8 @@ from framewright.session import store
 SPAN, GRAM = 300, 200
 #: Occurrences of one phrase up to which they are compared pair by pair.
 COMPARED = 48
+#: Members of a group that one task pairs with all of the group.
+PAIRED = 1000
 #: Characters of text whose phrases go into one automaton.
 SHARD_CHARS = 400_000
 
@@ -221,13 +223,24 @@ def _window_groups(hot: DataFrame) -> DataFrame:
     return once.groupBy("w0", "w1").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.xxhash64(F.lit(k), "cid")).alias(f"s{k}") for k in range(2)]).filter("n > 1")
 
 
+def _paired(t: DataFrame, keys: list[str], who: str, n: str) -> DataFrame:
+    """Columns x < y: each two members ``who`` of one group, of which ``n`` tells the size.
+
+    A group is dealt out in parts of about ``PAIRED``, and each part meets the whole group in a task of its own.
+    """
+    parts = F.ceil(F.col(n) / PAIRED).cast("int")
+    left = t.select(*keys, F.col(who).alias("x"), F.pmod(F.xxhash64(who), parts).cast("int").alias("_part"))
+    right = t.select(*keys, F.col(who).alias("y"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
+    return left.join(right, [*keys, "_part"]).filter("x < y").select("x", "y")
+
+
 def class_pairs(docs: DataFrame, c: DataFrame, doc: str, text: str, span: int = SPAN, **how) -> DataFrame:
     """Each two classes (of ``classes``) of different texts (a < b) that share ``span`` code points or more; none is lost."""
     few, hot = _links(docs, c, doc, text, span, **how)
     # Of the windows that the same classes hold one tells who is linked.
-    one = _window_groups(hot).dropDuplicates(["s0", "s1", "n"]).select("w0", "w1")
+    one = _window_groups(hot).dropDuplicates(["s0", "s1", "n"]).select("w0", "w1", "n")
     members = hot.select("w0", "w1", "cid").distinct().join(one, ["w0", "w1"])
-    linked = members.withColumnRenamed("cid", "a").join(members.withColumnRenamed("cid", "b"), ["w0", "w1"]).filter("a < b")
+    linked = _paired(members, ["w0", "w1"], "cid", "n").withColumnsRenamed({"x": "a", "y": "b"})
     return few.select("a", "b").unionByName(linked.select("a", "b")).distinct()
 
 
@@ -241,8 +254,7 @@ def shared_pairs(docs: DataFrame, doc: str, text: str, span: int = SPAN, **how)
     pairs = class_pairs(docs, c, doc, text, span, **how)
     left, right = c.select(F.col("doc").alias("x"), F.col("cid").alias("a")), c.select(F.col("doc").alias("y"), F.col("cid").alias("b"))
     across = pairs.join(left, "a").join(right, "b").select("x", "y")
-    again = c.filter("copies > 1")
-    within = again.select("cid", F.col("doc").alias("x")).join(again.select("cid", F.col("doc").alias("y")), "cid").filter("x < y").select("x", "y")
+    within = _paired(c.filter("copies > 1"), ["cid"], "doc", "copies")
     both = across.unionByName(within)
     return both.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b"))
 

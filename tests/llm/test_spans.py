@@ -49,6 +49,19 @@ def test_against_brute_force(spark, docs, how):
     assert chars == cover
 
 
+def test_hot_groups_are_dealt_out(spark, monkeypatch):
+    random.seed(4)
+    text = lambda n: "".join(random.choice("abcdefgh") for _ in range(n))
+    hot, copy = text(34), text(60)
+    docs = [(i, text(10) + hot + text(i % 17)) for i in range(40)] + [(100 + i, copy) for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    pairs, _ = brute(docs)
+    for paired in (3, 1000):
+        monkeypatch.setattr(spans, "PAIRED", paired)
+        got = sorted(tuple(r) for r in spans.shared_pairs(df, "doc_id", "text", span=SPAN, gram=GRAM, compared=5).collect())
+        assert got == pairs and len(pairs) == 40 * 39 // 2 + 30 * 29 // 2
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert spans.shared_pairs(df, "doc_id", "text").collect() == []
