@@ -251,7 +251,7 @@ def write_consolidated(pieces: DataFrame, path: str, width: int = RANGE, target:
     packed = pack_ranges(store(consolidate(pieces, width=width, target=target)), target)
     place = F.concat_ws("-", F.lpad(F.col("pack").cast("string"), 12, "0"), F.col("large").cast("int").cast("string"), F.lpad(F.col("roll").cast("string"), 12, "0"))
     laid = packed.select(place.alias("file"), *_KEPT).repartition("file").sortWithinPartitions("file", *_KEPT[:-1])
-    laid.write.mode("overwrite").partitionBy("file").parquet(path)
+    laid.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("file").parquet(path)
     files = read_consolidated(spark, path).select(*_KEPT, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("n_bytes"))
     ends = files.groupBy("path", "n_bytes", "video").agg(F.min("frame_no").alias("a"), F.max("frame_no").alias("b"), F.count(F.lit(1)).alias("records"))
     rows = ends.groupBy("path", "n_bytes").agg(F.min(F.struct("video", "a")).alias("first"), F.max(F.struct("video", "b")).alias("last"), F.sum("records").alias("records"))
