@@ -124,4 +124,51 @@ a AS (SELECT e, mb, ml, min(p) AS first_frame, max(p + d - 1) AS last_frame, cou
 SELECT a.e AS file_name, vb.shown AS brand, vl.shown AS location, first_frame, last_frame, n_rows, duration
 FROM a JOIN v vb ON vb.e = a.e AND vb.k = 'b' AND vb.form = mb JOIN v vl ON vl.e = a.e AND vl.k = 'l' AND vl.form = ml"""
 
-SQL = {"p1_found": _P1, "p1_events": _P1_EVENTS, "p10_found": _P10, "p10_shared": _P10_SHARED, "p9_found": _P9}
+
+
+# SQL's distances count bytes: letters of two bytes become one of one byte that plain forms don't hold.  Fixed values.
+_CYRILLIC, _GREEK = "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρσςτυφχψω"
+_ONE_BYTE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ!#$%&*+"
+
+
+def _one_byte(c: str) -> str:
+    return f"translate({c}, '{_CYRILLIC}{_GREEK}', '{_ONE_BYTE[: len(_CYRILLIC)]}{_ONE_BYTE[: len(_GREEK)]}')"
+
+
+def _word_list(c: str) -> str:
+    """As ``canonical.words_of``."""
+    text = rf"regexp_replace({c}, '(^|[^\p{{L}}\p{{N}}])(\p{{L}})[.](\p{{L}})[.](?:(\p{{L}})[.])?', '\1\2\3\4 ', 'g')"
+    text = f"replace(replace(replace(replace({text}, '&', ' and '), '™', ' tm '), '®', ' '), '_', ' ')"
+    split = rf"regexp_extract_all({text}, '[\p{{L}}\p{{M}}\p{{N}}'']+')"
+    return f"list_filter(list_transform({split}, lambda x: {_one_byte(_plain('x'))}), lambda x: x <> '' AND x <> 'and')"
+
+
+def _mistypable(n: str) -> str:
+    return f"CASE WHEN {n} < 4 THEN 0 WHEN {n} < 6 THEN 1 ELSE 2 END"
+
+
+_SPELT = r"regexp_replace(strip_accents(lower({})), '[^\p{{L}}\p{{N}}]', '', 'g')"
+# Every value against every name: the distances alone, without the similarity that the operator looks at first.
+_P2 = rf"""
+WITH cells AS (SELECT row_id, 'brand' AS kind, brand AS value FROM bbl UNION ALL SELECT row_id, 'location', location FROM bbl),
+c AS (SELECT * FROM cells WHERE regexp_matches(value, '[^\s\p{{Z}}\x{{85}}\x{{1c}}-\x{{1f}}]') AND NOT EXISTS (SELECT 1 FROM reference_names r WHERE r.kind = cells.kind AND r.name = cells.value)),
+listed AS (SELECT kind, ref_id, unnest(list_concat([name], coalesce(string_split(alt_names, '|'), []))) AS name FROM reference_names),
+n AS (SELECT *, {_word_list("name")} AS nw FROM listed), nn AS (SELECT *, array_to_string(nw, '') AS cn, {_one_byte(_SPELT.format("name"))} AS sn FROM n),
+w AS (SELECT kind, value, {_word_list("value")} AS fw FROM (SELECT DISTINCT kind, value FROM c)),
+s AS (SELECT kind, value, fw[1:len(fw) - k] AS fw, array_to_string(fw[1:len(fw) - k], '') AS compact, array_to_string(list_transform(fw[len(fw) - k + 1:], lambda x: CASE WHEN regexp_full_match(x, '[0-9]+') THEN '#' ELSE x END), ' ') AS tail
+  FROM w, range(1, 4) t(k) WHERE k < len(fw)),
+t AS (SELECT s.kind, tail FROM s JOIN nn ON s.kind = nn.kind AND s.compact = nn.cn JOIN w ON w.kind = s.kind AND w.value = s.value
+  WHERE NOT EXISTS (SELECT 1 FROM nn x WHERE x.kind = s.kind AND x.cn = array_to_string(w.fw, '')) GROUP BY ALL HAVING count(DISTINCT ref_id) >= 3),
+f AS (SELECT kind, value, fw, 0 AS extra FROM w WHERE len(fw) > 0 UNION ALL SELECT kind, value, fw, 1 FROM s JOIN t USING (kind, tail)),
+g AS (SELECT *, array_to_string(fw, '') AS cf, {_one_byte(_SPELT.format("value"))} AS sf FROM f),
+p AS (SELECT g.kind, value, extra, ref_id, fw, nw, cf, cn, sf, sn, {_mistypable("least(length(cf), length(cn))")} AS most, {_mistypable("length(sn)")} AS most_spelt FROM g JOIN nn ON g.kind = nn.kind),
+d AS (SELECT *, CASE WHEN abs(length(cf) - length(cn)) <= most THEN least(damerau_levenshtein(cf, cn), CASE WHEN len(fw) > 1 AND len(nw) > 1 THEN
+    least(damerau_levenshtein(array_to_string(list_reverse(fw), ''), cn), damerau_levenshtein(array_to_string(list_sort(fw), ''), array_to_string(list_sort(nw), ''))) END) END AS d0 FROM p),
+e AS (SELECT *, CASE WHEN d0 <= most THEN d0
+    WHEN len(fw) = len(nw) AND len(fw) > 1 AND length(fw[-1]) >= 3 AND length(fw[-1]) < length(nw[-1]) AND starts_with(nw[-1], fw[-1]) AND damerau_levenshtein(array_to_string(fw[:-2], ''), array_to_string(nw[:-2], '')) <= 1
+      THEN damerau_levenshtein(array_to_string(fw[:-2], ''), array_to_string(nw[:-2], '')) + 0.5
+    WHEN regexp_matches(value, '[^\x00-\x7f]') AND abs(length(sf) - length(sn)) <= most_spelt AND damerau_levenshtein(sf, sn) <= most_spelt THEN damerau_levenshtein(sf, sn) END AS d FROM d),
+b AS (SELECT kind, value, arg_min(ref_id, struct_pack(d := d, x := extra, r := ref_id)) AS ref_id FROM e WHERE d IS NOT NULL GROUP BY kind, value)
+SELECT row_id, c.kind AS field, CAST(coalesce(b.ref_id, -1) AS BIGINT) AS ref_id FROM c LEFT JOIN b ON b.kind = c.kind AND b.value = c.value"""
+
+SQL = {"p1_found": _P1, "p2_found": _P2, "p1_events": _P1_EVENTS, "p10_found": _P10, "p10_shared": _P10_SHARED, "p9_found": _P9}
