@@ -143,3 +143,10 @@ def test_slips_that_may_mean_two_labels_at_every_width(spark):
     for width in (7, 50, 1000, 1 << 14):
         out = runs.collapse_runs(df, "file_name", "frame_no", "duration", "row_id", ["brand", "location"], width=width)
         assert sorted((r.file_name, r.location, r.first, r["last"], r.n, r.total) for r in out.collect()) == sorted(want), width
+
+
+def test_text_row_ids_and_one_label(spark):
+    rows = [("f", "Alpha", 1, 1, "r1"), ("f", "alpha.", 2, 1, "r2"), ("f", "Bravo", 3, 1, "r3"), ("f", "Bravo", 3, 1, "r4"), (None, "Bravo", 3, 1, "r5")]
+    df = spark.createDataFrame(rows, "e string, label string, p long, d int, row_id string")
+    got = sorted((r.e, r.label, r.first, r["last"], r.n) for r in runs.collapse_runs(df, "e", "p", "d", "row_id", ["label"]).collect())
+    assert got == [("f", "Alpha", 1, 2, 2), ("f", "Bravo", 3, 3, 1)]

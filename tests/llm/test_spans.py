@@ -66,3 +66,15 @@ def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert spans.shared_pairs(df, "doc_id", "text").collect() == []
     assert spans.shared_chars(df, "doc_id", "text").collect() == []
+
+
+def test_text_keys_null_keys_and_repeated_rows(spark, docs):
+    some = docs[:40] + docs[80:]
+    named = [(f"d{d:03d}", t) for d, t in some]
+    df = spark.createDataFrame([*named, (None, some[3][1]), (None, None)], "doc_id string, text string")
+    pairs, cover = brute(named)
+    assert sorted(tuple(r) for r in spans.shared_pairs(df, "doc_id", "text", span=SPAN, gram=GRAM).collect()) == pairs
+    assert {r.doc_id: r.shared_chars for r in spans.shared_chars(df, "doc_id", "text", span=SPAN, gram=GRAM).collect()} == cover
+    twice = spark.createDataFrame([*named, *named], "doc_id string, text string")
+    got = {tuple(r) for r in spans.shared_pairs(twice, "doc_id", "text", span=SPAN, gram=GRAM).collect()}
+    assert got == set(pairs)
