@@ -59,13 +59,15 @@ def add_runs(rows: DataFrame, runs: DataFrame, frame: str, name: str, amount: st
     """Run sizes added to the rows of their first picture.
 
     Each run decides for itself how it meets the rows: one whose picture is named by a number alone meets the frames of
-    that number, another one the frames that are its name's whole prefix.  What several runs add to a row is added up.
+    that number, another one the frames that are its name's whole prefix.  What several runs add to a row is added up.  A frame
+    without digits meets no number.
     """
     number = F.regexp_like(F.col(name), F.lit("^[0-9]+\\.jpe?g$"))
     keyed = runs.select(F.when(number, F.concat(F.lit("#"), stripped_number(F.col(name)).cast("string"))).otherwise(name_prefix(F.col(name))).alias("_k"), amount)
     per = keyed.filter("_k is not null").groupBy("_k").agg(F.sum(amount).alias("_add"))
     # Prefixes end in digits behind an underscore, so that a row's two keys are never the same.
-    out = rows.withColumns({"_n": F.concat(F.lit("#"), stripped_number(F.col(frame)).cast("string")), "_p": F.col(frame)})
+    named = F.when(F.regexp_like(F.col(frame), F.lit("[0-9]")), F.concat(F.lit("#"), stripped_number(F.col(frame)).cast("string")))
+    out = rows.withColumns({"_n": named, "_p": F.col(frame)})
     out = out.join(per.withColumnsRenamed({"_k": "_n", "_add": "_a"}), "_n", "left").join(per.withColumnsRenamed({"_k": "_p", "_add": "_b"}), "_p", "left")
     add = F.coalesce("_a", F.lit(0)) + F.coalesce("_b", F.lit(0))
     return out.withColumns({c: (F.col(c) + add).cast("bigint") for c in to}).select(*rows.columns)

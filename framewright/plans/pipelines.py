@@ -107,7 +107,8 @@ def checked_against_history(exposures: DataFrame, ledger: DataFrame, percent: fl
     v = F.col("avg_total_duration")
     fresh = exposures.join(ledger.select("file_name").distinct(), "file_name", "left_anti")
     rows = aggregate.normalised_exposure(fresh, "file_name", ["brand", "location"], "frame_no", "duration", "row_id")
-    mean = lambda t: t.groupBy("brand", "location").agg(F.round(F.avg("avg_total_duration"), 3).alias("value"))
+    # Values have three digits: their sum is exact as a decimal, in whatever order it is made.
+    mean = lambda t: t.groupBy("brand", "location").agg(F.round(F.sum(v.cast("decimal(18,3)")).cast("double") / F.count(F.lit(1)), 3).alias("value"))
     new, old = mean(rows), mean(ledger.filter(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < 24)))
     return rows, joins.history_diff(new, old, ["brand", "location"], "value", percent), joins.new_keys(new, old, ["brand", "location"])
 

@@ -64,8 +64,8 @@ x AS (SELECT *, {_NO} FROM exposures WHERE file_name NOT IN (SELECT file_name FR
 y AS (SELECT * FROM x WHERE frame_no IS NOT NULL AND duration >= 1),
 s AS (SELECT file_name, arg_max(frame_no, row_id) - arg_min(frame_no, row_id) + arg_max(duration, row_id) AS t FROM y GROUP BY file_name),
 d AS (SELECT file_name, brand, location, CAST(sum(duration) AS BIGINT) AS n FROM y WHERE brand IS NOT NULL AND location IS NOT NULL GROUP BY ALL),
-a AS (SELECT brand, location, round(avg(round(abs(ln(abs(CASE WHEN t > 0 THEN n / CAST(t AS DOUBLE) ELSE 0 END) + 1e-10)), 3)), 3) AS new_value FROM d JOIN s USING (file_name) GROUP BY ALL),
-b AS (SELECT brand, location, round(avg(avg_total_duration), 3) AS old_value FROM o GROUP BY ALL)
+a AS (SELECT brand, location, round(CAST(sum(CAST(round(abs(ln(abs(CASE WHEN t > 0 THEN n / CAST(t AS DOUBLE) ELSE 0 END) + 1e-10)), 3) AS DECIMAL(18, 3))) AS DOUBLE) / count(*), 3) AS new_value FROM d JOIN s USING (file_name) GROUP BY ALL),
+b AS (SELECT brand, location, round(CAST(sum(CAST(avg_total_duration AS DECIMAL(18, 3))) AS DOUBLE) / count(*), 3) AS old_value FROM o GROUP BY ALL)
 SELECT brand, location, new_value, old_value, round(abs((new_value - old_value) / old_value) * 100, 3) AS difference
 FROM a JOIN b USING (brand, location) WHERE abs((new_value - old_value) / old_value) * 100 > 25"""
 )
@@ -83,8 +83,8 @@ x AS (SELECT *, {_NO} FROM exposures WHERE file_name NOT IN (SELECT file_name FR
 y AS (SELECT * FROM x WHERE frame_no IS NOT NULL AND duration >= 1),
 s AS (SELECT file_name, arg_max(frame_no, row_id) - arg_min(frame_no, row_id) + arg_max(duration, row_id) AS t FROM y GROUP BY file_name),
 d AS (SELECT file_name, brand, location, CAST(sum(duration) AS BIGINT) AS n FROM y WHERE brand IS NOT NULL AND location IS NOT NULL GROUP BY ALL),
-a AS (SELECT brand, location, round(avg(round(abs(ln(abs(CASE WHEN t > 0 THEN n / CAST(t AS DOUBLE) ELSE 0 END) + 1e-10)), 3)), 3) AS new_value FROM d JOIN s USING (file_name) GROUP BY ALL),
-b AS (SELECT brand, location, round(avg(avg_total_duration), 3) AS old_value FROM o GROUP BY ALL)
+a AS (SELECT brand, location, round(CAST(sum(CAST(round(abs(ln(abs(CASE WHEN t > 0 THEN n / CAST(t AS DOUBLE) ELSE 0 END) + 1e-10)), 3) AS DECIMAL(18, 3))) AS DOUBLE) / count(*), 3) AS new_value FROM d JOIN s USING (file_name) GROUP BY ALL),
+b AS (SELECT brand, location, round(CAST(sum(CAST(avg_total_duration AS DECIMAL(18, 3))) AS DOUBLE) / count(*), 3) AS old_value FROM o GROUP BY ALL)
 SELECT brand, location, new_value, old_value, round(abs((new_value - old_value) / old_value) * 100, 3) AS difference
 FROM a JOIN b USING (brand, location) WHERE abs((new_value - old_value) / old_value) * 100 > 25"""
 )

@@ -56,7 +56,7 @@ WITH u AS (SELECT CASE WHEN row_id % 2 = 0 THEN '#' || frame ELSE file_name || '
 s AS (SELECT k, sum(total_hits) AS n FROM u GROUP BY k),
 r AS (SELECT row_id, frame, coalesce(TRY_CAST(ltrim(regexp_replace(frame, '[^0-9]', '', 'g'), '0') AS BIGINT), 0) AS d, duration, total_hits FROM exposures)
 SELECT row_id, CAST(duration + coalesce(a.n, 0) + coalesce(b.n, 0) AS BIGINT) AS duration, CAST(total_hits + coalesce(a.n, 0) + coalesce(b.n, 0) AS BIGINT) AS total_hits
-FROM r LEFT JOIN s a ON a.k = '#' || r.d AND r.frame IS NOT NULL LEFT JOIN s b ON b.k = r.frame"""
+FROM r LEFT JOIN s a ON a.k = '#' || r.d AND regexp_matches(r.frame, '[0-9]') LEFT JOIN s b ON b.k = r.frame"""
 )
 def q_update_by_name(spark, folder):
     """Runs whose picture is a number alone, and runs named by a prefix, each meeting the frames their own way."""

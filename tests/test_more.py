@@ -22,7 +22,7 @@ def test_missing_per_file_in_parts(spark, rows, monkeypatch):
 
 def test_runs_meet_frames_row_by_row(spark, rows):
     ann = spark.createDataFrame([("0003", 1, 1), ("x_0003", 1, 1), (None, 1, 1), ("y", 2, 2)], "frame string, duration int, total_hits int")
-    runs = spark.createDataFrame([("0003.jpg", 5), ("x_0003.jpg", 7), ("x_0003.jpeg", 1), ("odd.jpg", 9), (None, 9)], "image string, n int")
+    runs = spark.createDataFrame([("0003.jpg", 5), ("x_0003.jpg", 7), ("x_0003.jpeg", 1), ("odd.jpg", 9), (None, 9), ("0.jpg", 50)], "image string, n int")
     got = rows(joins.add_runs(ann, runs, "frame", "image", "n", ["duration"]))
     # A number meets every frame of that number, a prefix only its own name.
     assert got == sorted([("0003", 6, 1), ("x_0003", 14, 1), (None, 1, 1), ("y", 2, 2)], key=lambda r: tuple((v is None, str(v)) for v in r))
